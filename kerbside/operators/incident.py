@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.times import epoch_ms, from_ms, window_start_ms
+from ..session import saved
 from .scale import neighbours, running_sum, spread, time_chunk, upper_median, value_at_rank
 
 CYCLE_MS = 15_000
@@ -35,11 +36,16 @@ def window_length(windows: DataFrame, run: list[str]) -> DataFrame:
 
 
 def placed(windows: DataFrame, run: list[str]) -> DataFrame:
-    """Windows with ``len_ms``, their snapped ``start_ms``, ``errors`` and the ``chunk`` they are ordered in."""
-    base = windows.withColumn("chunk", time_chunk("end")).withColumn("end_ms", epoch_ms("end"))
+    """Windows with ``len_ms``, their snapped ``start_ms``, ``errors`` and the ``chunk`` they are ordered in.
+
+    All further questions read the result several times, so it is saved once.
+    """
+    base = saved(windows.withColumn("chunk", time_chunk("end")).withColumn("end_ms", epoch_ms("end")), "windows")
+    windows = base.select(*windows.columns)
     lengths = window_length(windows, run)
     sized = spread(base, lengths, run) if run else base.withColumn("len_ms", lengths.scalar())
-    return sized.withColumn("start_ms", window_start_ms("end_ms", "len_ms")).withColumn("errors", errors())
+    at = sized.withColumn("start_ms", window_start_ms("end_ms", "len_ms")).withColumn("errors", errors())
+    return saved(at, "placed-windows")
 
 
 def totals(windows: DataFrame, run: list[str]) -> DataFrame:
@@ -155,7 +161,7 @@ def shown_windows(at: DataFrame, run: list[str]) -> DataFrame:
 
 def timeline(at: DataFrame, run: list[str]) -> DataFrame:
     """Shown windows as they are; each stretch of hidden windows as one row with ``is_gap`` and its length."""
-    flagged = shown_windows(at, run)
+    flagged = saved(shown_windows(at, run), "shown-windows")
     # Every shown window opens a stretch of its own; a hidden one opens a stretch when it follows a shown one.
     chained = neighbours(flagged, run, "end_ms", ["shown"])
     opens = F.col("shown") | F.coalesce("prev_shown", F.lit(True))

@@ -65,12 +65,10 @@ def conflicts(messages: DataFrame, probed: DataFrame, include_in_batch: bool = F
     only keys that were stored before the batch are checked; ``include_in_batch`` also compares copies within
     the batch with the one that won.
     """
-    kept = F.col("stored_vehicles")
-    winners = probed.filter(F.col("copies") > 1) if include_in_batch else probed.filter(kept.isNotNull())
+    kept, checked = F.col("stored_vehicles"), F.col("stored_vehicles").isNotNull()
     if include_in_batch:
-        winners = winners.unionByName(probed.filter((F.col("copies") == 1) & kept.isNotNull()))
-        kept = F.coalesce(kept, F.col("vehicles"))
-    winners = winners.select(*KEY, kept.alias("stored_vehicles"))
+        kept, checked = F.coalesce(kept, F.col("vehicles")), checked | (F.col("copies") > 1)
+    winners = probed.filter(checked).select(*KEY, kept.alias("stored_vehicles"))
     values = messages.groupBy(*KEY, F.col("vehicles").alias("incoming_vehicles")).agg(
         F.count("*").alias("messages"), F.min("offset").alias("first_offset")
     )

@@ -29,7 +29,7 @@ def table_profile(table: DataFrame) -> DataFrame:
 def latest_snapshots(snapshots: DataFrame, now, source: str = "source") -> DataFrame:
     """The newest window of every source, under the monitor's column names."""
     written = col("writtenAt").cast("timestamp")
-    newest = snapshots.groupBy(source).agg(F.max_by(F.struct("*"), written).alias("s")).select(source, "s.*")
+    newest = snapshots.groupBy(source).agg(F.max_by(F.struct("*"), written).alias("s")).select("s.*")
     age = (epoch_ms(_instant(now)) - epoch_ms(written)) / 1000
     return newest.select(
         source,

@@ -243,47 +243,42 @@ def _cell(name: str) -> str:
 
 SQL = {
     "request_windows": with_(Q.WINDOWS) + f'SELECT run, "end", {_COUNTERS} FROM windows',
-    "window_length": with_(Q.WINDOWS)
-    + """SELECT run, greatest(1000, (gap * 2 + 1000) // 2000 * 1000) AS len_ms FROM (
-  SELECT run, max(gap) FILTER (rn = n // 2 + 1) AS gap FROM (
-    SELECT run, gap, row_number() OVER (PARTITION BY run ORDER BY gap) AS rn, count(*) OVER (PARTITION BY run) AS n
-    FROM (SELECT run, epoch_ms("end") - epoch_ms(lag("end") OVER (PARTITION BY run ORDER BY "end")) AS gap FROM windows)
-    WHERE gap IS NOT NULL) GROUP BY run)""",
+    "window_length": with_(Q.WINDOWS, Q.LENGTHS) + "SELECT run, len_ms FROM lengths",
     "incident_totals": with_(Q.WINDOWS)
     + """SELECT run, count(*) AS windows, CAST(sum(reqs) AS BIGINT) AS requests, CAST(sum(s5xx) AS BIGINT) AS s5xx,
        CAST(sum(timeouts) AS BIGINT) AS timeouts, CAST(sum(neterr) AS BIGINT) AS neterr, CAST(sum(s400) AS BIGINT) AS s400,
        max(buffered) AS max_buffered, max(p99) AS max_p99 FROM windows GROUP BY run""",
-    "error_span": with_(Q.WINDOWS)
-    + """SELECT run, min(start) FILTER (errors > 0) AS "first", max("end") FILTER (errors > 0) AS "last",
+    "error_span": with_(Q.WINDOWS, Q.LENGTHS, Q.PLACED)
+    + """SELECT run, min(start) FILTER (errors > 0) AS "first", max(until) FILTER (errors > 0) AS "last",
        min("end") FILTER (errors > 0) AS first_end, max("end") FILTER (errors > 0) AS last_end,
        count(*) FILTER (errors > 0) AS error_windows, count(*) AS windows,
-       epoch_ms(max("end") FILTER (errors > 0)) - epoch_ms(min(start) FILTER (errors > 0)) AS duration_ms
-FROM windows GROUP BY run""",
+       max(until_ms) FILTER (errors > 0) - min(start_ms) FILTER (errors > 0) AS duration_ms
+FROM placed GROUP BY run""",
     "normal_backlog": with_(Q.WINDOWS, Q.NORMAL) + "SELECT run, normal FROM normal",
     "recovery": with_(Q.WINDOWS, Q.NORMAL, _CLEARED)
     + """SELECT run, normal, last_error AS last_end, cleared, epoch_ms(cleared) - epoch_ms(last_error) AS recovery_ms FROM cleared""",
-    "post_restore": with_(Q.WINDOWS, Q.NORMAL, _CLEARED)
-    + f"""SELECT c.run, CAST(coalesce(sum(w.errors) FILTER (w."end" > TIMESTAMP '{RESTORED}'), 0) AS BIGINT) AS errors_after,
+    "post_restore": with_(Q.WINDOWS, Q.LENGTHS, Q.PLACED, Q.NORMAL, _CLEARED)
+    + f"""SELECT c.run, CAST(coalesce(sum(w.errors) FILTER (w.until > TIMESTAMP '{RESTORED}'), 0) AS BIGINT) AS errors_after,
        any_value(c.cleared) AS cleared, any_value(epoch_ms(c.cleared) - epoch_ms(TIMESTAMP '{RESTORED}')) AS normal_after_ms
-FROM cleared c JOIN windows w ON w.run = c.run GROUP BY c.run""",
-    "phase_profile": with_(Q.WINDOWS)
+FROM cleared c JOIN placed w ON w.run = c.run GROUP BY c.run""",
+    "phase_profile": with_(Q.WINDOWS, Q.LENGTHS, Q.PLACED)
     + """SELECT run, phase_ms, count(*) AS windows, max(p99) AS max_p99, CAST(sum(s5xx) AS BIGINT) AS s5xx,
        CAST(sum(timeouts) AS BIGINT) AS timeouts, CAST(sum(neterr) AS BIGINT) AS neterr, max(p99) FILTER (rn = n // 2 + 1) AS median_p99
 FROM (SELECT *, row_number() OVER (PARTITION BY run, phase_ms ORDER BY p99) AS rn, count(*) OVER (PARTITION BY run, phase_ms) AS n
-      FROM (SELECT *, epoch_ms(start) % 86400000 AS phase_ms FROM windows)) GROUP BY 1, 2""",
-    "shown_windows": with_(Q.WINDOWS, Q.NORMAL, Q.SHOWN) + 'SELECT run, "end", interesting, shown FROM shown',
-    "timeline_rows": with_(Q.WINDOWS, Q.NORMAL, Q.SHOWN)
-    + """SELECT run, seq, NOT bool_or(shown) AS is_gap, count(*) AS windows, min(start) AS start, max("end") AS "end",
+      FROM (SELECT *, start_ms % 86400000 AS phase_ms FROM placed WHERE len_ms < 86400000 AND 86400000 % len_ms = 0)) GROUP BY 1, 2""",
+    "shown_windows": with_(Q.WINDOWS, Q.LENGTHS, Q.PLACED, Q.NORMAL, Q.SHOWN) + 'SELECT run, "end", interesting, shown FROM shown',
+    "timeline_rows": with_(Q.WINDOWS, Q.LENGTHS, Q.PLACED, Q.NORMAL, Q.SHOWN)
+    + """SELECT run, seq, NOT bool_or(shown) AS is_gap, count(*) AS windows, min(start) AS start, max(until) AS "end",
        max(sent) FILTER (shown) AS sent, max(s200) FILTER (shown) AS s200, max(s5xx) FILTER (shown) AS s5xx,
        max(timeouts) FILTER (shown) AS timeouts, max(neterr) FILTER (shown) AS neterr, max(buffered) FILTER (shown) AS buffered,
        max(p50) FILTER (shown) AS p50, max(p95) FILTER (shown) AS p95, max(p99) FILTER (shown) AS p99
 FROM (SELECT *, CAST(sum(opens) OVER (PARTITION BY run ORDER BY "end") AS BIGINT) AS seq FROM (
         SELECT *, CASE WHEN shown OR coalesce(lag(shown) OVER (PARTITION BY run ORDER BY "end"), true) THEN 1 ELSE 0 END AS opens FROM shown))
 GROUP BY run, seq""",
-    "zero_runs": with_(Q.WINDOWS)
-    + """SELECT run, count(*) AS windows, min(start) AS start, max("end") AS "end", epoch_ms(max("end")) - epoch_ms(min(start)) AS duration_ms
+    "zero_runs": with_(Q.WINDOWS, Q.LENGTHS, Q.PLACED)
+    + """SELECT run, count(*) AS windows, min(start) AS start, max(until) AS "end", max(until_ms) - min(start_ms) AS duration_ms
 FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY "end") - row_number() OVER (PARTITION BY run, s200 = 0 ORDER BY "end") AS island
-      FROM windows) WHERE s200 = 0 GROUP BY run, island""",
+      FROM placed) WHERE s200 = 0 GROUP BY run, island""",
     "log_parse": with_(Q.WINDOWS) + f'SELECT run, "end", {_COUNTERS} FROM windows',
     "latest_snapshot": with_(Q.WINDOWS)
     + f"""SELECT run AS source, reqs AS sim_devices, (epoch_ms(TIMESTAMP '{NOW}') - epoch_ms("end") + 500) // 1000 AS sim_age_s,

@@ -34,6 +34,10 @@ def n_devices(spark, sf_dir) -> DataFrame:
     return events(spark, sf_dir).agg((F.max("user_id") + 1).alias("n"))
 
 
+def n_events(spark, sf_dir) -> DataFrame:
+    return events(spark, sf_dir).agg((F.max("event_id") + 1).alias("n"))
+
+
 def devices(spark, sf_dir) -> DataFrame:
     numbers = events(spark, sf_dir).select((F.col("user_id") + 1).alias("n")).distinct()
     return device_rows(numbers, n_devices(spark, sf_dir).scalar())
@@ -52,7 +56,7 @@ def readings(spark, sf_dir, extra: tuple[str, ...] = ()) -> DataFrame:
         F.floor("value").cast("int").alias("vehicles"),
         F.col("ts").alias("stored_at"),
         F.col("ts").alias("accepted_at"),
-        (F.col("event_id") * 3).alias("offset"),
+        F.col("event_id").alias("offset"),
         *extra,
     )
 
@@ -66,14 +70,15 @@ def stored(spark, sf_dir) -> DataFrame:
 
 
 def incoming(spark, sf_dir) -> DataFrame:
-    """Messages of one batch: every reading, a second count of every signup, and one foreign device per error."""
+    """Messages of one batch: every reading, then a second count of every signup and a foreign device per error."""
+    n = n_events(spark, sf_dir).scalar()
     rows = readings(spark, sf_dir, ("event_type", "user_id"))
     recount = rows.filter(F.col("event_type") == "signup").select(
         "device_id",
         "interval_start",
         (F.col("vehicles") + 1).alias("vehicles"),
         "accepted_at",
-        (F.col("offset") + 1).alias("offset"),
+        (F.col("offset") + n).alias("offset"),
         "user_id",
     )
     foreign = rows.filter(F.col("event_type") == "error").select(
@@ -81,7 +86,7 @@ def incoming(spark, sf_dir) -> DataFrame:
         "interval_start",
         "vehicles",
         "accepted_at",
-        (F.col("offset") + 2).alias("offset"),
+        (F.col("offset") + n * 2).alias("offset"),
         "user_id",
     )
     sent = rows.select("device_id", "interval_start", "vehicles", "accepted_at", "offset", "user_id")
@@ -100,7 +105,7 @@ def topic(spark, sf_dir) -> DataFrame:
         device_id(F.col("user_id") + 1).alias("key"),
         F.col("props").alias("value"),
         F.pmod(F.col("user_id") + 1, F.lit(6)).cast("int").alias("partition"),
-        (F.col("event_id") * 3 + 2).alias("offset"),
+        (F.col("event_id") + n_events(spark, sf_dir).scalar() * 3).alias("offset"),
     )
     return rows.unionAll(foreign)
 

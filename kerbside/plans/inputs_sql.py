@@ -20,7 +20,7 @@ READINGS = f"""readings AS (
   SELECT {device_id("user_id + 1")} AS device_id,
          CASE WHEN {SECONDS} = 15 THEN time_bucket(INTERVAL '15 seconds', ts) ELSE date_trunc('minute', ts) END AS interval_start,
          CAST(floor(value) AS INTEGER) AS vehicles, ts AS stored_at, ts AS accepted_at,
-         event_id * 3 AS "offset", event_type, user_id
+         event_id AS "offset", event_type, user_id
   FROM events)"""
 
 STORED = f"""stored AS (
@@ -28,13 +28,16 @@ STORED = f"""stored AS (
     SELECT *, row_number() OVER (PARTITION BY device_id, interval_start ORDER BY "offset") AS rn
     FROM readings WHERE stored_at < TIMESTAMP '{HALF}') WHERE rn = 1)"""
 
+# Offset of the foreign message of an event.
+FOREIGN_OFFSET = "event_id + 3 * (SELECT max(event_id) + 1 FROM events)"
+
 INCOMING = """incoming AS (
   SELECT device_id, interval_start, vehicles, accepted_at, "offset", CAST((user_id + 1) % 6 AS INTEGER) AS partition FROM readings
   UNION ALL
-  SELECT device_id, interval_start, vehicles + 1, accepted_at, "offset" + 1, CAST((user_id + 1) % 6 AS INTEGER)
+  SELECT device_id, interval_start, vehicles + 1, accepted_at, "offset" + (SELECT max(event_id) + 1 FROM events), CAST((user_id + 1) % 6 AS INTEGER)
   FROM readings WHERE event_type = 'signup'
   UNION ALL
-  SELECT 'dev-unknown', interval_start, vehicles, accepted_at, "offset" + 2, CAST((user_id + 1) % 6 AS INTEGER)
+  SELECT 'dev-unknown', interval_start, vehicles, accepted_at, "offset" + 2 * (SELECT max(event_id) + 1 FROM events), CAST((user_id + 1) % 6 AS INTEGER)
   FROM readings WHERE event_type = 'error')"""
 
 KNOWN = """known AS (SELECT i.* FROM incoming i SEMI JOIN devices d USING (device_id))"""
@@ -68,7 +71,7 @@ def ranked(p: float) -> str:
 
 _DOWN = f"ts >= TIMESTAMP '{OUTAGE_FROM}' AND ts < TIMESTAMP '{OUTAGE_TO}'"
 WINDOWS = f"""windows AS (
-  SELECT run, start, start + INTERVAL 1 HOUR AS "end", reqs AS sent, reqs, s200, s400, s5xx, timeouts, CAST(0 AS BIGINT) AS neterr,
+  SELECT run, start + INTERVAL 1 HOUR AS "end", reqs AS sent, reqs, s200, s400, s5xx, timeouts, CAST(0 AS BIGINT) AS neterr,
          slow + CASE WHEN start >= TIMESTAMP '{OUTAGE_FROM}' AND start < TIMESTAMP '{CALM_FROM}' THEN 100 ELSE 0 END AS buffered,
          p50, p95, p99, s5xx + timeouts AS errors
   FROM (
@@ -82,6 +85,19 @@ WINDOWS = f"""windows AS (
             FROM events))
     GROUP BY run, start))"""
 
+LENGTHS = """lengths AS (
+  SELECT run, greatest(1000, (gap * 2 + 1000) // 2000 * 1000) AS len_ms FROM (
+    SELECT run, max(gap) FILTER (rn = n // 2 + 1) AS gap FROM (
+      SELECT run, gap, row_number() OVER (PARTITION BY run ORDER BY gap) AS rn, count(*) OVER (PARTITION BY run) AS n
+      FROM (SELECT run, epoch_ms("end") - epoch_ms(lag("end") OVER (PARTITION BY run ORDER BY "end")) AS gap FROM windows)
+      WHERE gap IS NOT NULL) GROUP BY run))"""
+
+# Windows snapped to the grid of their run.
+PLACED = """placed AS (
+  SELECT *, start_ms + len_ms AS until_ms, make_timestamp(start_ms * 1000) AS start, make_timestamp((start_ms + len_ms) * 1000) AS until
+  FROM (SELECT w.*, len_ms, (epoch_ms("end") * 2 + len_ms) // (2 * len_ms) * len_ms - len_ms AS start_ms
+        FROM windows w JOIN lengths l ON l.run = w.run))"""
+
 # Windows next to the facts of their run.
 NORMAL = """normal AS (
   SELECT run, CASE WHEN first_error IS NULL THEN med_buffered ELSE coalesce(early, 0) END AS normal, med_p99, last_error, first_error
@@ -98,7 +114,7 @@ NORMAL = """normal AS (
 SHOWN = """shown AS (
   SELECT *, interesting OR coalesce(lag(interesting) OVER o, false) OR coalesce(lead(interesting) OVER o, false) AS shown
   FROM (SELECT w.*, n.normal, w.errors > 0 OR w.buffered > n.normal OR w.p99 > 3 * n.med_p99 + 5 AS interesting
-        FROM windows w JOIN normal n ON n.run = w.run)
+        FROM placed w JOIN normal n ON n.run = w.run)
   WINDOW o AS (PARTITION BY run ORDER BY "end"))"""
 
 

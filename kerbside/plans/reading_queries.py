@@ -349,7 +349,7 @@ _ITEMS = f"""items AS (
                 WHEN 10 THEN 'vehicles must be a non-negative integer, got 2147483648' END AS reason
   FROM (SELECT r.*, {Q.SECONDS} AS seconds, e.event_id,
                CASE WHEN e.event_type = 'error' THEN CAST(json_extract(e.props, '$.k') AS INTEGER) END AS k
-        FROM events e JOIN readings r ON r."offset" = e.event_id * 3 AND r.user_id = e.user_id)),
+        FROM events e JOIN readings r ON r."offset" = e.event_id AND r.user_id = e.user_id)),
 rejected AS (
   SELECT batch_id, min(pos) AS "index", arg_min(reason, pos) AS reason FROM items WHERE reason IS NOT NULL GROUP BY 1)"""
 _ITEMS = _ITEMS.replace("r.*, CASE WHEN user_id", "r.*, CASE WHEN r.user_id")
@@ -426,11 +426,11 @@ FROM events""",
     "wire_decode": with_(Q.READINGS, Q.INCOMING)
     + """SELECT partition, "offset", true AS is_decoded, device_id, interval_start, CAST(vehicles AS BIGINT) AS vehicles,
        date_trunc('milliseconds', accepted_at) AS accepted_at FROM incoming
-UNION ALL SELECT CAST((user_id + 1) % 6 AS INTEGER), event_id * 3 + 2, false, NULL, NULL, NULL, NULL FROM events WHERE event_type = 'purchase'""",
+UNION ALL SELECT CAST((user_id + 1) % 6 AS INTEGER), {fo}, false, NULL, NULL, NULL, NULL FROM events WHERE event_type = 'purchase'""".format(fo=Q.FOREIGN_OFFSET),
     "commit_offsets": with_(Q.READINGS, Q.INCOMING)
     + """SELECT partition, max("offset") + 1 AS "offset" FROM (
   SELECT partition, "offset" FROM incoming
-  UNION ALL SELECT CAST((user_id + 1) % 6 AS INTEGER), event_id * 3 + 2 FROM events WHERE event_type = 'purchase') GROUP BY 1""",
+  UNION ALL SELECT CAST((user_id + 1) % 6 AS INTEGER), {fo} FROM events WHERE event_type = 'purchase') GROUP BY 1""".format(fo=Q.FOREIGN_OFFSET),
     "lag_per_partition": with_(Q.READINGS, Q.INCOMING, _MARKS)
     + """SELECT partition, low, high, committed, high - coalesce(committed, low) AS lag FROM ends LEFT JOIN done USING (partition)""",
     "consumer_lag": with_(Q.READINGS, Q.INCOMING, _MARKS)

@@ -13,10 +13,10 @@ from .inputs_sql import with_
 
 
 def _ingested(spark, sf):
-    """Ingests the first half of the month, stops, appends the second half and resumes; returns the table's folder."""
+    """Ingests every reading, stops, appends the later messages and resumes; returns the table's folder."""
     root = work_path(spark, "ingest")
     messages = X.topic(spark, sf)
-    cut = X.events(spark, sf).filter(F.col("ts") < X.instant(X.HALF)).agg((F.max("event_id") * 3 + 3).alias("cut")).scalar()
+    cut = X.n_events(spark, sf).scalar()
     for part in (messages.filter(F.col("offset") < cut), messages.filter(F.col("offset") >= cut)):
         topic.write_files(part, f"{root}/topic")
         query = ingest.start_ingest(
@@ -75,10 +75,10 @@ QUERIES = {
     "stream_windows": stream_windows,
 }
 
-_CUT = f"""cut AS (SELECT max(event_id) * 3 + 3 AS cut FROM events WHERE ts < TIMESTAMP '{X.HALF}')"""
+_CUT = "cut AS (SELECT max(event_id) + 1 AS cut FROM events)"
 _TOPIC = f"""topic AS (
   SELECT partition, "offset" FROM incoming
-  UNION ALL SELECT CAST((user_id + 1) % 6 AS INTEGER), event_id * 3 + 2 FROM events WHERE event_type = 'purchase')"""
+  UNION ALL SELECT CAST((user_id + 1) % 6 AS INTEGER), {Q.FOREIGN_OFFSET} FROM events WHERE event_type = 'purchase')"""
 _FIRST = """firsts AS (
   SELECT * FROM known QUALIFY row_number() OVER (PARTITION BY device_id, interval_start ORDER BY "offset") = 1)"""
 _BATCH = 'CASE WHEN "offset" < (SELECT cut FROM cut) THEN 0 ELSE 1 END'
@@ -96,7 +96,7 @@ SQL = {
   UNION ALL SELECT {_BATCH}, 0, 0, 1 FROM firsts) GROUP BY b""",
     "stream_quarantine": with_(*_BASE)
     + f"""SELECT partition, "offset", device_id AS key, {_VALUE} AS value, 'unknown device' AS reason FROM incoming ANTI JOIN devices USING (device_id)
-UNION ALL SELECT CAST((user_id + 1) % 6 AS INTEGER), event_id * 3 + 2, {Q.device_id("user_id + 1")}, props, 'undecodable' FROM events WHERE event_type = 'purchase'""",
+UNION ALL SELECT CAST((user_id + 1) % 6 AS INTEGER), {Q.FOREIGN_OFFSET}, {Q.device_id("user_id + 1")}, props, 'undecodable' FROM events WHERE event_type = 'purchase'""",
     "stream_conflicts": with_(*_BASE)
     + f"""SELECT CAST(1 AS BIGINT) AS batch_id, k.device_id, k.interval_start, f.vehicles AS stored_vehicles, k.vehicles AS incoming_vehicles,
        count(*) AS messages, min(k."offset") AS first_offset
