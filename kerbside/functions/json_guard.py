@@ -1,44 +1,63 @@
-"""Reading untrusted JSON: check the type first, never coerce."""
+"""Reading untrusted JSON: check the type first, never coerce.
 
-from pyspark.sql import Column
+``with_fields`` takes the members of an object apart once, into a variant column and its type name per member; the
+other functions work on those columns, so a document is neither parsed nor searched twice.
+"""
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .times import col
 
+def with_document(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Adds the parsed JSON text as a variant; NULL unless the whole text is one JSON document.
 
-def field(variant, name: str) -> Column:
-    """A member of a JSON object, still as a variant; NULL when absent."""
-    return F.try_variant_get(col(variant), f"$.{name}", "variant")
+    The parser ignores what follows a complete value. So the text is wrapped in an object whose last member repeats
+    a hash of the text: anything after the value makes the object invalid or loses that member.
+    """
+    mark = F.hex(F.xxhash64(F.col(text)))
+    wrapped = F.try_parse_json(F.concat(F.lit('{"doc":'), F.col(text), F.lit(',"end":"'), F.col("_mark"), F.lit('"}')))
+    whole = F.try_variant_get(F.col("_wrapped"), "$.end", "string") == F.col("_mark")
+    marked = df.withColumn("_mark", mark).withColumn("_wrapped", wrapped)
+    doc = F.when(whole, F.try_variant_get(F.col("_wrapped"), "$.doc", "variant"))
+    return marked.withColumn(out, doc).drop("_mark", "_wrapped")
 
 
-def kind(variant) -> Column:
-    return F.schema_of_variant(col(variant))
+def with_fields(df: DataFrame, doc: str, names: Sequence[str]) -> DataFrame:
+    """Adds ``_<name>`` (variant, NULL when absent) and ``_<name>_kind`` for every member."""
+    fields = {f"_{n}": F.try_variant_get(F.col(doc), f"$.{n}", "variant") for n in names}
+    kinds = {f"_{n}_kind": F.schema_of_variant(F.col(f"_{n}")) for n in names}
+    return df.withColumns(fields).withColumns(kinds)
 
 
-def is_object(variant) -> Column:
-    return F.coalesce(kind(variant).startswith("OBJECT"), F.lit(False))
+def field_columns(names: Sequence[str]) -> list[str]:
+    return [c for n in names for c in (f"_{n}", f"_{n}_kind")]
 
 
-def string_or_null(variant) -> Column:
-    """The text when the value is a JSON string."""
-    v = col(variant)
-    return F.when(kind(v) == "STRING", F.try_variant_get(v, "$", "string"))
+def string_field(name: str) -> Column:
+    """The text when the member is a JSON string, else NULL."""
+    return F.when(F.col(f"_{name}_kind") == "STRING", F.try_variant_get(F.col(f"_{name}"), "$", "string"))
 
 
-def number_or_null(variant) -> Column:
-    """The double when the value is a JSON number."""
-    v = col(variant)
-    numeric = (kind(v) == "BIGINT") | (kind(v) == "DOUBLE") | kind(v).startswith("DECIMAL")
-    return F.when(numeric, F.try_variant_get(v, "$", "double"))
+def number_field(name: str) -> Column:
+    """The double when the member is a JSON number, else NULL."""
+    kind = F.col(f"_{name}_kind")
+    numeric = kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL")
+    return F.when(numeric, F.try_variant_get(F.col(f"_{name}"), "$", "double"))
 
 
-def json_text(variant) -> Column:
-    """The value as JSON text for messages: ``undefined`` when absent, whole doubles without a fraction."""
-    v = col(variant)
+def field_text(name: str) -> Column:
+    """The member as JSON text for messages: ``undefined`` when absent, whole doubles without a fraction."""
+    v, kind = F.col(f"_{name}"), F.col(f"_{name}_kind")
     number = F.try_variant_get(v, "$", "double")
     double_text = (
         F.when(F.isnan(number) | (F.abs(number) == float("inf")), F.lit("null"))
         .when((F.abs(number) < 1e21) & (number == F.floor(number)), number.try_cast("decimal(22,0)").cast("string"))
         .otherwise(F.to_json(v))
     )
-    return F.when(v.isNull(), F.lit("undefined")).when(kind(v) == "DOUBLE", double_text).otherwise(F.to_json(v))
+    return F.when(kind.isNull(), F.lit("undefined")).when(kind == "DOUBLE", double_text).otherwise(F.to_json(v))
+
+
+def is_object(variant: str) -> Column:
+    return F.coalesce(F.schema_of_variant(F.col(variant)).startswith("OBJECT"), F.lit(False))

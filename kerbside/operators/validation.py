@@ -13,7 +13,8 @@ NOT_AN_ARRAY = "body must be a JSON array of readings"
 
 def parse_bodies(submissions: DataFrame) -> DataFrame:
     """Adds ``items`` (array of variants; NULL when the body is not a JSON array) and ``batch_reason``."""
-    parsed = submissions.withColumn("items", F.expr("try_variant_get(try_parse_json(body), '$', 'array<variant>')"))
+    parsed = J.with_document(submissions, "body", "_doc")
+    parsed = parsed.withColumn("items", F.try_variant_get("_doc", "$", "array<variant>")).drop("_doc")
     n = F.size("items")
     reason = F.when(F.col("items").isNull(), F.lit(NOT_AN_ARRAY)).when(
         ~n.between(1, MAX_BATCH), F.concat(F.lit(f"batch must contain 1-{MAX_BATCH} readings, got "), n.cast("string"))
@@ -21,37 +22,40 @@ def parse_bodies(submissions: DataFrame) -> DataFrame:
     return parsed.withColumn("batch_reason", reason)
 
 
+FIELDS = ("deviceId", "intervalStart", "intervalSeconds", "vehicles")
+
+
 def item_rows(parsed: DataFrame) -> DataFrame:
-    """One row per item of the well-formed batches; ``pos`` is the item's index.
+    """One row per item of the well-formed batches; ``pos`` is the item's index. Other bodies give one row without.
 
     Size is checked before the explode, so no batch yields more than 500 rows.
     """
-    items = parsed.filter(F.col("batch_reason").isNull()).select(
-        "batch_id", "received_at", F.posexplode("items").alias("pos", "item")
-    )
-    return items.select(
+    good = F.when(F.col("batch_reason").isNull(), F.col("items"))
+    items = parsed.select("batch_id", "received_at", "batch_reason", F.posexplode_outer(good).alias("pos", "item"))
+    return J.with_fields(items.withColumn("is_object", J.is_object("item")), "item", FIELDS).select(
         "batch_id",
         "received_at",
+        "batch_reason",
         "pos",
-        J.is_object("item").alias("is_object"),
-        J.string_or_null(J.field("item", "deviceId")).alias("device_id"),
-        J.string_or_null(J.field("item", "intervalStart")).alias("interval_text"),
-        J.number_or_null(J.field("item", "intervalSeconds")).alias("claimed_seconds"),
-        J.json_text(J.field("item", "intervalSeconds")).alias("claimed_text"),
-        J.number_or_null(J.field("item", "vehicles")).alias("vehicles_number"),
-        J.json_text(J.field("item", "vehicles")).alias("vehicles_text"),
+        "is_object",
+        J.string_field("deviceId").alias("device_id"),
+        J.string_field("intervalStart").alias("interval_text"),
+        J.number_field("intervalSeconds").alias("claimed_seconds"),
+        J.number_field("vehicles").alias("vehicles_number"),
+        *J.field_columns(("intervalSeconds", "vehicles")),
     )
 
 
 def reading_reason() -> Column:
-    """The first broken rule of an item joined with its device, or NULL. Rules are tested in this order."""
+    """The body's error or the first broken rule of an item joined with its device, else NULL, in this order."""
     start = strict_utc("interval_text")
     shape = 'intervalStart must be an ISO 8601 UTC timestamp like "2026-09-30T11:00:45Z"'
     known = F.col("interval_seconds")
     vehicles = F.col("vehicles_number")
     latest = F.col("received_at").cast("timestamp") + F.make_dt_interval(secs=F.lit(CLOCK_SKEW_SECONDS))
     return (
-        F.when(~F.col("is_object"), "reading must be an object")
+        F.when(F.col("batch_reason").isNotNull(), F.col("batch_reason"))
+        .when(~F.col("is_object"), "reading must be an object")
         .when(F.col("device_id").isNull(), "deviceId must be a string")
         .when(known.isNull(), F.concat(F.lit('unknown deviceId "'), "device_id", F.lit('"')))
         .when(
@@ -62,7 +66,7 @@ def reading_reason() -> Column:
                 F.lit(" for "),
                 "device_id",
                 F.lit(", got "),
-                "claimed_text",
+                J.field_text("intervalSeconds"),
             ),
         )
         .when(~F.coalesce(is_strict_utc("interval_text"), F.lit(False)), shape)
@@ -83,13 +87,13 @@ def reading_reason() -> Column:
         )
         .when(
             ~F.coalesce(vehicles.between(0, MAX_INT) & (vehicles == F.floor(vehicles)), F.lit(False)),
-            F.concat(F.lit("vehicles must be a non-negative integer, got "), "vehicles_text"),
+            F.concat(F.lit("vehicles must be a non-negative integer, got "), J.field_text("vehicles")),
         )
     )
 
 
 def check_items(submissions: DataFrame, devices: DataFrame) -> DataFrame:
-    """Item rows with ``reason`` and, where valid, the typed reading."""
+    """Item rows with ``reason`` and, where valid, the typed reading; a broken body is one row without ``pos``."""
     dim = devices.select("device_id", "interval_seconds")
     checked = lookup(item_rows(parse_bodies(submissions)), dim, "device_id", "left").withColumn(
         "reason", reading_reason()
@@ -105,23 +109,16 @@ def check_items(submissions: DataFrame, devices: DataFrame) -> DataFrame:
     )
 
 
-def rejected_batches(submissions: DataFrame, devices: DataFrame, checked: DataFrame | None = None) -> DataFrame:
+def rejected_batches(checked: DataFrame) -> DataFrame:
     """``(batch_id, index, reason)``: one row per rejected batch; index is NULL for errors of the whole body.
 
-    Only failing items reach the aggregate, so what is shuffled is the bad part of the input.
+    Only failures reach the aggregate, so what is shuffled is the bad part of the input.
     """
-    whole = (
-        parse_bodies(submissions)
-        .filter(F.col("batch_reason").isNotNull())
-        .select("batch_id", F.lit(None).cast("int").alias("index"), F.col("batch_reason").alias("reason"))
-    )
-    checked = check_items(submissions, devices) if checked is None else checked
-    first = (
-        checked.filter(F.col("reason").isNotNull())
-        .groupBy("batch_id")
-        .agg(F.min("pos").alias("index"), F.min_by("reason", "pos").alias("reason"))
+    failed = checked.filter(F.col("reason").isNotNull()).groupBy("batch_id")
+    whole = F.max(F.when(F.col("pos").isNull(), F.col("reason")))
+    return failed.agg(
+        F.min("pos").alias("index"), F.coalesce(F.min_by("reason", "pos"), whole).alias("reason")
     )
-    return whole.unionByName(first)
 
 
 def accepted_readings(checked: DataFrame, rejected: DataFrame) -> DataFrame:
@@ -136,7 +133,7 @@ def validate_submissions(submissions: DataFrame, devices: DataFrame) -> tuple[Da
     them first lets the anti join broadcast them, so accepted readings are not shuffled at all.
     """
     checked = check_items(submissions, devices)
-    rejected = rejected_batches(submissions, devices, checked)
+    rejected = rejected_batches(checked)
     return accepted_readings(checked, rejected), rejected
 
 

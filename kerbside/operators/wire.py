@@ -31,14 +31,16 @@ def decode(messages: DataFrame) -> DataFrame:
 
     All other columns (partition, offset, ...) pass through.
     """
-    doc = F.try_parse_json(F.col("value").cast("string"))
-    body = messages.withColumn("_doc", doc)
-    body = (
-        body.withColumn("_device", J.string_or_null(J.field("_doc", "deviceId")))
-        .withColumn("_start", lenient_iso(J.string_or_null(J.field("_doc", "intervalStart"))))
-        .withColumn("_count", J.number_or_null(J.field("_doc", "vehicles")))
-        .withColumn("_accepted", lenient_iso(J.string_or_null(J.field("_doc", "receivedAt"))))
+    fields = ("deviceId", "intervalStart", "vehicles", "receivedAt")
+    body = J.with_document(messages.withColumn("_text", F.col("value").cast("string")), "_text", "_doc")
+    body = J.with_fields(body, "_doc", fields).select(
+        *messages.columns,
+        J.string_field("deviceId").alias("_device"),
+        J.string_field("intervalStart").alias("_start_text"),
+        J.number_field("vehicles").alias("_count"),
+        J.string_field("receivedAt").alias("_accepted_text"),
     )
+    body = body.withColumns({"_start": lenient_iso("_start_text"), "_accepted": lenient_iso("_accepted_text")})
     count = F.col("_count")
     whole = (count >= 0) & (count < float("inf")) & ((count >= float(EXACT_DOUBLE)) | (count == F.floor(count)))
     good = (

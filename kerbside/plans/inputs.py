@@ -12,6 +12,8 @@ from ..operators.devices import device_rows
 from ..operators.wire import message_value
 from ..session import configure
 
+# Given, so that opening the table starts no job.
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 HALF = "2024-01-16 00:00:00"
 OUTAGE_FROM = "2024-01-10 06:00:00"
 OUTAGE_TO = "2024-01-10 12:00:00"
@@ -27,7 +29,7 @@ def instant(text: str):
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/events.parquet")
+    return configure(spark).read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def n_devices(spark, sf_dir) -> DataFrame:

@@ -223,7 +223,7 @@ def validate_reasons(spark, sf):
 
 
 def validate_batches(spark, sf):
-    return V.rejected_batches(X.submissions(spark, sf), X.devices(spark, sf))
+    return V.rejected_batches(_checked(spark, sf))
 
 
 def _accepted(spark, sf):
@@ -473,7 +473,8 @@ FROM source s, held h""".replace("\n, source", ",\nsource", 1),
     "oldest_batch": with_(Q.READINGS, Q.STORED)
     + """SELECT device_id, interval_start, vehicles FROM stored
 QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY interval_start) <= 10""",
-    "validate_reasons": with_(Q.READINGS, _ITEMS) + "SELECT batch_id, pos, reason FROM items",
+    "validate_reasons": with_(Q.READINGS, _ITEMS) + """SELECT batch_id, pos, reason FROM items
+UNION ALL SELECT event_id * 2 + 1, NULL, 'body must be a JSON array of readings' FROM events""",
     "validate_batches": with_(Q.READINGS, _ITEMS)
     + """SELECT batch_id, "index", reason FROM rejected
 UNION ALL SELECT event_id * 2 + 1, NULL, 'body must be a JSON array of readings' FROM events""",

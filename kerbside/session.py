@@ -6,6 +6,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
+    # A repeated member of a JSON object counts with its last value.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

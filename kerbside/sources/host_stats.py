@@ -32,10 +32,10 @@ def wait_counts(stats: DataFrame) -> DataFrame:
 
 def container_stats(lines: DataFrame, value: str = "value") -> DataFrame:
     """CPU and memory from container statistics in JSON, one object per row; parts that do not parse are NULL."""
-    doc = lines.withColumn("_doc", F.try_parse_json(value))
+    doc = J.with_fields(J.with_document(lines, value, "_doc"), "_doc", ("CPUPerc", "MemUsage", "MemPerc"))
     return doc.select(
         *lines.columns,
-        percent(J.string_or_null(J.field("_doc", "CPUPerc"))).alias("pg_cpu_pct"),
-        used_memory_mib(J.string_or_null(J.field("_doc", "MemUsage"))).alias("pg_mem_mib"),
-        percent(J.string_or_null(J.field("_doc", "MemPerc"))).alias("pg_mem_pct"),
+        percent(J.string_field("CPUPerc")).alias("pg_cpu_pct"),
+        used_memory_mib(J.string_field("MemUsage")).alias("pg_mem_mib"),
+        percent(J.string_field("MemPerc")).alias("pg_mem_pct"),
     )

@@ -30,7 +30,7 @@ def ingest_batch(messages: DataFrame, batch_id: int, path: str, devices: DataFra
     good, refused = I.split_by_constraints(decoded.filter("is_decoded"), devices)
     firsts = I.first_writes(good)
     # One row with the distinct dates of the batch: days, never keys.
-    dates = firsts.agg(F.collect_set(F.to_date("interval_start")).alias("dates")).first().dates
+    dates = decoded.agg(F.collect_set(F.to_date("interval_start")).alias("dates")).first().dates
     stored = table.read_dates(spark, path, dates).filter(F.col("batch_id") < batch_id)
     probed = I.probe(firsts, stored).persist()
     try:
