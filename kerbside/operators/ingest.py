@@ -25,7 +25,7 @@ def split_by_constraints(messages: DataFrame, devices: DataFrame) -> tuple[DataF
     reason = F.when(F.col("is_known").isNull(), "unknown device").when(~value_in_range(), "vehicles out of range")
     marked = marked.withColumn("reason", reason).drop("is_known")
     good = marked.filter(F.col("reason").isNull()).drop("reason")
-    return good.withColumn("vehicles", F.col("vehicles").cast("int")), marked.filter(F.col("reason").isNotNull())
+    return good.withColumn("vehicles", F.col("vehicles").try_cast("int")), marked.filter(F.col("reason").isNotNull())
 
 
 def first_writes(messages: DataFrame) -> DataFrame:

@@ -23,8 +23,9 @@ FROM, TO = "2024-01-01 00:00:00", "2024-01-20 12:00:00"
 
 def seed_devices(spark, sf):
     count = X.n_devices(spark, sf).first().n
-    early = X.readings(spark, sf).filter(F.col("stored_at") < X.instant(EARLY)).select("device_id")
-    return D.missing_devices(D.seed_devices(spark, count), early)
+    rows = X.readings(spark, sf, ("event_type",))
+    early = rows.filter((F.col("stored_at") < X.instant(EARLY)) & (F.col("event_type") == "purchase"))
+    return D.missing_devices(D.seed_devices(spark, count), early.select("device_id"))
 
 
 def load_devices(spark, sf):
@@ -371,7 +372,7 @@ SQL = {
   SELECT {Q.device_id("n")} AS device_id, 'Sensor ' || n AS name,
          CAST(CASE WHEN n <= (SELECT max(user_id) + 1 FROM events) // 2 THEN 15 ELSE 60 END AS INTEGER) AS interval_seconds
   FROM (SELECT unnest(range(1, (SELECT max(user_id) + 2 FROM events))) AS n))
-WHERE device_id NOT IN (SELECT device_id FROM readings WHERE stored_at < TIMESTAMP '{EARLY}')""",
+WHERE device_id NOT IN (SELECT device_id FROM readings WHERE stored_at < TIMESTAMP '{EARLY}' AND event_type = 'purchase')""",
     "load_devices": with_(Q.DEVICES) + "SELECT device_id, interval_seconds FROM devices",
     "expected_rate": with_(Q.DEVICES)
     + """SELECT count(*) AS devices, CAST(sum(60 // interval_seconds) AS BIGINT) AS readings_per_min,
