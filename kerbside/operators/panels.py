@@ -55,31 +55,28 @@ def missing_ranges(readings: DataFrame, devices: DataFrame, start, end) -> DataF
     """
     dim = devices.select("device_id", F.col("interval_seconds").cast("long").alias("step"))
     lo, hi = epoch_ms(_instant(start)), epoch_ms(_instant(end))
-    rows = (
-        readings.filter((F.col("interval_start") >= _instant(start)) & (F.col("interval_start") < _instant(end)))
-        .select("device_id", epoch_ms("interval_start").alias("at"), time_chunk("interval_start").alias("chunk"))
-    )
-    # A gap ends at the next stored interval; what follows a device's last row ends at the end of the range.
-    later = neighbours(rows, ["device_id"], "at", ["at"]).select("device_id", "at", "next_at")
-    after = lookup(later, dim, "device_id", "inner").select(
-        "device_id",
-        "step",
-        (F.col("at") + F.col("step") * 1000).alias("gap_from"),
-        F.coalesce("next_at", hi).alias("gap_to"),
-    )
-    firsts = rows.groupBy("device_id").agg(F.min("at").alias("first_at"))
-    before = dim.join(firsts, "device_id", "left").select(
-        "device_id",
-        "step",
-        _ceil_to(lo, F.col("step") * 1000).alias("gap_from"),
-        F.coalesce("first_at", hi).alias("gap_to"),
-    )
-    gaps = after.unionByName(before)
-    n = F.ceil((F.col("gap_to") - F.col("gap_from")) / (F.col("step") * 1000)).cast("long")
+    rows = readings.filter((F.col("interval_start") >= _instant(start)) & (F.col("interval_start") < _instant(end)))
+    # Placed once by (device, day); the summary of the days and the rows themselves share this exchange.
+    rows = rows.select(
+        "device_id", epoch_ms("interval_start").alias("at"), time_chunk("interval_start").alias("chunk")
+    ).repartition("device_id", "chunk")
+    near = lookup(neighbours(rows, ["device_id"], "at", ["at"]), dim, "device_id", "inner")
+    step = F.col("step") * 1000
+
+    def gap(low, high):
+        return F.struct(low.alias("gap_from"), high.alias("gap_to"))
+
+    # Every row closes the gap up to the next one; a device's first row also closes the gap before it.
+    after = gap(F.col("at") + step, F.coalesce("next_at", hi))
+    before = F.when(F.col("prev_at").isNull(), gap(_ceil_to(lo, step), F.col("at")))
+    held = near.select("device_id", "step", F.inline(F.array_compact(F.array(before, after))))
+    silent = dim.join(rows.select("device_id").distinct(), "device_id", "left_anti")
+    gaps = held.unionByName(silent.select("device_id", "step", _ceil_to(lo, step).alias("gap_from"), hi.alias("gap_to")))
+    n = F.ceil((F.col("gap_to") - F.col("gap_from")) / step).cast("long")
     return gaps.filter(F.col("gap_to") > F.col("gap_from")).select(
         "device_id",
         from_ms("gap_from").alias("missing_from"),
-        from_ms(F.col("gap_from") + n * F.col("step") * 1000).alias("missing_to"),
+        from_ms(F.col("gap_from") + n * step).alias("missing_to"),
         n.alias("n_missing"),
     )
 

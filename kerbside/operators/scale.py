@@ -8,6 +8,8 @@
 """
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,8 +27,8 @@ def plan_bytes(df: DataFrame) -> int:
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
+    """The session's size limit for broadcast joins; -1 when broadcasting is off."""
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def lookup(fact: DataFrame, dim: DataFrame, key: str, how: str = "left", max_bytes: int | None = None) -> DataFrame:
@@ -34,7 +36,8 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, how: str = "left", max_byt
 
     A dimension below the limit is broadcast, so the fact is not shuffled. A larger one is repeated ``SALTS``
     times and joined on (key, salt): a key holding a third of the fact then spreads over many tasks, and
-    adaptive execution splits what is still too big.
+    adaptive execution splits what is still too big. The salt is a hash of the whole row, so a retried task
+    sends every row where it went before.
     """
     limit = broadcast_limit(dim) if max_bytes is None else max_bytes
     if plan_bytes(dim) <= limit:
@@ -60,33 +63,33 @@ def neighbours(
     row per chunk, so no task ever sorts a whole sequence.
     """
     keys = list(keys)
+    wanted = list(dict.fromkeys([order, *cols]))
     inside = Window.partitionBy(*keys, chunk).orderBy(order)
-    packed = F.struct(*cols)
     # One min_by/max_by per column keeps fixed-width buffers, hence hash aggregation with map-side combine.
     edges = df.groupBy(*keys, chunk).agg(
-        *[F.min_by(c, order).alias(f"_first_{c}") for c in cols],
-        *[F.max_by(c, order).alias(f"_last_{c}") for c in cols],
+        *[F.min_by(c, order).alias(f"_first_{c}") for c in wanted],
+        *[F.max_by(c, order).alias(f"_last_{c}") for c in wanted],
     )
+    across = _sequence(keys, chunk)
     edges = edges.select(
         *keys,
         chunk,
-        F.struct(*[F.col(f"_first_{c}").alias(c) for c in cols]).alias("_first"),
-        F.struct(*[F.col(f"_last_{c}").alias(c) for c in cols]).alias("_last"),
-    )
-    across = _sequence(keys, chunk)
-    edges = edges.select(
-        *keys, chunk, F.lag("_last").over(across).alias("_before"), F.lead("_first").over(across).alias("_after")
+        *[F.lag(f"_last_{c}").over(across).alias(f"_before_{c}") for c in cols],
+        *[F.lead(f"_first_{c}").over(across).alias(f"_after_{c}") for c in cols],
     )
-    near = (
-        df.withColumn("_prev", F.lag(packed).over(inside))
-        .withColumn("_next", F.lead(packed).over(inside))
-        .join(edges, [*keys, chunk], "left")
-        .withColumn("_prev", F.coalesce("_prev", "_before"))
-        .withColumn("_next", F.coalesce("_next", "_after"))
+    near = df.withColumns(
+        {f"_prev_{c}": F.lag(c).over(inside) for c in wanted} | {f"_next_{c}": F.lead(c).over(inside) for c in wanted}
+    ).join(edges, [*keys, chunk], "left")
+
+    def across_border(side: str, border: str, c: str) -> Column:
+        # The order column is never NULL, so a NULL neighbour means the chunk ends here.
+        return F.when(F.col(f"_{side}_{order}").isNull(), F.col(f"_{border}_{c}")).otherwise(F.col(f"_{side}_{c}"))
+
+    return near.select(
+        *df.columns,
+        *[across_border("prev", "before", c).alias(f"prev_{c}") for c in cols],
+        *[across_border("next", "after", c).alias(f"next_{c}") for c in cols],
     )
-    for c in cols:
-        near = near.withColumn(f"prev_{c}", F.col(f"_prev.{c}")).withColumn(f"next_{c}", F.col(f"_next.{c}"))
-    return near.drop("_prev", "_next", "_before", "_after")
 
 
 def running_sum(
@@ -135,11 +138,14 @@ def value_at_rank(df: DataFrame, keys: Sequence[str], value: str, ranks: dict[st
     is therefore never sorted, or held in memory, as a whole.
     """
     keys = list(keys)
+    # The NULL checks the joins below would infer are spelled out, so that both uses share one exchange.
+    present = reduce(and_, [F.col(c).isNotNull() for c in (*keys, "_v", "_block")])
     counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("long").alias("_v"))
-        .agg(F.count("*").alias("_n"))
+        df.select(*keys, F.col(value).cast("long").alias("_v"))
         .withColumn("_block", F.shiftright("_v", BLOCK_BITS))
+        .filter(present)
+        .groupBy(*keys, "_block", "_v")
+        .agg(F.count("*").alias("_n"))
     )
     blocks = counts.groupBy(*keys, "_block").agg(F.sum("_n").alias("_n"))
     ordered = _sequence(keys, "_block")

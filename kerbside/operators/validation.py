@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import json_guard as J
 from ..functions.times import epoch_ms, is_strict_utc, strict_utc
 from ..schema import CLOCK_SKEW_SECONDS, MAX_BATCH, MAX_INT
+from ..session import saved
 from .scale import lookup
 
 NOT_AN_ARRAY = "body must be a JSON array of readings"
@@ -129,11 +130,12 @@ def accepted_readings(checked: DataFrame, rejected: DataFrame) -> DataFrame:
 def validate_submissions(submissions: DataFrame, devices: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Splits submissions ``(batch_id, received_at, body)`` into accepted readings and rejected batches.
 
-    ``batch_id`` identifies one submission. Rejections are usually few: a caller that persists or writes
-    them first lets the anti join broadcast them, so accepted readings are not shuffled at all.
+    ``batch_id`` identifies one submission. Bodies are parsed once: the typed rows are saved, then the rejected
+    ids. The size of the latter is known when the anti join is planned, so accepted rows are not shuffled as
+    long as the rejections fit a broadcast.
     """
-    checked = check_items(submissions, devices)
-    rejected = rejected_batches(checked)
+    checked = saved(check_items(submissions, devices), "checked-items")
+    rejected = saved(rejected_batches(checked), "rejected-batches")
     return accepted_readings(checked, rejected), rejected
 
 

@@ -75,27 +75,25 @@ def incoming(spark, sf_dir) -> DataFrame:
     """Messages of one batch: every reading, then a second count of every signup and a foreign device per error."""
     n = n_events(spark, sf_dir).scalar()
     rows = readings(spark, sf_dir, ("event_type", "user_id"))
-    recount = rows.filter(F.col("event_type") == "signup").select(
-        "device_id",
-        "interval_start",
-        (F.col("vehicles") + 1).alias("vehicles"),
-        "accepted_at",
-        (F.col("offset") + n).alias("offset"),
-        "user_id",
-    )
-    foreign = rows.filter(F.col("event_type") == "error").select(
-        F.lit("dev-unknown").alias("device_id"),
-        "interval_start",
-        "vehicles",
-        "accepted_at",
-        (F.col("offset") + n * 2).alias("offset"),
-        "user_id",
-    )
-    sent = rows.select("device_id", "interval_start", "vehicles", "accepted_at", "offset", "user_id")
-    partition = F.pmod(F.col("user_id") + 1, F.lit(6)).cast("int").alias("partition")
-    return sent.unionAll(recount).unionAll(foreign).select(
-        "device_id", "interval_start", "vehicles", "accepted_at", "offset", partition
-    )
+    partition = F.pmod(F.col("user_id") + 1, F.lit(6)).cast("int")
+    kind = F.col("event_type")
+
+    def message(device, vehicles, offset):
+        return F.struct(
+            device.alias("device_id"),
+            F.col("interval_start"),
+            vehicles.alias("vehicles"),
+            F.col("accepted_at"),
+            offset.alias("offset"),
+            partition.alias("partition"),
+        )
+
+    device, vehicles, offset = F.col("device_id"), F.col("vehicles"), F.col("offset")
+    sent = message(device, vehicles, offset)
+    recount = F.when(kind == "signup", message(device, vehicles + 1, offset + n))
+    foreign = F.when(kind == "error", message(F.lit("dev-unknown"), vehicles, offset + n * 2))
+    # One scan: at most two messages leave per event.
+    return rows.select(F.inline(F.array_compact(F.array(sent, recount, foreign))))
 
 
 def topic(spark, sf_dir) -> DataFrame:
