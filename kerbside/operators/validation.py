@@ -9,6 +9,7 @@ from ..schema import CLOCK_SKEW_SECONDS, MAX_BATCH, MAX_INT
 from ..session import saved
 from .scale import lookup
 
+# The texts below are fixed values: clients match on them.
 NOT_AN_ARRAY = "body must be a JSON array of readings"
 
 

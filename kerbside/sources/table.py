@@ -4,10 +4,11 @@
 same batch again after a crash changes nothing. ``batches`` is written last and therefore marks a batch as done.
 """
 
-from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,11 +33,34 @@ def _read(spark: SparkSession, schema, root: str, paths: list[str]) -> DataFrame
         return spark.createDataFrame([], schema)
 
 
-def read_dates(spark: SparkSession, path: str, dates: Iterable) -> DataFrame:
-    """Stored rows of some dates only; the folders of other dates are not listed."""
+# Beyond this many dates one overall range replaces the range per date.
+MAX_RANGES = 64
+
+
+def date_spans(rows: DataFrame) -> list[Row]:
+    """``(event_date, low, high)``: the range of ``interval_start`` per date in epoch microseconds. Days, never keys."""
+    micros = F.unix_micros("interval_start")
+    spans = rows.filter(F.col("interval_start").isNotNull()).groupBy(F.to_date("interval_start").alias("event_date"))
+    return spans.agg(F.min(micros).alias("low"), F.max(micros).alias("high")).collect()
+
+
+def read_spans(spark: SparkSession, path: str, spans: list[Row]) -> DataFrame:
+    """Stored rows inside some spans.
+
+    Only the folders of their dates are listed. The time ranges reach the file scan, where they skip the files of
+    batches that hold other minutes of the same day.
+    """
+    if not spans:
+        return spark.createDataFrame([], READINGS)
     root = f"{path}/readings"
-    wanted = ",".join(sorted(str(d) for d in dates))
-    return _read(spark, READINGS, root, [f"{root}/event_date={{{wanted}}}"])
+    dates = ",".join(sorted(str(s.event_date) for s in spans))
+    ranges = [(s.low, s.high) for s in spans]
+    if len(ranges) > MAX_RANGES:
+        ranges = [(min(low for low, _ in ranges), max(high for _, high in ranges))]
+    inside = reduce(
+        or_, [F.col("interval_start").between(*(F.timestamp_micros(F.lit(x)) for x in ends)) for ends in ranges]
+    )
+    return _read(spark, READINGS, root, [f"{root}/event_date={{{dates}}}"]).filter(inside)
 
 
 def read_readings(spark: SparkSession, path: str) -> DataFrame:

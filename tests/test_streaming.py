@@ -1,5 +1,7 @@
+import glob
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,6 +136,12 @@ def test_sorted_rewrite_keeps_the_rows(spark, tmp_path):
     cols = ["device_id", "interval_start", "vehicles", "stored_at"]
     assert again.select(cols).exceptAll(rows.select(cols)).count() == 0
     assert again.count() == rows.count() == 20
+    # Time filters need statistics in the files.
+    for path in glob.glob(f"{folder}/sorted/readings/*/*/*.parquet"):
+        meta = pq.ParquetFile(path).metadata
+        names = [meta.schema.column(i).name for i in range(meta.num_columns)]
+        stats = meta.row_group(0).column(names.index("interval_start")).statistics
+        assert stats is not None and stats.has_min_max
 
 
 def test_live_panel_equals_the_batch_answer(spark, tmp_path):
