@@ -30,9 +30,8 @@ def window_length(windows: DataFrame, run: list[str]) -> DataFrame:
     typical = value_at_rank(gaps, run, "gap", {"gap": upper_median()})
     rounded = F.shiftright(F.col("gap") * 2 + 1000, 1)
     rounded = rounded - F.pmod(rounded, F.lit(1000))
-    runs = windows.select(*run).distinct() if run else windows.agg(F.count("*").alias("_windows"))
-    joined = runs.join(typical, run, "left") if run else typical
-    return joined.select(*run, F.greatest(F.lit(1000), F.coalesce(rounded, F.lit(1000))).cast("long").alias("len_ms"))
+    known = windows.select(*run).distinct().join(typical, run, "left") if run else typical
+    return known.select(*run, F.greatest(F.lit(1000), F.coalesce(rounded, F.lit(1000))).cast("long").alias("len_ms"))
 
 
 def placed(windows: DataFrame, run: list[str]) -> DataFrame:

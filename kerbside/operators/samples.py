@@ -1,5 +1,6 @@
 """Monitor samples: profiles of the stored table, latest window per source, assembled sample rows."""
 
+import time
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import MIB, is_stale, round_half_up, to_fixed
 from ..functions.times import col, epoch_ms
+from .panels import time_range, vehicles_per_bin
 
 
 def table_profile(table: DataFrame) -> DataFrame:
@@ -26,6 +28,15 @@ def table_profile(table: DataFrame) -> DataFrame:
     )
 
 
+def city_wide_ms(readings: DataFrame, now, hours: int) -> float:
+    """Wall-clock milliseconds of the city-wide panel over the last hours, all result rows computed."""
+    end = _instant(now)
+    recent = time_range(readings, end - F.make_dt_interval(hours=F.lit(hours)), end)
+    start = time.perf_counter()
+    vehicles_per_bin(recent).orderBy("time").write.format("noop").mode("overwrite").save()
+    return round((time.perf_counter() - start) * 1000, 1)
+
+
 def latest_snapshots(snapshots: DataFrame, now, source: str = "source") -> DataFrame:
     """The newest window of every source, under the monitor's column names."""
     written = col("writtenAt").cast("timestamp")

@@ -9,7 +9,12 @@ def device_id(n: str) -> str:
     return f"({_ID.format(n=n)})"
 
 
-SECONDS = "CASE WHEN user_id + 1 <= (SELECT max(user_id) + 1 FROM events) // 2 THEN 15 ELSE 60 END"
+
+def seconds(user: str = "user_id") -> str:
+    return f"CASE WHEN {user} + 1 <= (SELECT max(user_id) + 1 FROM events) // 2 THEN 15 ELSE 60 END"
+
+
+SECONDS = seconds()
 
 DEVICES = f"""devices AS (
   SELECT DISTINCT {device_id("user_id + 1")} AS device_id, 'Sensor ' || CAST(user_id + 1 AS VARCHAR) AS name,

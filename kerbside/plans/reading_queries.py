@@ -332,7 +332,7 @@ done AS (SELECT partition, max("offset") + 1 AS committed FROM incoming
 
 _TEXT = "strftime(interval_start, '%Y-%m-%dT%H:%M:%SZ')"
 _SHAPE = """intervalStart must be an ISO 8601 UTC timestamp like "2026-09-30T11:00:45Z\""""
-_ITEMS = f"""items AS (
+ITEMS = f"""items AS (
   SELECT event_id // 20 * 2 AS batch_id, CAST(row_number() OVER (PARTITION BY event_id // 20 ORDER BY event_id) - 1 AS INTEGER) AS pos,
          device_id, interval_start, vehicles,
          CASE k WHEN 20 THEN 'reading must be an object'
@@ -348,12 +348,11 @@ _ITEMS = f"""items AS (
                 WHEN 19 THEN 'vehicles must be a non-negative integer, got "7"'
                 WHEN 11 THEN 'vehicles must be a non-negative integer, got 1.5'
                 WHEN 10 THEN 'vehicles must be a non-negative integer, got 2147483648' END AS reason
-  FROM (SELECT r.*, {Q.SECONDS} AS seconds, e.event_id,
+  FROM (SELECT r.*, {Q.seconds('r.user_id')} AS seconds, e.event_id,
                CASE WHEN e.event_type = 'error' THEN CAST(json_extract(e.props, '$.k') AS INTEGER) END AS k
         FROM events e JOIN readings r ON r."offset" = e.event_id AND r.user_id = e.user_id)),
 rejected AS (
   SELECT batch_id, min(pos) AS "index", arg_min(reason, pos) AS reason FROM items WHERE reason IS NOT NULL GROUP BY 1)"""
-_ITEMS = _ITEMS.replace("r.*, CASE WHEN user_id", "r.*, CASE WHEN r.user_id")
 
 _ANSWERED = f"""answered AS (
   SELECT *, row_number() OVER (PARTITION BY h ORDER BY latency_ms) AS rn, count(*) OVER (PARTITION BY h) AS n
@@ -474,14 +473,14 @@ FROM source s, held h""".replace("\n, source", ",\nsource", 1),
     "oldest_batch": with_(Q.READINGS, Q.STORED)
     + """SELECT device_id, interval_start, vehicles FROM stored
 QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY interval_start) <= 10""",
-    "validate_reasons": with_(Q.READINGS, _ITEMS) + """SELECT batch_id, pos, reason FROM items
+    "validate_reasons": with_(Q.READINGS, ITEMS) + """SELECT batch_id, pos, reason FROM items
 UNION ALL SELECT event_id * 2 + 1, NULL, 'body must be a JSON array of readings' FROM events""",
-    "validate_batches": with_(Q.READINGS, _ITEMS)
+    "validate_batches": with_(Q.READINGS, ITEMS)
     + """SELECT batch_id, "index", reason FROM rejected
 UNION ALL SELECT event_id * 2 + 1, NULL, 'body must be a JSON array of readings' FROM events""",
-    "validate_accepted": with_(Q.READINGS, _ITEMS)
+    "validate_accepted": with_(Q.READINGS, ITEMS)
     + "SELECT batch_id, pos, device_id, interval_start, vehicles FROM items WHERE batch_id NOT IN (SELECT batch_id FROM rejected)",
-    "validate_summary": with_(Q.READINGS, _ITEMS)
+    "validate_summary": with_(Q.READINGS, ITEMS)
     + "SELECT batch_id, count(*) AS queued FROM items WHERE batch_id NOT IN (SELECT batch_id FROM rejected) GROUP BY 1",
     "classify_outcomes": with_(Q.REQUESTS)
     + """SELECT event_id, CASE WHEN status = 200 THEN 'ok' WHEN status = 400 THEN 'rejected' WHEN status IS NOT NULL THEN '5xx'

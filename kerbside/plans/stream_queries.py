@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from ..operators import telemetry as T
 from ..session import work_path
 from ..sources import table, topic
-from ..streaming import ingest, live
+from ..streaming import ingest, live, publish
 from . import inputs as X
 from . import inputs_sql as Q
+from . import reading_queries as R
 from .inputs import ntz
 from .inputs_sql import with_
 
@@ -57,6 +58,22 @@ def stream_lag(spark, sf):
     return T.lag_per_partition(ends, done)
 
 
+def stream_publish(spark, sf):
+    """All submissions validated as a stream; returns the messages that reached the topic."""
+    root = work_path(spark, "publish")
+    submitted = X.submissions(spark, sf)
+    submitted.write.parquet(f"{root}/submissions")
+
+    def store(name):
+        return lambda rows, batch_id: rows.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
+
+    stream = spark.readStream.schema(submitted.schema).parquet(f"{root}/submissions")
+    publish.start_publish(
+        stream, store("messages"), store("rejected"), f"{root}/checkpoint", lambda session: X.devices(session, sf)
+    ).awaitTermination()
+    return spark.read.schema("key string, value string").parquet(f"{root}/messages").select("key", "value")
+
+
 def stream_windows(spark, sf):
     root = work_path(spark, "panel")
     schema = X.events(spark, sf).schema
@@ -72,6 +89,7 @@ QUERIES = {
     "stream_quarantine": stream_quarantine,
     "stream_conflicts": stream_conflicts,
     "stream_lag": stream_lag,
+    "stream_publish": stream_publish,
     "stream_windows": stream_windows,
 }
 
@@ -106,5 +124,10 @@ WHERE k.vehicles <> f.vehicles GROUP BY 2, 3, 4, 5""",
     "stream_lag": with_(*_BASE)
     + """SELECT partition, min("offset") AS low, max("offset") + 1 AS high, max("offset") + 1 AS committed, CAST(0 AS BIGINT) AS lag
 FROM topic GROUP BY 1""",
+    "stream_publish": with_(Q.READINGS, R.ITEMS)
+    + """SELECT i.device_id AS key, '{"deviceId":"' || i.device_id || '","intervalStart":"' || strftime(interval_start, '%Y-%m-%dT%H:%M:%SZ')
+       || '","vehicles":' || vehicles || ',"receivedAt":"' || strftime(b.received_at, '%Y-%m-%dT%H:%M:%S.%g') || 'Z"}' AS value
+FROM items i JOIN (SELECT event_id // 20 * 2 AS batch_id, max(ts) AS received_at FROM events GROUP BY 1) b ON b.batch_id = i.batch_id
+WHERE i.batch_id NOT IN (SELECT batch_id FROM rejected)""",
     "stream_windows": """SELECT date_trunc('minute', ts) AS "time", CAST(sum(floor(value)) AS BIGINT) AS vehicles FROM events GROUP BY 1""",
 }

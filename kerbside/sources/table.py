@@ -4,9 +4,6 @@
 same batch again after a crash changes nothing. ``batches`` is written last and therefore marks a batch as done.
 """
 
-from functools import reduce
-from operator import or_
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -57,9 +54,7 @@ def read_spans(spark: SparkSession, path: str, spans: list[Row]) -> DataFrame:
     ranges = [(s.low, s.high) for s in spans]
     if len(ranges) > MAX_RANGES:
         ranges = [(min(low for low, _ in ranges), max(high for _, high in ranges))]
-    inside = reduce(
-        or_, [F.col("interval_start").between(*(F.timestamp_micros(F.lit(x)) for x in ends)) for ends in ranges]
-    )
+    inside = " OR ".join(f"interval_start BETWEEN timestamp_micros({lo}) AND timestamp_micros({hi})" for lo, hi in ranges)
     return _read(spark, READINGS, root, [f"{root}/event_date={{{dates}}}"]).filter(inside)
 
 

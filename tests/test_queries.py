@@ -3,6 +3,7 @@
 import glob
 import math
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
@@ -35,15 +36,27 @@ def as_rows(columns, rows):
     return sorted(tuple(cell(row[i]) for i in order) for row in rows)
 
 
+@pytest.fixture(scope="module")
+def results(spark):
+    """All queries, a few at a time: small ones mostly wait for the planner."""
+
+    def run(name):
+        df = QUERIES[name](spark, SF_DIR)
+        return df.columns, df.collect()
+
+    with ThreadPoolExecutor(4) as pool:
+        yield {name: pool.submit(run, name) for name in sorted(QUERIES)}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_equals_its_sql(spark, con, name):
-    df = QUERIES[name](spark, SF_DIR)
-    rows = as_rows(df.columns, df.collect())
+def test_query_equals_its_sql(results, con, name):
+    found, collected = results[name].result()
+    rows = as_rows(found, collected)
     assert rows
     if name in SQL:
         result = con.execute(SQL[name])
         columns = [d[0] for d in result.description]
-        assert sorted(columns) == sorted(df.columns)
+        assert sorted(columns) == sorted(found)
         assert rows == as_rows(columns, result.fetchall())
 
 

@@ -87,6 +87,11 @@ def test_samples_are_assembled_with_gaps(spark):
     ]
 
 
+def test_city_wide_query_is_timed(spark):
+    rows = spark.createDataFrame([("a", ts("2026-09-30 11:00:00"), 1)], "device_id string, interval_start timestamp, vehicles int")
+    assert S.city_wide_ms(rows, ts("2026-09-30 11:30:00"), 1) > 0
+
+
 def test_table_profile(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).repartition(3).write.parquet(path)

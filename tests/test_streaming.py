@@ -10,6 +10,7 @@ from kerbside.operators import panels as P
 from kerbside.operators import telemetry as T
 from kerbside.sources import table, topic
 from kerbside.streaming import ingest, live
+from kerbside.streaming.publish import start_publish
 
 from .helpers import devices, later, naive, ts
 
@@ -144,6 +145,35 @@ def test_sorted_rewrite_keeps_the_rows(spark, tmp_path):
         assert stats is not None and stats.has_min_max
 
 
+def test_submissions_reach_the_table(spark, tmp_path, rows):
+    """Submitted bodies, validated and published by one stream, stored by another."""
+    folder = str(tmp_path)
+    item = '{"deviceId":"%s","intervalStart":"2026-09-30T23:59:%s","intervalSeconds":%s,"vehicles":%s}'
+    bodies = [
+        "[" + item % ("a", "00Z", 15, 1) + "," + item % ("b", "00Z", 60, 2) + "]",
+        "[" + item % ("a", "15Z", 15, 3) + "," + item % ("a", "16Z", 15, 4) + "]",
+        "[" + item % ("a", "00Z", 15, 9) + "]",
+    ]
+    data = [(i, later(T0, 60 + i), body) for i, body in enumerate(bodies)]
+    schema = "batch_id long, received_at timestamp, body string"
+    spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{folder}/in")
+
+    def send(messages, batch_id):
+        offset = F.unix_millis(F.get_json_object("value", "$.receivedAt").cast("timestamp"))
+        topic.write_files(messages.withColumn("partition", F.lit(0)).withColumn("offset", offset), f"{folder}/topic")
+
+    def reject(rejected, batch_id):
+        rejected.write.mode("overwrite").parquet(f"{folder}/rejected/batch_id={batch_id}")
+
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+    start_publish(stream, send, reject, f"{folder}/sent", lambda s: devices(s, *DIM)).awaitTermination()
+    drain(spark, folder)
+    assert held(spark, folder) == {("a", 0): 1, ("b", 0): 2}
+    refused = spark.read.parquet(f"{folder}/rejected")
+    assert rows(refused, "index", "reason") == [(1, "intervalStart 2026-09-30T23:59:16Z is not aligned to a 15s boundary")]
+    assert rows(side(spark, folder, "conflicts"), "messages") == []
+
+
 def test_live_panel_equals_the_batch_answer(spark, tmp_path):
     folder = str(tmp_path)
     for part in range(2):
