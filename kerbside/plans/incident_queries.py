@@ -82,13 +82,13 @@ def longest_zero_run(spark, sf):
     return N.longest_zero_run(_at(spark, sf), RUN)
 
 
-def log_parse(spark, sf):
+def _log_parse(spark, sf, encoding):
     """Windows and unrelated lines written as logs, one folder per run, then parsed back."""
     path = work_path(spark, "logs")
     lines = logs.format_windows(X.windows(spark, sf), 3600)
     noise = X.events(spark, sf).select(F.col("event_type").alias("run"), F.col("props").alias("value"))
-    lines.unionByName(noise).write.partitionBy("run").text(path)
-    parsed = logs.parse_windows(logs.read_log_lines(spark, path))
+    logs.write_log_lines(lines.unionByName(noise), path, encoding)
+    parsed = logs.parse_windows(logs.read_log_lines(spark, path, encoding))
     return parsed.withColumn("end", ntz("end"))
 
 
@@ -205,7 +205,8 @@ QUERIES = {
     "timeline_rows": timeline_rows,
     "zero_runs": zero_runs,
     "longest_zero_run": longest_zero_run,
-    "log_parse": log_parse,
+    "log_parse": lambda spark, sf: _log_parse(spark, sf, "UTF-8"),
+    "log_parse_utf16": lambda spark, sf: _log_parse(spark, sf, "UTF-16LE"),
     "latest_snapshot": latest_snapshot,
     "sample_assembly": sample_assembly,
     "sample_report": sample_report,
@@ -300,6 +301,7 @@ FROM events""",
     "byte_sizes": """SELECT event_id, CASE event_type WHEN 'view' THEN floor(value) * 1073741824 WHEN 'click' THEN floor(value) * 1000 END AS bytes
 FROM events""",
 }
+SQL["log_parse_utf16"] = SQL["log_parse"]
 SQL["longest_zero_run"] = (
     "SELECT run, max(duration_ms) AS longest_zero_ms, count(*) AS zero_runs FROM (" + SQL["zero_runs"] + ") GROUP BY run"
 )

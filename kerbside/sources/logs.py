@@ -23,22 +23,36 @@ LOG_KEYS = {
 METRICS_LINE = r"\A\[([^\]]+)\] sent="
 
 
-def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``(run, line)`` of UTF-8 logs, split by size, so one huge log is read by many tasks.
+# One text column per line: the delimited reader knows encodings that the text reader does not.
+_PLAIN_LINES = {"sep": "\u0001", "quote": "", "escape": "", "lineSep": "\n", "header": False}
 
-    The run is the ``run=`` folder of the file, or else the file's name.
+
+def read_log_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """``(run, line)`` of logs of one encoding, split by size, so one huge log is read by many tasks.
+
+    The run is the ``run=`` folder of the file, or else the file's name. Use ``UTF-16LE`` for logs of a Windows shell.
     """
-    lines = spark.read.option("lineSep", "\n").text(path)
+    if encoding.upper() == "UTF-8":
+        lines = spark.read.option("lineSep", "\n").text(path)
+    else:
+        keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "maxCharsPerColumn": -1}
+        lines = spark.read.options(**_PLAIN_LINES, **keep, encoding=encoding, inferSchema=False).csv(path)
+        lines = lines.withColumnRenamed("_c0", "value")
     run = F.col("run").cast("string") if "run" in lines.columns else F.col("_metadata.file_name")
     return lines.select(run.alias("run"), _clean(F.col("value")).alias("line"))
 
 
-def read_utf16_log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``(run, line)`` of logs that may be UTF-16 with a byte order mark; each file is decoded as a whole.
+def write_log_lines(lines: DataFrame, path: str, encoding: str = "UTF-8") -> None:
+    """Writes ``(run, value)`` as logs, one folder per run."""
+    writer = lines.write.partitionBy("run")
+    if encoding.upper() == "UTF-8":
+        writer.text(path)
+    else:
+        writer.options(**_PLAIN_LINES, encoding=encoding, emptyValue="").csv(path)
 
-    The text reader only splits lines of byte-wise encodings, so this one is for the small files a Windows
-    shell writes. UTF-8 logs of any size belong in ``read_log_lines``.
-    """
+
+def detect_log_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``(run, line)`` of small logs whose encoding is told by a byte order mark; each file is decoded as a whole."""
     files = spark.read.format("binaryFile").load(path)
     wide = F.hex(F.substring("content", 1, 2)) == "FFFE"
     text = F.when(wide, F.decode("content", "UTF-16")).otherwise(F.decode("content", "UTF-8"))

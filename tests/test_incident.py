@@ -180,15 +180,16 @@ def test_log_files_in_any_encoding(spark, tmp_path, name, encoding):
     text = "\r\n".join(["> sim start", LINE, "dev-00001: batch rejected", " " + LINE, ""])
     path = tmp_path / f"{name}.log"
     path.write_bytes(text.encode(encoding))
-    assert parsed(logs.parse_windows(logs.read_utf16_log_lines(spark, str(path)))) == [(f"{name}.log", *EXPECTED)]
-    if encoding != "utf-16":
-        assert parsed(logs.parse_windows(logs.read_log_lines(spark, str(path)))) == [(f"{name}.log", *EXPECTED)]
+    assert parsed(logs.parse_windows(logs.detect_log_lines(spark, str(path)))) == [(f"{name}.log", *EXPECTED)]
+    given = "UTF-16LE" if encoding == "utf-16" else "UTF-8"
+    assert parsed(logs.parse_windows(logs.read_log_lines(spark, str(path), given))) == [(f"{name}.log", *EXPECTED)]
 
 
-def test_the_byte_order_mark_does_not_hide_the_first_line(spark, tmp_path):
+@pytest.mark.parametrize(("encoding", "given"), [("utf-8-sig", "UTF-8"), ("utf-16", "UTF-16LE")])
+def test_the_byte_order_mark_does_not_hide_the_first_line(spark, tmp_path, encoding, given):
     path = tmp_path / "first.log"
-    path.write_bytes((LINE + "\n").encode("utf-8-sig"))
-    assert len(parsed(logs.parse_windows(logs.read_log_lines(spark, str(path))))) == 1
+    path.write_bytes((LINE + "\n").encode(encoding))
+    assert len(parsed(logs.parse_windows(logs.read_log_lines(spark, str(path), given)))) == 1
 
 
 def test_format_is_the_inverse_of_parse(spark, runs, rows):
