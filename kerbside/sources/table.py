@@ -69,6 +69,23 @@ def read_side(spark: SparkSession, path: str, name: str) -> DataFrame:
     return _read(spark, T.StructType.fromDDL(SIDE_SCHEMAS[name]), f"{path}/{name}", [f"{path}/{name}"])
 
 
+def first_batch_id(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """The table's batch id for batch 0 of a checkpoint: after everything that older checkpoints wrote.
+
+    Chosen once per checkpoint and kept next to it, so a restart finds the same ids and a new checkpoint on a filled
+    table never overwrites earlier batches.
+    """
+    kept = f"{checkpoint}/first-batch-id"
+    found = _read(spark, T.StructType.fromDDL("id long"), kept, [kept]).first()
+    if found is not None:
+        return found.id
+    used = _read(spark, READINGS, f"{path}/readings", [f"{path}/readings"]).select("batch_id")
+    used = used.unionByName(read_side(spark, path, "batches").select("batch_id"))
+    start = used.agg(F.coalesce(F.max("batch_id") + 1, F.lit(0)).alias("id")).first().id
+    spark.createDataFrame([(start,)], "id long").write.mode("overwrite").parquet(kept)
+    return start
+
+
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     """Writes the new rows of a batch. Rebalancing merges small and splits hot dates before files are cut."""
     (

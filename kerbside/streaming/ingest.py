@@ -72,8 +72,10 @@ def start_ingest(
     ``devices`` is called per batch, so new devices are seen without a restart.
     """
 
+    first = table.first_batch_id(messages.sparkSession, path, checkpoint)
+
     def flush(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, path, devices(batch.sparkSession))
+        ingest_batch(batch, first + batch_id, path, devices(batch.sparkSession))
 
     writer = messages.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

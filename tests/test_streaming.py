@@ -32,13 +32,10 @@ def publish(spark, folder, items):
     topic.write_files(spark.createDataFrame(items, topic.TOPIC), f"{folder}/topic")
 
 
-def start(spark, folder):
+def drain(spark, folder, checkpoint="checkpoint"):
     stream = topic.read_file_stream(spark, f"{folder}/topic")
-    return ingest.start_ingest(stream, f"{folder}/table", f"{folder}/checkpoint", lambda s: devices(s, *DIM))
-
-
-def drain(spark, folder):
-    start(spark, folder).awaitTermination()
+    query = ingest.start_ingest(stream, f"{folder}/table", f"{folder}/{checkpoint}", lambda s: devices(s, *DIM))
+    query.awaitTermination()
 
 
 def held(spark, folder):
@@ -115,6 +112,18 @@ def test_a_crash_after_the_write_is_replayed_without_traces(spark, tmp_path, mon
     assert [(r.inserted, r.duplicates) for r in counts] == [(2, 0), (1, 2), (1, 1)]
 
 
+def test_a_lost_checkpoint_only_causes_duplicates(spark, tmp_path):
+    folder = str(tmp_path)
+    publish(spark, folder, [message(i, "a", i, i) for i in range(10)])
+    drain(spark, folder)
+    publish(spark, folder, [message(10, "a", 3, 77), message(11, "a", 10, 10)])
+    drain(spark, folder, "another")
+    drain(spark, folder, "another")
+    assert held(spark, folder) == {("a", i): i for i in range(11)}
+    counts = side(spark, folder, "batches").orderBy("batch_id").collect()
+    assert [(r.batch_id, r.inserted, r.duplicates) for r in counts] == [(0, 10, 0), (1, 1, 11)]
+
+
 def test_the_same_batch_twice_changes_nothing(spark, tmp_path):
     folder = str(tmp_path)
     dim = devices(spark, *DIM)
