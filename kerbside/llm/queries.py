@@ -1,11 +1,16 @@
 """The registered queries: each applies one operator, with production parameters, to its whole table."""
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, quality, sharding, simhash, sql
+from . import decontaminate, mixing, quality, sharding, simhash, sql, toxicity
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
@@ -26,6 +31,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixture, op3_sharding, op7_decontamination, op8_simhash, op9_quality)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixture, op3_sharding, op7_decontamination, op8_simhash, op9_quality)}
+QUERIES["pipeline"] = corpus_pipeline.run
 
 SQL = {"op2_mixture": sql.MIXTURE, "op7_decontamination": sql.DECONTAMINATION, "op9_quality": sql.QUALITY}
