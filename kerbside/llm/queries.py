@@ -3,7 +3,7 @@
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, quality, sharding, simhash, sql, toxicity
+from . import decontaminate, html_text, mixing, quality, sharding, simhash, sql, suffix_dedup, toxicity
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_table(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,7 +35,14 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixture, op3_sharding, op7_decontamination, op8_simhash, op9_quality)}
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+OPERATORS = (
+    op1_toxicity, op2_mixture, op3_sharding, op4_suffix_dedup, op7_decontamination, op8_simhash, op9_quality, op10_main_text,
+)
+QUERIES = {f.__name__: f for f in OPERATORS}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 SQL = {"op2_mixture": sql.MIXTURE, "op7_decontamination": sql.DECONTAMINATION, "op9_quality": sql.QUALITY}
