@@ -1,5 +1,6 @@
 """What several corpus operators share: tables, intermediate results, grouped batches, connected components."""
 
+import gc
 from collections.abc import Iterable, Iterator
 from functools import reduce
 from operator import and_
@@ -9,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.scale import plan_bytes
 from ..session import saved
 
 #: Words that are separated by ASCII white space.
@@ -17,6 +19,9 @@ SPACED = r"[^\x20\x09-\x0D]+"
 #: Rows in a batch that Spark hands to Python. Texts may be long, so batches are short.
 BATCH_ROWS = 256
 
+#: Most bytes of files whose rows are broadcast to a join.
+BROADCAST_BYTES = 16 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -33,6 +38,17 @@ def lower_az(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, upper, lower))
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of results that are written by now; it does when their handles are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def sized(stored: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A stored table, to be broadcast if its files are below the limit; else Spark chooses the join."""
+    return F.broadcast(stored) if plan_bytes(stored) <= limit else stored
+
+
 def null_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join in which null keys pair with each other; the keys of the left side stay."""
     right = right.withColumnsRenamed({k: f"_{k}_r" for k in keys})

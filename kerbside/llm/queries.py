@@ -3,7 +3,7 @@
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, mixing, quality, sharding, simhash, sql, suffix_dedup, toxicity
+from . import decontaminate, html_text, line_dedup, mixing, paragraph_dedup, quality, sharding, simhash, sql, suffix_dedup, toxicity
 from .common import table
 
 
@@ -23,6 +23,14 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op5_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.report(table(spark, sf_dir, "documents"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,7 +48,8 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OPERATORS = (
-    op1_toxicity, op2_mixture, op3_sharding, op4_suffix_dedup, op7_decontamination, op8_simhash, op9_quality, op10_main_text,
+    op1_toxicity, op2_mixture, op3_sharding, op4_suffix_dedup, op5_paragraph_dedup,
+    op6_line_dedup, op7_decontamination, op8_simhash, op9_quality, op10_main_text,
 )
 QUERIES = {f.__name__: f for f in OPERATORS}
 QUERIES["pipeline"] = corpus_pipeline.run
