@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 def with_document(df: DataFrame, text: str, out: str) -> DataFrame:
     """Adds the parsed JSON text as a variant; NULL unless the whole text is one JSON document.
 
-    The parser ignores what follows a complete value. So the text is wrapped in an object whose last member repeats
-    a hash of the text: anything after the value makes the object invalid or loses that member.
+    The parser ignores what follows a complete value. So the text is put into an array in front of a hash of itself.
+    Text that is not exactly one value breaks the array, ends it before the hash, or changes its length.
     """
     mark = F.hex(F.xxhash64(F.col(text)))
-    wrapped = F.try_parse_json(F.concat(F.lit('{"doc":'), F.col(text), F.lit(',"end":"'), F.col("_mark"), F.lit('"}')))
-    whole = F.try_variant_get(F.col("_wrapped"), "$.end", "string") == F.col("_mark")
+    wrapped = F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit(',"'), F.col("_mark"), F.lit('"]')))
     marked = df.withColumn("_mark", mark).withColumn("_wrapped", wrapped)
-    doc = F.when(whole, F.try_variant_get(F.col("_wrapped"), "$.doc", "variant"))
-    return marked.withColumn(out, doc).drop("_mark", "_wrapped")
+    marked = marked.withColumn("_parts", F.try_variant_get(F.col("_wrapped"), "$", "array<variant>"))
+    last = F.try_variant_get(F.get("_parts", F.lit(1)), "$", "string")
+    doc = F.when((F.size("_parts") == 2) & (last == F.col("_mark")), F.get("_parts", F.lit(0)))
+    return marked.withColumn(out, doc).drop("_mark", "_wrapped", "_parts")
 
 
 def with_fields(df: DataFrame, doc: str, names: Sequence[str]) -> DataFrame:

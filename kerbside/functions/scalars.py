@@ -58,7 +58,7 @@ def to_fixed(x, digits: int) -> Column:
 
     ``round`` works on the shortest decimal text, so it turns 1.005 into 1.01 although the stored number is
     below 1.005. Here the rounding error of ``|x| * 10^digits`` is recovered with an error-free product and
-    decides the cases that look like a tie.
+    decides the cases that look like a tie. From 2^52 on the scaled value has no fraction, so the number stays.
     """
     a = F.abs(col(x).cast("double"))
     scale = F.lit(float(10**digits))
@@ -77,6 +77,7 @@ def to_fixed(x, digits: int) -> Column:
     fraction = product - whole
     up = (fraction > 0.5) | ((fraction == 0.5) & (error >= 0))
     rounded = (whole + F.when(up, 1.0).otherwise(0.0)) / scale
+    rounded = F.when(product >= 2.0**52, a).otherwise(rounded)
     return F.when(col(x) < 0, -rounded).otherwise(rounded)
 
 

@@ -61,7 +61,8 @@ def iso_seconds(ts) -> Column:
 
 # UTC instant as devices must send it.
 STRICT_UTC = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,3})?Z\z"
-# Instant as the decoder accepts it: a date, or a date and time with a zone.
+# Instant as the decoder accepts it: a date, or a date and time with a zone. Days past the end of a month run on into the
+# next one, and 24:00 is the next midnight.
 LENIENT_ISO = (
     r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}(T[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?(Z|[+-][0-9]{2}:[0-9]{2}))?\z"
 )
@@ -80,4 +81,10 @@ def strict_utc(text) -> Column:
 def lenient_iso(text) -> Column:
     """The instant cut to milliseconds, or NULL."""
     c = col(text)
-    return F.when(c.rlike(LENIENT_ISO), F.date_trunc("millisecond", c.try_cast("timestamp")))
+    day, time = F.substring(c, 9, 2).try_cast("int"), F.substring(c, 11, 40)
+    midnight = time.rlike(r"\AT24:00(:00(\.0+)?)?[Z+-]")
+    time = F.when(midnight, F.concat(F.lit("T00"), F.substring(time, 4, 40))).otherwise(time)
+    first = F.concat(F.substring(c, 1, 8), F.lit("01"), time).try_cast("timestamp")
+    days = day - 1 + midnight.cast("int")
+    instant = F.timestamp_micros(F.unix_micros(first) + days.cast("long") * 86_400_000_000)
+    return F.when(c.rlike(LENIENT_ISO) & day.between(1, 31), F.date_trunc("millisecond", instant))

@@ -14,15 +14,17 @@ from .scale import lookup
 KEY = ["device_id", "interval_start"]
 
 
-def value_in_range() -> Column:
-    return F.col("vehicles").between(0, MAX_INT)
+def broken_rule() -> Column:
+    """The first rule of the table that a message of a known device breaks, or NULL. Missing values break rules, too."""
+    in_range = F.coalesce(F.col("vehicles").between(0, MAX_INT), F.lit(False))
+    return F.when(F.col("interval_start").isNull(), "no interval start").when(~in_range, "vehicles out of range")
 
 
 def split_by_constraints(messages: DataFrame, devices: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows the table's constraints admit, and the rest with a ``reason`` (unknown device, count out of range)."""
+    """Rows the table's constraints admit, and the rest with a ``reason``."""
     dim = devices.select("device_id", F.lit(True).alias("is_known"))
     marked = lookup(messages, dim, "device_id", "left")
-    reason = F.when(F.col("is_known").isNull(), "unknown device").when(~value_in_range(), "vehicles out of range")
+    reason = F.when(F.col("is_known").isNull(), "unknown device").otherwise(broken_rule())
     marked = marked.withColumn("reason", reason).drop("is_known")
     good = marked.filter(F.col("reason").isNull()).drop("reason")
     return good.withColumn("vehicles", F.col("vehicles").try_cast("int")), marked.filter(F.col("reason").isNotNull())
@@ -91,7 +93,7 @@ def batch_counters(decoded: DataFrame, devices: DataFrame, probed: DataFrame, ba
     (batch, device) counts before they meet the device table.
     """
     per_device = decoded.groupBy(
-        batch.alias("batch_id"), "device_id", F.coalesce(value_in_range(), F.lit(False)).alias("in_range")
+        batch.alias("batch_id"), "device_id", broken_rule().isNull().alias("in_range")
     ).agg(F.count("*").alias("n"))
     dim = devices.select("device_id", F.lit(True).alias("is_known"))
     good = F.col("is_known").isNotNull() & F.col("in_range")
@@ -112,16 +114,14 @@ def batch_counters(decoded: DataFrame, devices: DataFrame, probed: DataFrame, ba
 
 def reconcile(source: DataFrame, table: DataFrame) -> DataFrame:
     """Row counts and vehicle sums of the source and the table, one row; equal means nothing lost or doubled."""
-    left = source.agg(
-        F.count("*").alias("source_rows"), F.coalesce(F.sum("vehicles"), F.lit(0)).alias("source_vehicles")
-    )
-    right = table.agg(
-        F.count("*").alias("table_rows"), F.coalesce(F.sum("vehicles"), F.lit(0)).alias("table_vehicles")
-    )
-    both = left.select(
-        "*",
-        right.select("table_rows").scalar().alias("table_rows"),
-        right.select("table_vehicles").scalar().alias("table_vehicles"),
-    )
+    tagged = source.select("vehicles", F.lit("source").alias("side"))
+    tagged = tagged.unionByName(table.select("vehicles", F.lit("table").alias("side")))
+
+    def of(side: str) -> list[Column]:
+        own = F.col("side") == side
+        total = F.coalesce(F.sum(F.when(own, F.col("vehicles"))), F.lit(0).cast("long"))
+        return [F.count_if(own).alias(f"{side}_rows"), total.alias(f"{side}_vehicles")]
+
+    both = tagged.agg(*of("source"), *of("table"))
     equal = (F.col("source_rows") == F.col("table_rows")) & (F.col("source_vehicles") == F.col("table_vehicles"))
     return both.withColumn("is_equal", equal)

@@ -18,10 +18,15 @@ def time_range(readings: DataFrame, start, end, ts: str = "interval_start") -> D
     start, end = _instant(start), _instant(end)
     ranged = readings.filter(F.col(ts).between(start, end))
     if ts == "interval_start" and "event_date" in readings.columns:
-        ranged = ranged.filter(F.col("event_date").between(start.cast("date"), end.cast("date")))
+        ranged = ranged.filter(F.col("event_date").between(utc_date(start), utc_date(end)))
     return ranged
 
 
+def utc_date(ts):
+    """The UTC day of an instant, whatever the zone of the session; the folders of the table are UTC days."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(ts.cast("timestamp")) / 86_400).cast("int"))
+
+
 def _instant(x):
     return F.lit(x).cast("timestamp") if isinstance(x, str) else F.lit(x)
 
@@ -55,7 +60,7 @@ def missing_ranges(readings: DataFrame, devices: DataFrame, start, end) -> DataF
     """
     dim = devices.select("device_id", F.col("interval_seconds").cast("long").alias("step"))
     lo, hi = epoch_ms(_instant(start)), epoch_ms(_instant(end))
-    rows = readings.filter((F.col("interval_start") >= _instant(start)) & (F.col("interval_start") < _instant(end)))
+    rows = time_range(readings, start, end).filter(F.col("interval_start") < _instant(end))
     # Placed once by (device, day); the summary of the days and the rows themselves share this exchange.
     rows = rows.select(
         "device_id", epoch_ms("interval_start").alias("at"), time_chunk("interval_start").alias("chunk")

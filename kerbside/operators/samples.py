@@ -38,15 +38,18 @@ def city_wide_ms(readings: DataFrame, now, hours: int) -> float:
 
 
 def latest_snapshots(snapshots: DataFrame, now, source: str = "source") -> DataFrame:
-    """The newest window of every source, under the monitor's column names."""
-    written = col("writtenAt").cast("timestamp")
-    newest = snapshots.groupBy(source).agg(F.max_by(F.struct("*"), written).alias("s")).select("s.*")
+    """The newest window of every source, under the monitor's column names.
+
+    A snapshot whose time cannot be read is never the newest one; a source with no other has NULL in its row.
+    """
+    written = col("writtenAt").try_cast("timestamp")
+    newest = snapshots.groupBy(source).agg(F.max_by(F.struct("*"), F.struct(written, "writtenAt")).alias("s")).select("s.*")
     age = (epoch_ms(_instant(now)) - epoch_ms(written)) / 1000
     return newest.select(
         source,
         F.col("deviceCount").alias("sim_devices"),
         round_half_up(age).cast("long").alias("sim_age_s"),
-        to_fixed(F.col("readingsSent") / F.col("windowSeconds"), 1).alias("sent_per_s"),
+        to_fixed(F.try_divide(F.col("readingsSent").cast("double"), F.col("windowSeconds")), 1).alias("sent_per_s"),
         F.col("p50").alias("p50_ms"),
         F.col("p95").alias("p95_ms"),
         F.col("p99").alias("p99_ms"),

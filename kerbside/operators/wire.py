@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from ..functions import json_guard as J
 from ..functions.times import iso_millis, iso_seconds, lenient_iso
 
-# Whole doubles are exact up to here; a larger count is far outside the 32-bit range of the table anyway.
-EXACT_DOUBLE = 2**53
+# From here on every double is a whole number, and its floor may not fit a long.
+WHOLE_DOUBLES = 2.0**53
 
 
 def message_value(device_id="device_id", interval_start="interval_start", vehicles="vehicles", accepted_at="accepted_at") -> Column:
@@ -29,6 +29,7 @@ def encode(readings: DataFrame) -> DataFrame:
 def decode(messages: DataFrame) -> DataFrame:
     """Adds the typed fields and ``is_decoded``. Undecodable values yield NULL fields, never an error.
 
+    ``vehicles`` is the number of the message, a double of any size; the range rule of the ingest refuses large ones.
     All other columns (partition, offset, ...) pass through.
     """
     fields = ("deviceId", "intervalStart", "vehicles", "receivedAt")
@@ -42,7 +43,7 @@ def decode(messages: DataFrame) -> DataFrame:
     )
     body = body.withColumns({"_start": lenient_iso("_start_text"), "_accepted": lenient_iso("_accepted_text")})
     count = F.col("_count")
-    whole = (count >= 0) & (count < float("inf")) & ((count >= float(EXACT_DOUBLE)) | (count == F.floor(count)))
+    whole = (count >= 0) & (count < float("inf")) & ((count >= WHOLE_DOUBLES) | (count == F.floor(count)))
     good = (
         F.col("_device").isNotNull()
         & F.col("_start").isNotNull()
@@ -56,7 +57,7 @@ def decode(messages: DataFrame) -> DataFrame:
         "is_decoded",
         F.when(ok, F.col("_device")).alias("device_id"),
         F.when(ok, F.col("_start")).alias("interval_start"),
-        F.when(ok, F.least(count, F.lit(float(EXACT_DOUBLE))).try_cast("long")).alias("vehicles"),
+        F.when(ok, count).alias("vehicles"),
         F.when(ok, F.col("_accepted")).alias("accepted_at"),
     )
 

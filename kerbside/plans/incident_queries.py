@@ -118,12 +118,15 @@ def latest_snapshot(spark, sf):
 
 
 def _samples(spark, sf):
-    """One sample per hour: its city-wide total, the request window of the clicks and the errors' container load."""
+    """One sample per hour: its city-wide total, the request windows of all runs and the highest container load."""
     hour = F.window("ts", "1 hour").start
     base = X.events(spark, sf).withColumn("timestamp", hour + F.expr("INTERVAL '1' HOUR"))
     hourly = base.groupBy("timestamp").agg(F.count("*").alias("rows_approx"))
-    clicks = X.windows(spark, sf).filter(F.col("run") == "click")
-    window = clicks.select(
+    every = X.windows(spark, sf).groupBy("end").agg(
+        *[F.sum(c).alias(c) for c in ("reqs", "s400", "s5xx", "timeouts", "neterr", "buffered")],
+        *[F.max(c).alias(c) for c in ("p50", "p95", "p99")],
+    )
+    window = every.select(
         F.col("end").alias("timestamp"),
         F.col("reqs").alias("sim_devices"),
         (F.col("reqs") * 15).alias("sim_age_s"),
@@ -136,7 +139,7 @@ def _samples(spark, sf):
         "neterr",
         "buffered",
     )
-    load = base.filter(F.col("event_type") == "error").groupBy("timestamp").agg(F.max("value").alias("pg_cpu_pct"))
+    load = base.groupBy("timestamp").agg(F.max("value").alias("pg_cpu_pct"))
     return S.with_elapsed(S.assemble(hourly.select("timestamp"), [hourly, window, load]))
 
 
@@ -188,8 +191,9 @@ def byte_sizes(spark, sf):
 
 
 def table_profile(spark, sf):
-    """Rows only: file sizes are not visible to SQL."""
-    return S.table_profile(X.events(spark, sf))
+    """Sizes in bytes are not visible to SQL, so only whether there are any is kept."""
+    profile = S.table_profile(X.events(spark, sf))
+    return profile.select("rows_approx", (F.col("total_mib") >= 0).alias("has_size"), "index_mib")
 
 
 QUERIES = {
@@ -221,15 +225,18 @@ _COUNTERS = ", ".join(WINDOW_COUNTERS)
 _CLEARED = """cleared AS (
   SELECT n.run, n.normal, n.last_error, min(w."end") FILTER (w."end" > n.last_error AND w.buffered <= n.normal) AS cleared
   FROM normal n JOIN windows w ON w.run = n.run GROUP BY 1, 2, 3)"""
-_SAMPLES = """samples AS (
+_SAMPLES = """allruns AS (
+  SELECT "end", sum(reqs)::BIGINT AS reqs, sum(s400)::BIGINT AS s400, sum(s5xx)::BIGINT AS s5xx, sum(timeouts)::BIGINT AS timeouts,
+         sum(neterr)::BIGINT AS neterr, sum(buffered)::BIGINT AS buffered, max(p50) AS p50, max(p95) AS p95, max(p99) AS p99
+  FROM windows GROUP BY 1),
+samples AS (
   SELECT h."timestamp", rows_approx, sim_devices, sim_age_s, p50_ms, p95_ms, p99_ms, status400, status5xx, timeouts, neterr, buffered,
          pg_cpu_pct, CAST(epoch_ms(h."timestamp") - epoch_ms(min(h."timestamp") OVER ()) AS DOUBLE) / 60000 AS elapsed_min
   FROM (SELECT date_trunc('hour', ts) + INTERVAL 1 HOUR AS "timestamp", count(*) AS rows_approx FROM events GROUP BY 1) h
   LEFT JOIN (SELECT "end" AS "timestamp", reqs AS sim_devices, reqs * 15 AS sim_age_s, p50 AS p50_ms, p95 AS p95_ms, p99 AS p99_ms,
-                    s400 AS status400, s5xx AS status5xx, timeouts, neterr, buffered FROM windows WHERE run = 'click') c
+                    s400 AS status400, s5xx AS status5xx, timeouts, neterr, buffered FROM allruns) c
     ON c."timestamp" = h."timestamp"
-  LEFT JOIN (SELECT date_trunc('hour', ts) + INTERVAL 1 HOUR AS "timestamp", max(value) AS pg_cpu_pct FROM events
-             WHERE event_type = 'error' GROUP BY 1) l ON l."timestamp" = h."timestamp")"""
+  LEFT JOIN (SELECT date_trunc('hour', ts) + INTERVAL 1 HOUR AS "timestamp", max(value) AS pg_cpu_pct FROM events GROUP BY 1) l ON l."timestamp" = h."timestamp")"""
 _CELLS = {
     "timestamp": """strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%g') || 'Z'""",
     "sim_devices": """'a,"' || sim_devices || '"'""",
@@ -286,6 +293,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY "end") - row_number
        CAST(sent AS DOUBLE) / 10 AS sent_per_s, p50 AS p50_ms, p95 AS p95_ms, p99 AS p99_ms, s400 AS status400, s5xx AS status5xx,
        timeouts, neterr, buffered
 FROM windows QUALIFY row_number() OVER (PARTITION BY run ORDER BY "end" DESC) = 1""",
+    "table_profile": "SELECT count(*) AS rows_approx, true AS has_size, CAST(NULL AS DOUBLE) AS index_mib FROM events",
     "sample_assembly": with_(Q.WINDOWS, _SAMPLES) + "SELECT * FROM samples",
     "sample_report": with_(Q.WINDOWS, _SAMPLES)
     + """SELECT "timestamp", CAST(floor(elapsed_min + 0.5) AS BIGINT) AS elapsed_whole_min, sim_devices, sim_age_s,

@@ -10,6 +10,7 @@ from ..functions.scalars import device_id
 from ..functions.times import floor_to
 from ..operators.devices import device_rows
 from ..operators.wire import message_value
+from ..schema import MAX_BATCH
 from ..session import configure
 
 # Given, so that opening the table starts no job.
@@ -96,20 +97,49 @@ def incoming(spark, sf_dir) -> DataFrame:
     return rows.select(F.inline(F.array_compact(F.array(sent, recount, foreign))))
 
 
+# Values of ``k`` in ``props`` that turn a purchase into a message which only looks right, or holds a large count.
+MORE_MEMBERS, OTHER_DOCUMENT, MORE_TEXT, TWO_VALUES, LARGE_COUNT = 1, 2, 3, 4, 5
+LARGE = "1e16"
+EMPTY, TOO_LONG = 6, 7
+
+
 def topic(spark, sf_dir) -> DataFrame:
-    """The incoming messages on the wire, plus the raw ``props`` of every purchase as a foreign message."""
+    """The incoming messages on the wire, plus a foreign one per purchase: its ``props``, or a message broken by ``k``."""
     rows = incoming(spark, sf_dir).select(
         F.col("device_id").alias("key"), message_value().alias("value"), "partition", "offset"
     )
-    foreign = events(spark, sf_dir).filter(F.col("event_type") == "purchase").select(
-        device_id(F.col("user_id") + 1).alias("key"),
-        F.col("props").alias("value"),
+    k = F.get_json_object("props", "$.k").cast("int")
+    right = message_value()
+    value = (
+        F.when(k == MORE_MEMBERS, F.concat(right, F.lit(',"x":1')))
+        .when(k == OTHER_DOCUMENT, F.concat(F.lit('1,"doc":'), right))
+        .when(k == MORE_TEXT, F.concat(right, F.lit(" x")))
+        .when(k == TWO_VALUES, F.concat(right, F.lit(","), right))
+        .when(k == LARGE_COUNT, F.regexp_replace(right, '"vehicles":[0-9]+', f'"vehicles":{LARGE}'))
+        .otherwise(F.col("props"))
+    )
+    foreign = readings(spark, sf_dir, ("event_type", "user_id", "props")).filter(F.col("event_type") == "purchase").select(
+        F.col("device_id").alias("key"),
+        value.alias("value"),
         F.pmod(F.col("user_id") + 1, F.lit(6)).cast("int").alias("partition"),
-        (F.col("event_id") + n_events(spark, sf_dir).scalar() * 3).alias("offset"),
+        (F.col("offset") + n_events(spark, sf_dir).scalar() * 3).alias("offset"),
     )
     return rows.unionAll(foreign)
 
 
+def broken(spark, sf_dir) -> DataFrame:
+    """Decoded messages that break a rule of the table: views without a count, without a start, or with a large count."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    rows = readings(spark, sf_dir, ("event_type", "props")).filter((F.col("event_type") == "view") & k.between(1, 3))
+    return rows.select(
+        "device_id",
+        F.when(k != 1, F.col("interval_start")).alias("interval_start"),
+        F.when(k == 2, None).when(k == 3, float(LARGE)).otherwise(F.col("vehicles").cast("double")).alias("vehicles"),
+        "accepted_at",
+        (F.col("offset") + n_events(spark, sf_dir).scalar() * 4).alias("offset"),
+    )
+
+
 def delayed(spark, sf_dir) -> DataFrame:
     """Readings stored ``value`` seconds after they were accepted."""
     late = F.unix_micros(F.col("accepted_at").cast("timestamp")) + F.floor(F.col("value") * 1000) * 1000
@@ -179,7 +209,8 @@ def windows(spark, sf_dir) -> DataFrame:
 def submissions(spark, sf_dir) -> DataFrame:
     """Every reading inside a JSON body, twenty per body; some errors carry a broken item, chosen by ``props``.
 
-    A second submission per event uses its raw ``props`` as the body, which is no array.
+    A second submission per event uses its raw ``props`` as the body, which is no array; some are broken otherwise,
+    empty, or too long, chosen by ``props``.
     """
     base = events(spark, sf_dir)
     number = F.col("user_id") + 1
@@ -219,7 +250,15 @@ def submissions(spark, sf_dir) -> DataFrame:
             F.concat(F.lit("["), F.array_join(F.transform("items", lambda i: i["item"]), ","), F.lit("]")).alias("body"),
         )
     )
-    foreign = base.select(
-        (F.col("event_id") * 2 + 1).alias("batch_id"), F.col("ts").alias("received_at"), F.col("props").alias("body")
+    any_k = F.get_json_object("props", "$.k").cast("int")
+    body = (
+        F.when(any_k == MORE_MEMBERS, F.lit('[{}],"x":1'))
+        .when(any_k == OTHER_DOCUMENT, F.lit('5,"doc":[{}]'))
+        .when(any_k == MORE_TEXT, F.lit("[{}] x"))
+        .when(any_k == TWO_VALUES, F.lit("[{}],[{}]"))
+        .when(any_k == EMPTY, F.lit("[]"))
+        .when(any_k == TOO_LONG, F.concat(F.lit("["), F.repeat(F.lit("{},"), MAX_BATCH), F.lit("{}]")))
+        .otherwise(F.col("props"))
     )
+    foreign = base.select((F.col("event_id") * 2 + 1).alias("batch_id"), F.col("ts").alias("received_at"), body.alias("body"))
     return bodies.unionByName(foreign)

@@ -11,6 +11,7 @@ from ..operators import telemetry as T
 from ..operators import validation as V
 from ..operators import wire
 from ..operators.scale import lookup
+from ..schema import MAX_BATCH
 from . import inputs as X
 from . import inputs_sql as Q
 from .inputs import ntz
@@ -167,7 +168,9 @@ def ingest_conflicts_in_batch(spark, sf):
 
 
 def ingest_rejected(spark, sf):
-    return _good(spark, sf)[1].select("device_id", "interval_start", "vehicles", "offset", "reason")
+    rows = X.incoming(spark, sf).withColumn("vehicles", F.col("vehicles").cast("double")).drop("partition")
+    refused = I.split_by_constraints(rows.unionByName(X.broken(spark, sf)), X.devices(spark, sf))[1]
+    return refused.select("device_id", "interval_start", "vehicles", "offset", "reason")
 
 
 def ingest_counters(spark, sf):
@@ -208,7 +211,8 @@ def reconcile(spark, sf):
 
 
 def batch_packing(spark, sf):
-    return T.pack_batches(X.stored(spark, sf).select("device_id", "interval_start", "vehicles"), 10)
+    rows = I.first_writes(X.readings(spark, sf)).select("device_id", "interval_start", "vehicles")
+    return T.pack_batches(rows, MAX_BATCH)
 
 
 def oldest_batch(spark, sf):
@@ -360,6 +364,9 @@ _ANSWERED = f"""answered AS (
 ranks AS (SELECT h, max(latency_ms) FILTER ({Q.ranked(50)}) AS p50, max(latency_ms) FILTER ({Q.ranked(95)}) AS p95,
                  max(latency_ms) FILTER ({Q.ranked(99)}) AS p99 FROM answered GROUP BY h)"""
 
+_FIRST = """firsts AS (
+  SELECT * FROM readings QUALIFY row_number() OVER (PARTITION BY device_id, interval_start ORDER BY "offset") = 1)"""
+
 _VALUES = """numbered AS (
   SELECT event_type, CAST(floor(value * 1000) AS BIGINT) AS us,
          row_number() OVER (PARTITION BY event_type ORDER BY floor(value * 1000)) AS rn, count(*) OVER (PARTITION BY event_type) AS n
@@ -423,10 +430,12 @@ FROM events""",
     "wire_encode": with_(Q.READINGS)
     + f"""SELECT device_id AS key, '{{"deviceId":"' || device_id || '","intervalStart":"' || {_TEXT} || '","vehicles":' || vehicles
        || ',"receivedAt":"' || strftime(accepted_at, '%Y-%m-%dT%H:%M:%S.%g') || 'Z"}}' AS value FROM readings""",
-    "wire_decode": with_(Q.READINGS, Q.INCOMING)
-    + """SELECT partition, "offset", true AS is_decoded, device_id, interval_start, CAST(vehicles AS BIGINT) AS vehicles,
+    "wire_decode": with_(Q.READINGS, Q.INCOMING, Q.FOREIGN)
+    + f"""SELECT partition, "offset", true AS is_decoded, device_id, interval_start, CAST(vehicles AS DOUBLE) AS vehicles,
        date_trunc('milliseconds', accepted_at) AS accepted_at FROM incoming
-UNION ALL SELECT CAST((user_id + 1) % 6 AS INTEGER), {fo}, false, NULL, NULL, NULL, NULL FROM events WHERE event_type = 'purchase'""".format(fo=Q.FOREIGN_OFFSET),
+UNION ALL SELECT partition, "offset", is_large, CASE WHEN is_large THEN device_id END, CASE WHEN is_large THEN interval_start END,
+       CASE WHEN is_large THEN CAST('{X.LARGE}' AS DOUBLE) END, CASE WHEN is_large THEN date_trunc('milliseconds', accepted_at) END
+FROM foreign_messages""",
     "commit_offsets": with_(Q.READINGS, Q.INCOMING)
     + """SELECT partition, max("offset") + 1 AS "offset" FROM (
   SELECT partition, "offset" FROM incoming
@@ -442,8 +451,10 @@ UNION ALL SELECT CAST((user_id + 1) % 6 AS INTEGER), {fo}, false, NULL, NULL, NU
 FROM probed WHERE copies > 1 OR stored_vehicles IS NOT NULL""",
     "ingest_conflicts": with_(*_INGEST) + _CONFLICTS.format(kept="p.stored_vehicles"),
     "ingest_conflicts_in_batch": with_(*_INGEST) + _CONFLICTS.format(kept="coalesce(p.stored_vehicles, p.vehicles)"),
-    "ingest_rejected": with_(Q.DEVICES, Q.READINGS, Q.INCOMING)
-    + """SELECT device_id, interval_start, vehicles, "offset", 'unknown device' AS reason FROM incoming ANTI JOIN devices USING (device_id)""",
+    "ingest_rejected": with_(Q.DEVICES, Q.READINGS, Q.INCOMING, Q.BROKEN)
+    + """SELECT device_id, interval_start, CAST(vehicles AS DOUBLE) AS vehicles, "offset", 'unknown device' AS reason
+FROM incoming ANTI JOIN devices USING (device_id)
+UNION ALL SELECT device_id, interval_start, vehicles, "offset", reason FROM broken""",
     "ingest_counters": with_(*_INGEST)
     + """SELECT count(*) FILTER (stored_vehicles IS NULL) AS accepted,
        CAST(sum(copies) - count(*) FILTER (stored_vehicles IS NULL) AS BIGINT) AS duplicates FROM probed""",
@@ -467,17 +478,17 @@ held AS (SELECT count(*) AS n, CAST(sum(vehicles) AS BIGINT) AS v FROM (
   SELECT vehicles FROM stored UNION ALL SELECT vehicles FROM probed WHERE stored_vehicles IS NULL))
 SELECT s.n AS source_rows, s.v AS source_vehicles, h.n AS table_rows, h.v AS table_vehicles, s.n = h.n AND s.v = h.v AS is_equal
 FROM source s, held h""".replace("\n, source", ",\nsource", 1),
-    "batch_packing": with_(Q.READINGS, Q.STORED)
-    + """SELECT device_id, interval_start, vehicles,
-       (row_number() OVER (PARTITION BY device_id ORDER BY interval_start) - 1) // 10 AS batch_no FROM stored""",
-    "oldest_batch": with_(Q.READINGS, Q.STORED)
-    + """SELECT device_id, interval_start, vehicles FROM stored
-QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY interval_start) <= 10""",
+    "batch_packing": with_(Q.READINGS, _FIRST)
+    + f"""SELECT device_id, interval_start, vehicles,
+       (row_number() OVER (PARTITION BY device_id ORDER BY interval_start) - 1) // {MAX_BATCH} AS batch_no FROM firsts""",
+    "oldest_batch": with_(Q.READINGS, _FIRST)
+    + f"""SELECT device_id, interval_start, vehicles FROM firsts
+QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY interval_start) <= {MAX_BATCH}""",
     "validate_reasons": with_(Q.READINGS, ITEMS) + """SELECT batch_id, pos, reason FROM items
-UNION ALL SELECT event_id * 2 + 1, NULL, 'body must be a JSON array of readings' FROM events""",
+UNION ALL SELECT event_id * 2 + 1, NULL, """ + Q.BODY_REASON + " FROM events",
     "validate_batches": with_(Q.READINGS, ITEMS)
     + """SELECT batch_id, "index", reason FROM rejected
-UNION ALL SELECT event_id * 2 + 1, NULL, 'body must be a JSON array of readings' FROM events""",
+UNION ALL SELECT event_id * 2 + 1, NULL, """ + Q.BODY_REASON + " FROM events",
     "validate_accepted": with_(Q.READINGS, ITEMS)
     + "SELECT batch_id, pos, device_id, interval_start, vehicles FROM items WHERE batch_id NOT IN (SELECT batch_id FROM rejected)",
     "validate_summary": with_(Q.READINGS, ITEMS)

@@ -46,6 +46,16 @@ def stream_quarantine(spark, sf):
     return rows.select("partition", "offset", "key", "value", "reason")
 
 
+def stream_replay(spark, sf):
+    """A batch that ran with half of the devices and runs again with all: what is still quarantined."""
+    root = work_path(spark, "replay")
+    messages, devices = X.topic(spark, sf), X.devices(spark, sf)
+    ingest.ingest_batch(messages, 0, f"{root}/table", devices.filter(F.col("interval_seconds") == 15))
+    ingest.ingest_batch(messages, 0, f"{root}/table", devices)
+    rows = table.read_side(spark, f"{root}/table", "quarantine")
+    return rows.select("partition", "offset", "key", "value", "reason")
+
+
 def stream_conflicts(spark, sf):
     rows = table.read_side(spark, _ingested(spark, sf), "conflicts")
     return rows.withColumn("interval_start", ntz("interval_start"))
@@ -77,7 +87,8 @@ def stream_publish(spark, sf):
 def stream_windows(spark, sf):
     root = work_path(spark, "panel")
     schema = X.events(spark, sf).schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    # The pattern matches the table as one file and as a folder of parts; each file is a micro-batch.
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{sf}/events.parque[t]")
     readings = stream.select(F.col("ts").alias("interval_start"), F.floor("value").cast("int").alias("vehicles"))
     live.start_live_panel(live.live_windows(readings), f"{root}/panel", f"{root}/checkpoint").awaitTermination()
     return live.read_live_panel(spark, f"{root}/panel").withColumn("time", ntz("time"))
@@ -87,6 +98,7 @@ QUERIES = {
     "stream_ingest": stream_ingest,
     "stream_resume": stream_resume,
     "stream_quarantine": stream_quarantine,
+    "stream_replay": stream_replay,
     "stream_conflicts": stream_conflicts,
     "stream_lag": stream_lag,
     "stream_publish": stream_publish,
@@ -100,9 +112,11 @@ _TOPIC = f"""topic AS (
 _FIRST = """firsts AS (
   SELECT * FROM known QUALIFY row_number() OVER (PARTITION BY device_id, interval_start ORDER BY "offset") = 1)"""
 _BATCH = 'CASE WHEN "offset" < (SELECT cut FROM cut) THEN 0 ELSE 1 END'
-_BASE = (Q.DEVICES, Q.READINGS, Q.INCOMING, Q.KNOWN, _CUT, _TOPIC, _FIRST)
-_VALUE = """'{"deviceId":"' || device_id || '","intervalStart":"' || strftime(interval_start, '%Y-%m-%dT%H:%M:%SZ') || '","vehicles":' || vehicles
-       || ',"receivedAt":"' || strftime(accepted_at, '%Y-%m-%dT%H:%M:%S.%g') || 'Z"}'"""
+_BASE = (Q.DEVICES, Q.READINGS, Q.INCOMING, Q.KNOWN, Q.FOREIGN, _CUT, _TOPIC, _FIRST)
+_QUARANTINE = f"""SELECT partition, "offset", device_id AS key, {Q.message()} AS value, 'unknown device' AS reason
+FROM incoming ANTI JOIN devices USING (device_id)
+UNION ALL SELECT partition, "offset", device_id, value, CASE WHEN is_large THEN 'vehicles out of range' ELSE 'undecodable' END
+FROM foreign_messages"""
 
 SQL = {
     "stream_ingest": with_(*_BASE) + "SELECT device_id, interval_start, vehicles FROM firsts",
@@ -113,8 +127,8 @@ SQL = {
   UNION ALL SELECT {_BATCH}, 0, 1, 0 FROM known
   UNION ALL SELECT {_BATCH}, 0, 0, 1 FROM firsts) GROUP BY b""",
     "stream_quarantine": with_(*_BASE)
-    + f"""SELECT partition, "offset", device_id AS key, {_VALUE} AS value, 'unknown device' AS reason FROM incoming ANTI JOIN devices USING (device_id)
-UNION ALL SELECT CAST((user_id + 1) % 6 AS INTEGER), {Q.FOREIGN_OFFSET}, {Q.device_id("user_id + 1")}, props, 'undecodable' FROM events WHERE event_type = 'purchase'""",
+    + _QUARANTINE,
+    "stream_replay": with_(*_BASE) + _QUARANTINE,
     "stream_conflicts": with_(*_BASE)
     + f"""SELECT CAST(1 AS BIGINT) AS batch_id, k.device_id, k.interval_start, f.vehicles AS stored_vehicles, k.vehicles AS incoming_vehicles,
        count(*) AS messages, min(k."offset") AS first_offset

@@ -2,6 +2,9 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,12 +48,41 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/kerbside/{name}-{uuid.uuid4().hex}"
 
 
+_owner: ContextVar[list[str] | None] = ContextVar("owner", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Owns what is saved inside and deletes it at the end: for work that repeats within one application."""
+    paths: list[str] = []
+    token = _owner.set(paths)
+    try:
+        yield
+    finally:
+        _owner.reset(token)
+        for path in paths:
+            files, at = _file_system(spark, path)
+            files.delete(at, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Writes an intermediate result to the shared folder and reads it back.
 
     Cuts the lineage of results that are used several times. Unlike cached blocks the files survive the loss of
-    executors, and their sizes are known to the planner.
+    executors, and their sizes are known to the planner. They are deleted when the surrounding ``scratch`` ends, or
+    else with the application.
     """
     path = work_path(df.sparkSession, name)
+    owner = _owner.get()
+    if owner is not None:
+        owner.append(path)
+    else:
+        files, at = _file_system(df.sparkSession, path)
+        files.deleteOnExit(at)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,7 +1,8 @@
 """The readings table and its side tables, as parquet below one folder.
 
-``readings`` is laid out as event_date / batch_id. A batch overwrites exactly its own partitions, so writing the
-same batch again after a crash changes nothing. ``batches`` is written last and therefore marks a batch as done.
+Every table has a folder per batch; below it, ``readings`` has one per event_date. Writing a batch replaces exactly its
+folder, also when it has fewer rows or dates than before or none, so a replay leaves nothing of the first try.
+``batches`` is written last and therefore marks a batch as done.
 """
 
 from pyspark.errors import AnalysisException
@@ -21,7 +22,7 @@ SIDE_SCHEMAS = {
 }
 
 
-def _read(spark: SparkSession, schema, root: str, paths: list[str]) -> DataFrame:
+def read_or_empty(spark: SparkSession, schema, root: str, paths: list[str]) -> DataFrame:
     try:
         return spark.read.schema(schema).option("basePath", root).parquet(*paths)
     except AnalysisException as e:
@@ -30,14 +31,13 @@ def _read(spark: SparkSession, schema, root: str, paths: list[str]) -> DataFrame
         return spark.createDataFrame([], schema)
 
 
-# Beyond this many dates one overall range replaces the range per date.
-MAX_RANGES = 64
-
-
 def date_spans(rows: DataFrame) -> list[Row]:
-    """``(event_date, low, high)``: the range of ``interval_start`` per date in epoch microseconds. Days, never keys."""
+    """``(event_date, low, high)``: the range of ``interval_start`` per date in epoch microseconds. Days, never keys.
+
+    ``rows`` are what the table's rules admit, so foreign messages do not widen the scan.
+    """
     micros = F.unix_micros("interval_start")
-    spans = rows.filter(F.col("interval_start").isNotNull()).groupBy(F.to_date("interval_start").alias("event_date"))
+    spans = rows.groupBy(F.to_date("interval_start").alias("event_date"))
     return spans.agg(F.min(micros).alias("low"), F.max(micros).alias("high")).collect()
 
 
@@ -52,21 +52,19 @@ def read_spans(spark: SparkSession, path: str, spans: list[Row]) -> DataFrame:
     root = f"{path}/readings"
     dates = ",".join(sorted(str(s.event_date) for s in spans))
     ranges = [(s.low, s.high) for s in spans]
-    if len(ranges) > MAX_RANGES:
-        ranges = [(min(low for low, _ in ranges), max(high for _, high in ranges))]
     inside = " OR ".join(f"interval_start BETWEEN timestamp_micros({lo}) AND timestamp_micros({hi})" for lo, hi in ranges)
-    return _read(spark, READINGS, root, [f"{root}/event_date={{{dates}}}"]).filter(inside)
+    return read_or_empty(spark, READINGS, root, [f"{root}/batch_id=*/event_date={{{dates}}}"]).filter(inside)
 
 
 def read_readings(spark: SparkSession, path: str) -> DataFrame:
     """Rows of finished batches. ``batch_id`` and ``event_date`` are partition columns."""
-    rows = _read(spark, READINGS, f"{path}/readings", [f"{path}/readings"])
+    rows = read_or_empty(spark, READINGS, f"{path}/readings", [f"{path}/readings"])
     done = read_side(spark, path, "batches").agg(F.coalesce(F.max("batch_id"), F.lit(-1)).alias("done"))
     return rows.filter(F.col("batch_id") <= done.scalar())
 
 
 def read_side(spark: SparkSession, path: str, name: str) -> DataFrame:
-    return _read(spark, T.StructType.fromDDL(SIDE_SCHEMAS[name]), f"{path}/{name}", [f"{path}/{name}"])
+    return read_or_empty(spark, T.StructType.fromDDL(SIDE_SCHEMAS[name]), f"{path}/{name}", [f"{path}/{name}"])
 
 
 def first_batch_id(spark: SparkSession, path: str, checkpoint: str) -> int:
@@ -75,12 +73,16 @@ def first_batch_id(spark: SparkSession, path: str, checkpoint: str) -> int:
     Chosen once per checkpoint and kept next to it, so a restart finds the same ids and a new checkpoint on a filled
     table never overwrites earlier batches.
     """
+    used = read_or_empty(spark, READINGS, f"{path}/readings", [f"{path}/readings"]).select("batch_id")
+    return first_id(spark, used.unionByName(read_side(spark, path, "batches").select("batch_id")), checkpoint)
+
+
+def first_id(spark: SparkSession, used: DataFrame, checkpoint: str) -> int:
+    """The id kept with the checkpoint, or the one after all used ids ``(batch_id)``."""
     kept = f"{checkpoint}/first-batch-id"
-    found = _read(spark, T.StructType.fromDDL("id long"), kept, [kept]).first()
+    found = read_or_empty(spark, T.StructType.fromDDL("id long"), kept, [kept]).first()
     if found is not None:
         return found.id
-    used = _read(spark, READINGS, f"{path}/readings", [f"{path}/readings"]).select("batch_id")
-    used = used.unionByName(read_side(spark, path, "batches").select("batch_id"))
     start = used.agg(F.coalesce(F.max("batch_id") + 1, F.lit(0)).alias("id")).first().id
     spark.createDataFrame([(start,)], "id long").write.mode("overwrite").parquet(kept)
     return start
@@ -90,39 +92,31 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     """Writes the new rows of a batch. Rebalancing merges small and splits hot dates before files are cut."""
     (
         rows.withColumn("event_date", F.to_date("interval_start"))
-        .withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .select(*READINGS.names)
+        .select(*[name for name in READINGS.names if name != "batch_id"])
         .hint("rebalance", "event_date")
-        .sortWithinPartitions("event_date", "batch_id", "device_id", "interval_start")
+        .sortWithinPartitions("event_date", "device_id", "interval_start")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "batch_id")
-        .parquet(f"{path}/readings")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("event_date")
+        .parquet(f"{path}/readings/batch_id={batch_id}")
     )
 
 
 def write_side(rows: DataFrame, path: str, name: str, batch_id: int) -> None:
     schema = T.StructType.fromDDL(SIDE_SCHEMAS[name])
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name != "batch_id"]
-    (
-        rows.select(*cols, F.lit(batch_id).cast("long").alias("batch_id"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(f"{path}/{name}")
-    )
+    rows.select(*cols).write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
 
 
 def rewrite_sorted(readings: DataFrame, target: str) -> None:
     """Rewrites finished rows to a new table with few large files, sorted for per-device range scans."""
     (
-        readings.withColumn("batch_id", F.lit(0).cast("long"))
-        .select(*READINGS.names)
+        readings.select(*[name for name in READINGS.names if name != "batch_id"])
         .repartitionByRange("event_date", "device_id", "interval_start")
-        .sortWithinPartitions("event_date", "batch_id", "device_id", "interval_start")
+        .sortWithinPartitions("event_date", "device_id", "interval_start")
         .write.mode("errorifexists")
-        .partitionBy("event_date", "batch_id")
-        .parquet(f"{target}/readings")
+        .partitionBy("event_date")
+        .parquet(f"{target}/readings/batch_id=0")
     )
     summary = readings.agg(F.count("*").alias("inserted"))
     write_side(

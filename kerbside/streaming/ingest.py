@@ -29,7 +29,7 @@ def ingest_batch(messages: DataFrame, batch_id: int, path: str, devices: DataFra
     decoded = decode(messages).persist()
     good, refused = I.split_by_constraints(decoded.filter("is_decoded"), devices)
     firsts = I.first_writes(good)
-    stored = table.read_spans(spark, path, table.date_spans(decoded)).filter(F.col("batch_id") < batch_id)
+    stored = table.read_spans(spark, path, table.date_spans(good)).filter(F.col("batch_id") < batch_id)
     probed = I.probe(firsts, stored).persist()
     try:
         table.write_batch(I.new_rows(probed).withColumn("stored_at", stored_at), path, batch_id)

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-PANEL = "batch_id long, time timestamp, vehicles long"
+from ..sources.table import first_id, read_or_empty
+
+PANEL = "time timestamp, vehicles long, run long, batch_id long"
 
 
 def live_windows(readings: DataFrame, seconds: int = 60, lateness: str = "10 minutes") -> DataFrame:
@@ -21,16 +23,16 @@ def live_windows(readings: DataFrame, seconds: int = 60, lateness: str = "10 min
 
 
 def start_live_panel(windows: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Writes the windows changed by each batch; ``read_live_panel`` keeps the latest state of each."""
+    """Writes the windows changed by each batch; ``read_live_panel`` keeps the latest state of each.
+
+    A checkpoint is one run: its state starts empty and its batches have ids of their own, after those of earlier runs.
+    A new checkpoint on a filled panel must continue where the old one stopped, as its sums are added.
+    """
+    spark = windows.sparkSession
+    first = first_id(spark, _read(spark, path).select("batch_id"), checkpoint)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        (
-            batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(path)
-        )
+        batch.write.mode("overwrite").parquet(f"{path}/run={first}/batch_id={first + batch_id}")
 
     writer = windows.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
@@ -38,5 +40,10 @@ def start_live_panel(windows: DataFrame, path: str, checkpoint: str, every: str
 
 
 def read_live_panel(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.schema(T.StructType.fromDDL(PANEL)).parquet(path)
-    return rows.groupBy("time").agg(F.max_by("vehicles", "batch_id").alias("vehicles"))
+    """The latest state of every window in each run, summed over the runs."""
+    latest = _read(spark, path).groupBy("run", "time").agg(F.max_by("vehicles", "batch_id").alias("vehicles"))
+    return latest.groupBy("time").agg(F.sum("vehicles").alias("vehicles"))
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    return read_or_empty(spark, T.StructType.fromDDL(PANEL), path, [path])

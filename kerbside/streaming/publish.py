@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.validation import validate_submissions
 from ..operators.wire import encode
-from ..session import configure
+from ..session import configure, scratch
 
 
 def publish_batch(submissions: DataFrame, devices: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -33,9 +33,10 @@ def start_publish(
 
     def flush(batch: DataFrame, batch_id: int) -> None:
         spark = configure(batch.sparkSession)
-        messages, rejected = publish_batch(batch, devices(spark))
-        send(messages, batch_id)
-        reject(rejected, batch_id)
+        with scratch(spark):
+            messages, rejected = publish_batch(batch, devices(spark))
+            send(messages, batch_id)
+            reject(rejected, batch_id)
 
     writer = submissions.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
