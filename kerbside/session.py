@@ -85,4 +85,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
         files, at = _file_system(df.sparkSession, path)
         files.deleteOnExit(at)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+def discard(*results: DataFrame) -> None:
+    """Deletes saved results that nothing reads any more."""
+    for df in results:
+        files, at = _file_system(df.sparkSession, df._saved_at)
+        files.delete(at, True)

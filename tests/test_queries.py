@@ -8,11 +8,15 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 
 import __spark_entry__ as entry
+from kerbside.plans import incident_queries, reading_queries, stream_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 duckdb = pytest.importorskip("duckdb")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+# The corpus operators have tests of their own.
+GROUPS = (reading_queries, incident_queries, stream_queries)
+QUERIES = {name: query for group in GROUPS for name, query in group.QUERIES.items()}
+SQL = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -60,8 +64,9 @@ def test_query_equals_its_sql(results, con, name):
         assert rows == as_rows(columns, result.fetchall())
 
 
-def test_only_the_file_sizes_have_no_sql():
-    assert set(QUERIES) - set(SQL) == {"table_profile"}
+def test_every_query_has_sql_and_is_registered():
+    assert set(QUERIES) <= set(SQL)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):
