@@ -9,52 +9,40 @@ from kerbside.sources import logs
 
 from .helpers import naive, ts
 
-T0 = ts("2026-09-30 14:00:00")
+T0 = ts("2031-03-04 05:00:00")
 COUNTERS = "sent long, reqs long, s200 long, s400 long, s5xx long, timeouts long, neterr long, buffered long, p50 long, p95 long, p99 long"
 SCHEMA = f"run string, end timestamp, {COUNTERS}"
 
 
-def window(run, i, length, ok=100, e5=0, to=0, buf=2, p99=20):
-    end = T0 + timedelta(seconds=length * i, milliseconds=3)
-    return (run, end, ok, ok, ok, 0, e5, to, 0, buf, 5, 9, p99)
+def window(run, i, seconds, ok=60, e5=0, to=0, net=0, buf=4, p99=30, late=0):
+    end = T0 + timedelta(seconds=seconds * i, milliseconds=late)
+    return (run, end, ok, ok + e5, ok, 0, e5, to, net, buf, 8, 14, p99)
 
 
-def outage_rows():
-    rows = []
-    for i in range(1, 31):
-        if 7 <= i <= 12:
-            rows.append(window("outage", i, 10, ok=0, e5=50, buf=1000 * (i - 6)))
-        elif 13 <= i <= 15:
-            rows.append(window("outage", i, 10, buf=3000, p99=900))
-        else:
-            rows.append(window("outage", i, 10))
-    return rows
-
-
-def spike_rows():
-    rows = []
-    for i in range(1, 25):
-        second = (i - 1) * 5 % 60
-        if second == 0:
-            rows.append(window("spike", i, 5, to=20, p99=5000))
-        elif second % 15 == 0:
-            rows.append(window("spike", i, 5, to=5, p99=2000))
-        else:
-            rows.append(window("spike", i, 5))
-    return rows
+# Phases of the runs: how many windows look alike. Their ends are 0 to 40 ms late, in turn.
+PHASES = {
+    # A dam breaks twice: first with server errors, then without any answer; the backlog drains in steps.
+    ("dam", 20): [(9, {"buf": 6}), (4, {"ok": 0, "e5": 11, "buf": 90}), (2, {"ok": 5, "buf": 70}), (3, {"ok": 0, "net": 9, "buf": 120}),
+                  (5, {"buf": 40, "p99": 300}), (8, {"buf": 6})],
+    # A tide: every 30 s one window of 3 s is slow, every minute it also times out.
+    ("tide", 3): [part for _ in range(4) for part in ((1, {"to": 7, "p99": 800}), (9, {}), (1, {"p99": 400}), (9, {}))],
+    ("calm", 45): [(5, {})],
+}
 
 
-def quiet_rows():
-    return [window("quiet", i, 10) for i in range(1, 4)]
+def rows_of(name):
+    (seconds, phases), = [(key[1], p) for key, p in PHASES.items() if key[0] == name]
+    looks = [look for n, look in phases for _ in range(n)]
+    return [window(name, i + 1, seconds, late=i % 5 * 10, **look) for i, look in enumerate(looks)]
 
 
-def ms(text):
-    return int(ts(text).timestamp() * 1000)
+def clock(seconds):
+    return int((T0 + timedelta(seconds=seconds)).timestamp() * 1000)
 
 
 @pytest.fixture(scope="module")
 def runs(spark):
-    windows = spark.createDataFrame(outage_rows() + spike_rows() + quiet_rows(), SCHEMA)
+    windows = spark.createDataFrame([w for name, _ in PHASES for w in rows_of(name)], SCHEMA)
     return windows, N.placed(windows, ["run"])
 
 
@@ -64,49 +52,59 @@ def by_run(df):
 
 def test_window_length_per_run(runs):
     got = {r.run: r.len_ms for r in N.window_length(runs[0], ["run"]).collect()}
-    assert got == {"outage": 10_000, "spike": 5_000, "quiet": 10_000}
+    assert got == {name: seconds * 1000 for name, seconds in PHASES}
 
 
 def test_totals(runs):
     got = by_run(N.totals(runs[0], ["run"]))
-    assert (got["outage"].s5xx, got["outage"].windows, got["outage"].max_buffered) == (300, 30, 6000)
-    assert got["spike"].timeouts == 2 * 20 + 6 * 5
+    for name, _ in PHASES:
+        rows = rows_of(name)
+        total = got[name]
+        assert (total.s5xx, total.timeouts, total.windows) == (sum(w[6] for w in rows), sum(w[7] for w in rows), len(rows))
+        assert total.max_buffered == max(w[9] for w in rows)
 
 
-def test_outage_span_recovery_and_restore(runs):
+def test_error_span_covers_both_breaks(runs):
     span = by_run(N.error_span(runs[1], ["run"]))
-    outage = span["outage"]
-    assert (outage.first_ms, outage.last_ms) == (ms("2026-09-30 14:01:00"), ms("2026-09-30 14:02:00"))
-    assert (outage.error_windows, outage.windows, outage.duration_ms) == (6, 30, 60_000)
-    assert (span["quiet"].first_ms, span["quiet"].error_windows) == (None, 0)
-    back = by_run(N.recovery(runs[1], ["run"]))["outage"]
-    assert (back.normal, back.cleared_ms, back.recovery_ms) == (2, ms("2026-09-30 14:02:40") + 3, 40_000)
-    restored = F.lit(ts("2026-09-30 14:02:00"))
-    after = by_run(N.post_restore(runs[1], ["run"], restored))
-    assert (after["outage"].errors_after, after["outage"].normal_after_ms) == (0, 40_003)
-    assert after["quiet"].cleared_ms is None
-
-
-def test_one_run_without_a_run_column_gives_the_same_answers(spark):
-    windows = spark.createDataFrame(outage_rows(), SCHEMA).drop("run")
-    at = N.placed(windows, [])
-    assert N.recovery(at, []).first().recovery_ms == 40_000
-    assert N.post_restore(at, [], F.lit(ts("2026-09-30 14:01:30"))).first().errors_after == 150
-    assert N.timeline(at, []).filter("is_gap").count() == 2
-    assert N.longest_zero_run(at, []).first().longest_zero_ms == 60_000
+    dam = span["dam"]
+    # The first window with errors is the tenth, the last one the eighteenth.
+    assert (dam.first_ms, dam.last_ms, dam.duration_ms) == (clock(9 * 20), clock(18 * 20), 9 * 20_000)
+    assert (dam.error_windows, dam.windows) == (7, 31)
+    assert (span["calm"].first_ms, span["calm"].error_windows) == (None, 0)
+
+
+def test_recovery_waits_for_the_backlog(runs):
+    dam = by_run(N.recovery(runs[1], ["run"]))["dam"]
+    cleared = 24 * 20  # the first window after the errors with no more than before them
+    assert (dam.normal, dam.recovery_ms // 1000) == (6, cleared - 18 * 20)
+    assert dam.cleared_ms // 1000 == clock(cleared) // 1000
+
+
+@pytest.mark.parametrize(("restored", "errors"), [(9, 7 * 10 + 1), (13, 27), (18, 0)])
+def test_errors_after_a_restore(runs, restored, errors):
+    after = by_run(N.post_restore(runs[1], ["run"], F.lit(T0 + timedelta(seconds=20 * restored))))
+    assert after["dam"].errors_after == errors
+    assert after["calm"].cleared_ms is None
+
+
+def test_one_run_without_a_run_column_gives_the_same_answers(spark, runs):
+    alone = N.placed(spark.createDataFrame(rows_of("dam"), SCHEMA).drop("run"), [])
+    assert N.recovery(alone, []).first().recovery_ms == by_run(N.recovery(runs[1], ["run"]))["dam"].recovery_ms
+    assert N.longest_zero_run(alone, []).first().longest_zero_ms == brute_zero_runs(rows_of("dam")) * 20_000
+    got = [(r.is_gap, r.windows) for r in N.timeline(alone, []).orderBy("seq").collect()]
+    assert got == [(gap, n) for gap, n, _ in brute_timeline(rows_of("dam"))]
 
 
 def test_phase_profile_only_for_windows_that_divide_the_cycle(runs):
     got = {(r.run, r.phase_ms): r for r in N.phase_profile(runs[1], ["run"]).collect()}
-    assert {run for run, _ in got} == {"spike"}
-    picks = [(r.windows, r.median_p99, r.max_p99, r.s5xx, r.timeouts) for r in (got["spike", p] for p in (0, 5000, 15_000))]
-    assert picks == [(2, 5000, 5000, 0, 40), (2, 20, 20, 0, 0), (2, 2000, 2000, 0, 10)]
-    assert got["spike", 55_000].windows == 2
+    assert {run for run, _ in got} >= {"tide"} and "calm" not in {run for run, _ in got}
+    tide = {phase // 1000: (r.windows, r.median_p99, r.max_p99, r.timeouts) for (run, phase), r in got.items() if run == "tide"}
+    assert set(tide) == set(range(0, 60, 3))
+    assert [tide[s] for s in (0, 3, 30, 57)] == [(4, 800, 800, 28), (4, 30, 30, 0), (4, 400, 400, 0), (4, 30, 30, 0)]
 
 
-def test_quiet_run_shows_nothing(runs):
-    shown = N.shown_windows(runs[1], ["run"]).filter("run = 'quiet' and shown").count()
-    assert shown == 0
+def test_a_calm_run_shows_nothing(runs):
+    assert N.shown_windows(runs[1], ["run"]).filter("run = 'calm' and shown").count() == 0
 
 
 def brute_timeline(rows):
@@ -145,7 +143,7 @@ def test_long_random_runs_match_a_sequential_pass(spark, seed):
         for i in range(1, 500):
             failing = rng.random() < 0.02
             data.append(
-                window(run, i, 3600, ok=0 if rng.random() < 0.5 else 10, e5=5 if failing else 0, buf=rng.choice([2, 2, 2, 2, 9]),
+                window(run, i, 3600, ok=0 if rng.random() < 0.5 else 10, e5=5 if failing else 0, buf=rng.choice([2, 2, 2, 2, 9]), late=3,
                        p99=rng.choice([20] * 40 + [500]))
             )
     at = N.placed(spark.createDataFrame(data, SCHEMA), ["run"])
@@ -162,8 +160,8 @@ def test_long_random_runs_match_a_sequential_pass(spark, seed):
 
 
 LINE = (
-    "[2026-09-30T14:00:10.003Z] sent=100 (10/s) reqs=101 200=99 400=1 5xx=3 timeouts=4 neterr=5 queued=99 dupes=8 "
-    "buffered=40 latency p50=5ms p95=9ms p99=77ms"
+    "[2031-03-04T05:00:20.017Z] sent=61 (3/s) reqs=72 200=58 400=2 5xx=11 timeouts=6 neterr=9 queued=58 dupes=1 "
+    "buffered=90 latency p50=8ms p95=14ms p99=333ms"
 )
 
 
@@ -172,12 +170,12 @@ def parsed(windows):
             for r in windows.collect()]
 
 
-EXPECTED = (datetime(2026, 9, 30, 14, 0, 10, 3000), 100, 101, 99, 1, 3, 4, 5, 40, 5, 9, 77)
+EXPECTED = (datetime(2031, 3, 4, 5, 0, 20, 17000), 61, 72, 58, 2, 11, 6, 9, 90, 8, 14, 333)
 
 
 @pytest.mark.parametrize(("name", "encoding"), [("utf8", "utf-8"), ("bom", "utf-8-sig"), ("wide", "utf-16")])
 def test_log_files_in_any_encoding(spark, tmp_path, name, encoding):
-    text = "\r\n".join(["> sim start", LINE, "dev-00001: batch rejected", " " + LINE, ""])
+    text = "\r\n".join(["", "load generator 4", LINE, LINE[1:60], "x" + LINE, "end of run"])
     path = tmp_path / f"{name}.log"
     path.write_bytes(text.encode(encoding))
     assert parsed(logs.parse_windows(logs.detect_log_lines(spark, str(path)))) == [(f"{name}.log", *EXPECTED)]

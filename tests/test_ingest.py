@@ -9,7 +9,7 @@ from kerbside.operators.scale import lookup
 
 from .helpers import devices, messages, naive, stored, ts
 
-T0, T1, T2 = "2026-09-30 11:00:00", "2026-09-30 11:00:15", "2026-09-30 11:00:30"
+T0, T1, T2 = "2031-03-04 06:19:45", "2031-03-04 06:20:00", "2031-03-04 06:20:15"
 
 
 def run(batch, table):
@@ -17,38 +17,43 @@ def run(batch, table):
     return probed, tuple(I.counters(probed).first())
 
 
-def test_new_rows_then_duplicates_and_one_conflict(spark, rows):
-    none = stored(spark).limit(0)
-    first = messages(spark, ("dev-00001", T0, 5), ("dev-00001", T1, 6))
-    assert run(first, none)[1] == (2, 0)
-    table = stored(spark, ("dev-00001", T0, 5), ("dev-00001", T1, 6))
-    second = messages(spark, ("dev-00001", T0, 5), ("dev-00001", T1, 99), ("dev-00021", T0, 30))
-    probed, counts = run(second, table)
-    assert counts == (1, 2)
-    found = I.conflicts(second, probed).collect()
-    assert [(r.device_id, naive(r.interval_start), r.stored_vehicles, r.incoming_vehicles, r.messages) for r in found] == [
-        ("dev-00001", ts(T1).replace(tzinfo=None), 6, 99, 1)
-    ]
-    assert rows(I.new_rows(probed), "device_id", "vehicles") == [("dev-00021", 30)]
+def test_what_is_stored_decides_over_the_batch(spark, rows):
+    table = stored(spark, ("east", T0, 3), ("east", T2, 8), ("west", T2, 8))
+    # East: an equal copy and two other counts of a stored interval, a new interval; west: an equal copy; north: new.
+    batch = messages(spark, ("east", T0, 4), ("east", T1, 1), ("east", T0, 3), ("west", T2, 8), ("north", T2, 0), ("east", T0, 4))
+    probed, counts = run(batch, table)
+    assert counts == (2, 4)
+    assert rows(I.new_rows(probed), "device_id", "vehicles", "offset") == [("east", 1, 1), ("north", 0, 4)]
+    assert rows(I.duplicate_keys(probed), "device_id", "duplicates") == [("east", 3), ("west", 1)]
+    found = I.conflicts(batch, probed)
+    assert rows(found, "device_id", "stored_vehicles", "incoming_vehicles", "messages", "first_offset") == [("east", 3, 4, 2, 0)]
+    assert naive(found.first().interval_start) == ts(T0).replace(tzinfo=None)
 
 
-def test_same_key_twice_in_a_batch(spark, rows):
-    batch = messages(spark, ("d", T0, 1), ("d", T0, 2), ("d", T0, 1))
+def test_copies_within_a_batch(spark, rows):
+    values = [6, 2, 6, 2, 5]
+    batch = messages(spark, *[("east", T1, v) for v in values])
     probed, counts = run(batch, stored(spark).limit(0))
-    assert counts == (1, 2)
-    assert rows(I.new_rows(probed), "vehicles", "offset") == [(1, 0)]
-    assert rows(I.duplicate_keys(probed), "duplicates") == [(2,)]
+    assert counts == (1, len(values) - 1)
+    assert rows(I.new_rows(probed), "vehicles", "offset") == [(6, 0)]
     assert I.conflicts(batch, probed).count() == 0
-    in_batch = I.conflicts(batch, probed, include_in_batch=True)
-    assert rows(in_batch, "stored_vehicles", "incoming_vehicles", "messages", "first_offset") == [(1, 2, 1, 1)]
-
-
-def test_unknown_devices_and_large_counts_are_split_off(spark, rows):
-    batch = messages(spark, ("d", T0, 1), ("ghost", T0, 1), ("d", T1, 1)).withColumn("vehicles", F.col("vehicles").cast("long"))
-    batch = batch.withColumn("vehicles", F.when(F.col("offset") == 2, 2**31).otherwise(F.col("vehicles")))
-    good, bad = I.split_by_constraints(batch, devices(spark, ("d", 15)))
-    assert rows(good, "device_id", "vehicles") == [("d", 1)]
-    assert rows(bad, "device_id", "reason") == [("d", "vehicles out of range"), ("ghost", "unknown device")]
+    inside = I.conflicts(batch, probed, include_in_batch=True)
+    assert rows(inside, "stored_vehicles", "incoming_vehicles", "messages", "first_offset") == [(6, 2, 2, 1), (6, 5, 1, 4)]
+
+
+def test_rows_that_break_a_rule_of_the_table(spark, rows):
+    schema = "device_id string, interval_start timestamp, vehicles double, accepted_at timestamp, offset long"
+    cases = [("east", T0, 0.0, None), ("ghost", T0, 1.0, "unknown device"), (None, T0, 1.0, "unknown device"),
+             ("east", None, 1.0, "no interval start"), ("east", T0, None, "vehicles out of range"), ("east", T0, -1.0, "vehicles out of range"),
+             ("east", T0, 2.0**31, "vehicles out of range"), ("east", T0, 1e300, "vehicles out of range"), ("east", T1, 2.0**31 - 1, None)]
+    data = [(d, s and ts(s), v, ts(T2), i) for i, (d, s, v, _) in enumerate(cases)]
+    batch, dim = spark.createDataFrame(data, schema), devices(spark, ("east", 15))
+    good, bad = I.split_by_constraints(batch, dim)
+    assert rows(good, "offset", "vehicles") == [(0, 0), (8, 2**31 - 1)]
+    assert rows(bad, "offset", "reason") == [(i, r) for i, (*_, r) in enumerate(cases) if r]
+    probed = I.probe(I.first_writes(good), stored(spark).limit(0))
+    counters = I.batch_counters(batch, dim, probed, F.lit(1))
+    assert rows(counters) == [(1, 2, 0, 7)]
 
 
 def test_a_device_table_too_large_to_broadcast_gives_the_same_rows(spark, rows):

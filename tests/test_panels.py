@@ -109,3 +109,18 @@ def test_time_range_prunes_dates(spark, tmp_path):
     partition_filters = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
     assert ">= 2026-09-12" in partition_filters and "<= 2026-09-13" in partition_filters
     assert "EqualTo(device_id,a)" in plan and "GreaterThanOrEqual(interv" in plan
+
+
+def test_time_range_finds_the_day_in_any_session_zone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = stored(spark, ("a", "2031-03-03 23:40:00", 1), ("a", "2031-03-04 00:10:00", 2))
+    df.withColumn("event_date", F.to_date("interval_start")).write.partitionBy("event_date").parquet(path)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for other in ("Europe/Berlin", "America/Lima"):
+            spark.conf.set("spark.sql.session.timeZone", other)
+            low = F.timestamp_micros(F.unix_micros(F.lit(ts("2031-03-03 23:30:00"))))
+            rows = P.time_range(spark.read.parquet(path), low, low + F.expr("INTERVAL '15' MINUTE"))
+            assert [r.vehicles for r in rows.collect()] == [1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,22 +17,22 @@ def sample(spark, **cells):
 
 def test_csv_round_trip_quotes_and_keeps_empty_cells(spark, tmp_path):
     path = str(tmp_path / "samples")
-    one = sample(spark, timestamp="2026-09-30T11:00:00.000Z", elapsed_min=30.0, p99_ms=12, sim_devices='a,"b"\nc')
-    sample_csv.append_samples(one, path)
-    sample_csv.append_samples(one.withColumn("p99_ms", F.lit(13)), path)
-    got = sorted(sample_csv.read_samples(spark, path).collect(), key=lambda r: r.p99_ms)
-    assert [r.p99_ms for r in got] == ["12", "13"]
-    assert (got[0].timestamp, got[0].elapsed_min, got[0].sim_devices) == ("2026-09-30T11:00:00.000Z", "30.0", 'a,"b"\nc')
+    one = sample(spark, timestamp="2031-03-04T06:00:00.000Z", elapsed_min=7.5, buffered=1, sim_devices='"x", y\n\n,z"')
+    for n in (1, 2, 3):
+        sample_csv.append_samples(one.withColumn("buffered", F.lit(n)), path)
+    got = sorted(sample_csv.read_samples(spark, path).collect(), key=lambda r: r.buffered)
+    assert [r.buffered for r in got] == ["1", "2", "3"]
+    assert {(r.timestamp, r.elapsed_min, r.sim_devices) for r in got} == {("2031-03-04T06:00:00.000Z", "7.5", '"x", y\n\n,z"')}
     assert (got[0].pg_cpu_pct, tuple(got[0].__fields__)) == (None, SAMPLE_COLUMNS)
 
 
 def test_csv_written_by_others(spark, tmp_path):
     path = tmp_path / "metrics.csv"
-    path.write_text(",".join(SAMPLE_COLUMNS) + '\r\n2026-09-30T11:00:00.000Z,30,5\r\n\r\n"x ""y""",1,\r\n', newline="")
+    path.write_text(",".join(SAMPLE_COLUMNS) + '\r\nlate,8,\r\n\r\n"""q"" r",,44\r\n', newline="")
     got = sample_csv.read_samples(spark, str(path)).collect()
     assert [(r.timestamp, r.elapsed_min, r.rows_approx, r.total_mib) for r in got] == [
-        ("2026-09-30T11:00:00.000Z", "30", "5", None),
-        ('x "y"', "1", None, None),
+        ("late", "8", None, None),
+        ('"q" r', None, "44", None),
     ]
 
 
@@ -51,45 +53,50 @@ def test_append_refuses_other_columns(spark, tmp_path):
 def test_host_stats_with_mark_and_repeated_waits(spark, tmp_path, rows):
     path = tmp_path / "stats.csv"
     text = (
-        "time_utc,api_cpu_pct,pg_cpu,pg_mem,pg_waits\n15:22:16,39,24.89%,113.1MiB / 1GiB,ClientRead:9 WALSync:1\n"
-        "15:22:18,,--,n/a,ClientRead:1 ClientRead:8 idle:1\n"
+        "time_utc,api_cpu_pct,pg_cpu,pg_mem,pg_waits\n06:00:01,7,0.4%,2.5GiB / 4GiB,Lock:3\n"
+        "06:00:02,,n.a.,-,\n06:00:03,100,99%,512kB / 1MB,Lock:1 IO:2 Lock:4 IO:1\n"
     )
     path.write_bytes(text.encode("utf-8-sig"))
     stats = H.read_host_stats(spark, str(path))
-    assert rows(stats.drop("pg_waits")) == [("15:22:16", 39, 24.89, 113.1), ("15:22:18", None, None, None)]
-    assert rows(H.wait_counts(stats)) == [
-        ("15:22:16", "ClientRead", 9),
-        ("15:22:16", "WALSync", 1),
-        ("15:22:18", "ClientRead", 9),
-        ("15:22:18", "idle", 1),
-    ]
+    assert rows(stats.drop("pg_waits")) == [("06:00:01", 7, 0.4, 2560.0), ("06:00:02", None, None, None), ("06:00:03", 100, 99.0, 0.5)]
+    assert rows(H.wait_counts(stats)) == [("06:00:01", "Lock", 3), ("06:00:03", "IO", 3), ("06:00:03", "Lock", 5)]
+
+
+def snapshot(source, written, **members):
+    return json.dumps({"source": source, "writtenAt": written, "windowSeconds": 4} | members)
 
 
 def test_latest_snapshot(spark, tmp_path):
+    counters = dict(zip(("p50", "p95", "p99", "status400", "status5xx", "timeouts", "networkErrors", "buffered"), range(11, 19), strict=True))
+    lines = [
+        snapshot("east", "2031-03-04T06:00:08.000Z", deviceCount=50, readingsSent=333, **counters),
+        snapshot("east", "2031-03-04T06:00:04.000Z", deviceCount=49, readingsSent=1),
+        snapshot("east", "oops", deviceCount=48, readingsSent=2),
+        snapshot("north", "2031-03-04T06:00:00Z", deviceCount=1, readingsSent=5, windowSeconds=0),
+        snapshot("west", "never", deviceCount=2),
+    ]
     path = tmp_path / "s.json"
-    old = '{"source":"a","writtenAt":"2026-09-30T11:00:00.000Z","windowSeconds":10,"deviceCount":9,"readingsSent":5}'
-    new = (
-        '{"source":"a","writtenAt":"2026-09-30T11:00:10.400Z","windowSeconds":10,"deviceCount":1000,"buffered":3,'
-        '"readingsSent":666,"status400":1,"status5xx":2,"timeouts":3,"networkErrors":4,"p50":5,"p95":8,"p99":20}'
-    )
-    path.write_text(old + "\n" + new + "\n")
-    got = S.latest_snapshots(snapshots.read_snapshots(spark, str(path)), ts("2026-09-30 11:00:14")).collect()
-    assert [tuple(r) for r in got] == [("a", 1000, 4, 66.6, 5, 8, 20, 1, 2, 3, 4, 3)]
+    path.write_text("\n".join(lines))
+    got = S.latest_snapshots(snapshots.read_snapshots(spark, str(path)), ts("2031-03-04 06:00:20.6")).orderBy("source").collect()
+    assert tuple(got[0]) == ("east", 50, 13, 83.3, *range(11, 19))
+    assert [(r.source, r.sim_devices, r.sim_age_s, r.sent_per_s) for r in got[1:]] == [("north", 1, 21, None), ("west", 2, None, None)]
 
 
 def test_samples_are_assembled_with_gaps(spark):
-    times = spark.createDataFrame([(ts("2026-09-30 11:00:00"),), (ts("2026-09-30 11:30:06"),)], "timestamp timestamp")
-    part = times.limit(1).withColumn("sim_age_s", F.lit(61))
-    got = S.sample_report(S.with_elapsed(S.assemble(times, [part]))).orderBy("timestamp").collect()
+    at = ["2031-03-04 06:00:00", "2031-03-04 06:12:30", "2031-03-04 07:59:40"]
+    times = spark.createDataFrame([(ts(t),) for t in at], "timestamp timestamp")
+    ages = spark.createDataFrame([(ts(at[1]), 60), (ts(at[2]), 6000)], "timestamp timestamp, sim_age_s int")
+    got = S.sample_report(S.with_elapsed(S.assemble(times, [ages]))).orderBy("timestamp").collect()
     assert [(r.elapsed_min, r.elapsed_whole_min, r.sim_age_s, r.is_stale) for r in got] == [
-        (0.0, 0, 61, True),
-        (30.1, 30, None, False),
+        (0.0, 0, None, False),
+        (12.5, 13, 60, False),
+        (119.7, 120, 6000, True),
     ]
 
 
 def test_city_wide_query_is_timed(spark):
-    rows = spark.createDataFrame([("a", ts("2026-09-30 11:00:00"), 1)], "device_id string, interval_start timestamp, vehicles int")
-    assert S.city_wide_ms(rows, ts("2026-09-30 11:30:00"), 1) > 0
+    rows = spark.createDataFrame([("lane", ts("2031-03-04 06:00:00"), 8)], "device_id string, interval_start timestamp, vehicles int")
+    assert S.city_wide_ms(rows, ts("2031-03-04 06:59:00"), 1) > 0
 
 
 def test_table_profile(spark, tmp_path):

@@ -9,25 +9,28 @@ from kerbside.sources import host_stats as H
 
 
 def test_device_ids_keep_long_numbers(spark):
-    df = spark.createDataFrame([(7,), (99_999,), (123_456,)], "n long")
-    assert [r[0] for r in df.select(S.device_id("n")).collect()] == ["dev-00007", "dev-99999", "dev-123456"]
+    cases = {0: "dev-00000", 305: "dev-00305", 40_000: "dev-40000", 7_654_321: "dev-7654321"}
+    df = spark.createDataFrame([(n,) for n in cases], "n long")
+    assert {r.n: r.d for r in df.select("n", S.device_id("n").alias("d")).collect()} == cases
 
 
 def test_byte_sizes(spark):
-    cases = {"1.5GiB": 1.5 * 2**30, "200kB": 200_000.0, " 3 b ": 3.0, "n/a": None, "5XB": None, "1.2.3MB": None, "MB": None}
+    units = {"b": 1, "kB": 10**3, "mb": 10**6, "GB": 10**9, "TB": 10**12, "KiB": 2**10, "mib": 2**20, "GIB": 2**30, "TiB": 2**40}
+    cases = {f"{n}{gap}{unit}": n * size for n in (0.25, 12.0) for gap in ("", "  ") for unit, size in units.items()}
+    cases |= {text: None for text in ("", "12", "kB", "1,5kB", "2..5GB", "3 PiB", "-1B", "none")}
     df = spark.createDataFrame([(c,) for c in cases], "s string")
     assert {r.s: r.b for r in df.select("s", S.byte_size("s").alias("b")).collect()} == cases
 
 
 def test_container_stats(spark):
     lines = [
-        '{"CPUPerc":"12.34%","MemUsage":"256MiB / 7.6GiB","MemPerc":"3.29%"}',
-        '{"CPUPerc":"--","MemUsage":"-- / --"}',
-        "broken",
+        '{"MemPerc":"81.5%","Name":"db","CPUPerc":"140.07%","MemUsage":"1.25GiB / 2GiB"}',
+        '{"CPUPerc":"","MemUsage":"?"}',
+        "[",
     ]
     df = H.container_stats(spark.createDataFrame([(line,) for line in lines], "value string"))
     got = {r.value: (r.pg_cpu_pct, r.pg_mem_mib, r.pg_mem_pct) for r in df.collect()}
-    assert [got[line] for line in lines] == [(12.34, 256.0, 3.29), (None, None, None), (None, None, None)]
+    assert [got[line] for line in lines] == [(140.07, 1280.0, 81.5), (None, None, None), (None, None, None)]
 
 
 def exact(x, digits):
@@ -45,14 +48,20 @@ def test_to_fixed_rounds_the_binary_value(spark):
         assert {v: got[v] for v in values} == {v: exact(v, digits) for v in values}
 
 
+def test_to_fixed_keeps_numbers_without_a_fraction(spark):
+    values = [2.0**52, -(2.0**53) - 2, 1e19, -1e19, 1.5e300, 2.0**51 + 0.5]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r.y for r in df.select(S.to_fixed("x", 1).alias("y")).collect()] == values
+
+
 def test_next_boundary_is_strictly_later(spark):
-    cases = {0: 15_000, 14_999: 15_000, 15_000: 30_000, 59_999: 60_000}
+    cases = {ms: (ms // 15_000 + 1) * 15_000 for ms in (0, 1, 29_999, 30_000, 1_930_371_555_000, 1_930_371_555_001)}
     df = spark.createDataFrame([(c,) for c in cases], "ms long")
     assert {r.ms: r.b for r in df.select("ms", T.next_boundary_ms("ms", 15).alias("b")).collect()} == cases
 
 
 def test_window_start_snaps_to_the_grid(spark):
-    cases = {10_003: 0, 9_998: 0, 5_000: 0, 4_999: -10_000, 1_790_780_720_059: 1_790_780_710_000}
+    cases = {40_000 + late: 30_000 for late in (-5_000, -1, 0, 17, 4_999)} | {45_000: 40_000, 1_930_371_560_123: 1_930_371_550_000}
     df = spark.createDataFrame([(c,) for c in cases], "e long")
     got = {r.e: r.s for r in df.select("e", T.window_start_ms("e", F.lit(10_000).cast("long")).alias("s")).collect()}
     assert got == cases
