@@ -1,13 +1,19 @@
-"""Times the headline queries once each at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line."""
+"""Times the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
+
+Each query runs once to warm up; the figure is the median of the three runs after that, or the second run of a query
+that takes longer than ``ONCE_MORE`` seconds.
+"""
 
 import json
 import os
+import tempfile
 import time
+from statistics import median
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.operators import ingest, wire
+from kerbside.operators import ingest
 from kerbside.plans import incident_queries as N
 from kerbside.plans import inputs as X
 from kerbside.plans import reading_queries as R
@@ -49,6 +55,20 @@ HEADLINE = {
 }
 
 
+ONCE_MORE = 4
+
+
+def seconds_of(query, spark, sf_dir) -> float:
+    taken = []
+    while len(taken) < 4:
+        start = time.perf_counter()
+        run(query(spark, sf_dir))
+        taken.append(time.perf_counter() - start)
+        if len(taken) == 2 and taken[1] > ONCE_MORE:
+            break
+    return round(median(taken[1:]), 3)
+
+
 def run(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -62,16 +82,13 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", cpus)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .config("spark.log.level", "ERROR")
         .getOrCreate()
     )
     run(X.readings(spark, sf_dir))  # starts the executors and reads the file once
-    seconds = {}
-    for name, query in HEADLINE.items():
-        start = time.perf_counter()
-        run(query(spark, sf_dir))
-        seconds[name] = round(time.perf_counter() - start, 3)
-    messages = wire.encode(X.incoming(spark, sf_dir)).count()
+    seconds = {name: seconds_of(query, spark, sf_dir) for name, query in HEADLINE.items()}
+    stored = ingest.first_writes(X.readings(spark, sf_dir)).count()
     print(
         json.dumps(
             {
@@ -81,8 +98,8 @@ def main() -> None:
                 "queries": seconds,
                 "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
                 "events": X.events(spark, sf_dir).count(),
-                "stream_messages": messages,
-                "stream_messages_per_s": round(messages / seconds["stream_ingest"]),
+                "stream_inserts": stored,
+                "stream_inserts_per_s": round(stored / seconds["stream_ingest"]),
             }
         )
     )

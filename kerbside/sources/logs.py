@@ -1,5 +1,7 @@
 """Request-window logs written by a load generator."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +29,7 @@ METRICS_LINE = r"\A\[([^\]]+)\] sent="
 _PLAIN_LINES = {"sep": "\u0001", "quote": "", "escape": "", "lineSep": "\n", "header": False}
 
 
-def read_log_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+def read_log_lines(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
     """``(run, line)`` of logs of one encoding, split by size, so one huge log is read by many tasks.
 
     The run is the ``run=`` folder of the file, or else the file's name. Use ``UTF-16LE`` for logs of a Windows shell.
@@ -52,15 +54,21 @@ def write_log_lines(lines: DataFrame, path: str, encoding: str = "UTF-8") -> Non
 
 
 def detect_log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``(run, line)`` of small logs whose encoding is told by a byte order mark; each file is decoded as a whole."""
-    files = spark.read.format("binaryFile").load(path)
-    wide = F.hex(F.substring("content", 1, 2)) == "FFFE"
-    text = F.when(wide, F.decode("content", "UTF-16")).otherwise(F.decode("content", "UTF-8"))
-    lines = files.select(
-        F.element_at(F.split("path", "/"), -1).alias("run"), F.explode(F.split(text, "\n")).alias("line")
-    )
-    return lines.select("run", _clean(F.col("line")).alias("line"))
+    """``(run, line)`` of logs whose encoding is told by a byte order mark: UTF-16LE if there is one, else UTF-8.
 
+    Only the first two bytes of every file are looked at here; then the files of each encoding are read in splits.
+    """
+    by_encoding: dict[str, list[str]] = {}
+    for file in spark.read.text(path).inputFiles():
+        at = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(file))
+        stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+        try:
+            mark = (stream.read(), stream.read())
+        finally:
+            stream.close()
+        by_encoding.setdefault("UTF-16LE" if mark == (0xFF, 0xFE) else "UTF-8", []).append(file)
+    parts = [read_log_lines(spark, files, encoding) for encoding, files in sorted(by_encoding.items())]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "run string, line string")
 
 def _clean(line: Column) -> Column:
     return F.regexp_replace(line, "\\A\ufeff|\r\\z", "")

@@ -14,7 +14,7 @@ from ..schema import READINGS
 
 SIDE_SCHEMAS = {
     "batches": "batch_id long, ts timestamp, messages long, inserted long, duplicates long, skipped long, "
-    "store_retries long, flush_ms long",
+    "store_retries long, flush_ms long, delay_ms_p50 long, delay_ms_max long",
     "offsets": "batch_id long, partition int, offset long",
     "conflicts": "batch_id long, device_id string, interval_start timestamp, stored_vehicles int, "
     "incoming_vehicles int, messages long, first_offset long",
@@ -128,6 +128,8 @@ def rewrite_sorted(readings: DataFrame, target: str) -> None:
             F.lit(0).alias("skipped"),
             F.lit(0).alias("store_retries"),
             F.lit(0).alias("flush_ms"),
+            F.lit(None).alias("delay_ms_p50"),
+            F.lit(None).alias("delay_ms_max"),
         ),
         target,
         "batches",

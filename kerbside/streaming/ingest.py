@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.times import epoch_ms
 from ..operators import ingest as I
 from ..operators.wire import commit_offsets, decode
 from ..session import configure
@@ -48,6 +49,9 @@ def ingest_batch(messages: DataFrame, batch_id: int, path: str, devices: DataFra
 def _summary(decoded: DataFrame, probed: DataFrame, stored_at, flush_ms: int) -> DataFrame:
     counts = I.counters(probed)
     seen = decoded.agg(F.count("*").alias("messages"))
+    # From acceptance to storage, over the new rows.
+    delay = I.new_rows(probed).select((epoch_ms(stored_at) - epoch_ms("accepted_at")).alias("ms"))
+    delays = delay.agg(F.percentile_approx("ms", 0.5, 10_000).alias("p50"), F.max("ms").alias("max"))
     row = seen.select(
         "messages",
         counts.select("accepted").scalar().alias("inserted"),
@@ -61,6 +65,8 @@ def _summary(decoded: DataFrame, probed: DataFrame, stored_at, flush_ms: int) ->
         (F.col("messages") - F.col("inserted") - F.col("duplicates")).alias("skipped"),
         F.lit(0).alias("store_retries"),
         F.lit(flush_ms).alias("flush_ms"),
+        delays.select("p50").scalar().alias("delay_ms_p50"),
+        delays.select("max").scalar().alias("delay_ms_max"),
     )
 
 

@@ -3,19 +3,23 @@
 import json
 
 
-def progress_lag(progress: dict) -> int:
+def progress_lag(progress: dict, oldest: dict | None = None) -> int:
     """Lag from one streaming progress report: latest minus processed offsets of all topic partitions.
 
-    -1 when a source does not report its latest offset.
+    A partition without progress counts from its oldest retained offset, ``oldest[topic][partition]`` as the broker
+    tells it. -1 when a source does not report its latest offset, or the oldest one is needed and not given.
     """
     total = 0
     for source in progress.get("sources", []):
         latest, end = _offsets(source.get("latestOffset")), _offsets(source.get("endOffset"))
         if latest is None or end is None:
             return -1
-        total += sum(
-            high - end.get(topic, {}).get(partition, 0) for topic, parts in latest.items() for partition, high in parts.items()
-        )
+        for topic, parts in latest.items():
+            for partition, high in parts.items():
+                done = end.get(topic, {}).get(partition, (oldest or {}).get(topic, {}).get(partition))
+                if done is None:
+                    return -1
+                total += high - done
     return total
 
 

@@ -77,8 +77,10 @@ def test_lag(spark):
 
 
 def test_progress_lag():
-    source = {"endOffset": '{"readings":{"0":90,"1":50}}', "latestOffset": '{"readings":{"0":100,"1":50,"2":3}}'}
-    assert progress_lag({"sources": [source]}) == 13
+    source = {"endOffset": '{"counts":{"4":712,"5":31}}', "latestOffset": '{"counts":{"4":750,"5":31,"6":909}}'}
+    # Partition 6 has no progress; the broker still holds it from 900 on.
+    assert progress_lag({"sources": [source]}, {"counts": {"6": 900, "4": 0}}) == 38 + 9
+    assert progress_lag({"sources": [source]}) == -1
     assert progress_lag({"sources": [{"endOffset": None, "latestOffset": None}]}) == -1
 
 
