@@ -64,11 +64,13 @@ def neighbours(
     """
     keys = list(keys)
     wanted = list(dict.fromkeys([order, *cols]))
-    inside = Window.partitionBy(*keys, chunk).orderBy(order)
-    # One min_by/max_by per column keeps fixed-width buffers, hence hash aggregation with map-side combine.
+    inside = Window.partitionBy(*keys, chunk).orderBy(*wanted)
+    # One min_by/max_by per column keeps fixed-width buffers, hence hash aggregation with map-side combine. With further
+    # columns, these decide between rows that are equal in the order, so that every run gives the same answer.
+    place = F.col(order) if len(wanted) == 1 else F.struct(*wanted)
     edges = df.groupBy(*keys, chunk).agg(
-        *[F.min_by(c, order).alias(f"_first_{c}") for c in wanted],
-        *[F.max_by(c, order).alias(f"_last_{c}") for c in wanted],
+        *[F.min_by(c, place).alias(f"_first_{c}") for c in wanted],
+        *[F.max_by(c, place).alias(f"_last_{c}") for c in wanted],
     )
     across = _sequence(keys, chunk)
     edges = edges.select(
@@ -97,7 +99,7 @@ def running_sum(
 ) -> DataFrame:
     """Inclusive prefix sum of ``value`` per ``keys`` in ``order``, two-level like ``neighbours``."""
     keys = list(keys)
-    inside = Window.partitionBy(*keys, chunk).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys, chunk).orderBy(order, value).rowsBetween(Window.unboundedPreceding, 0)
     before = _sequence(keys, chunk).rowsBetween(Window.unboundedPreceding, -1)
     totals = df.groupBy(*keys, chunk).agg(F.sum(value).alias("_total"))
     totals = totals.select(*keys, chunk, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
