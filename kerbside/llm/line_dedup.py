@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import saved
-from .common import SPACED, lower_az, null_join, release, sized
+from .common import SPACED, null_join, release, sized
 
 #: Similarity as a fraction.
 TOP, BOTTOM = 4, 5
@@ -25,6 +25,8 @@ TOP, BOTTOM = 4, 5
 BUCKETS = 1 << 18
 #: Sets of fewer words are similar to equal sets only.
 LEAST = TOP
+#: White space at the ends of a text, and between its words.
+EDGES, BETWEEN = " \t\n\x0b\x0c\r", r"[\x20\x09-\x0D]+"
 _KEY = ["never", "doc_id", "text_hash", "line"]
 
 
@@ -33,15 +35,14 @@ def split_lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line", "text"))
 
 
-def line_words() -> Column:
-    """The distinct words of a line."""
-    return F.array_distinct(F.regexp_extract_all(lower_az(F.col("text")), F.lit(SPACED), F.lit(0)))
+def _words(text: str) -> Column:
+    """The lower-cased words of a text, in order."""
+    return F.split(F.btrim(F.lower(text), F.lit(EDGES)), BETWEEN)
 
 
 def word_counts(docs: DataFrame) -> bytes:
     """A byte for each hash bucket: the number of its words on a log scale, below 128."""
-    words = F.regexp_extract_all(lower_az(F.coalesce("text", F.lit(""))), F.lit(SPACED), F.lit(0))
-    seen = docs.select(F.explode(words).alias("word")).select(F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("id"))
+    seen = docs.select(F.explode(_words("text")).alias("word")).select(F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("id"))
     seen = seen.groupBy("id").agg(F.count("*").alias("n"))
     dense = docs.sparkSession.range(BUCKETS).join(seen, "id", "left")
     level = F.least(F.floor(F.log2(F.coalesce("n", F.lit(0)) + 1) * 3) + 1, F.lit(127))
@@ -52,8 +53,8 @@ def word_counts(docs: DataFrame) -> bytes:
 def prepared(docs: DataFrame) -> DataFrame:
     """Every line with a word: its place, set identity ``s1, s2``, size, parity bitmap and prefix, rare words first."""
     counts = F.lit(word_counts(docs))
-    rows = split_lines(docs).withColumn("text", line_words()).filter(F.size("text") > 0)
-    rows = rows.withColumn("h", F.transform("text", lambda w: F.xxhash64(w))).withColumn("n", F.size("text")).drop("text")
+    rows = split_lines(docs).filter(F.col("text").rlike(SPACED))
+    rows = rows.withColumn("h", F.array_distinct(F.transform(_words("text"), lambda w: F.xxhash64(w)))).drop("text")
     # Rarity in the upper 8 bits, 55 bits of the hash below.
     rank = lambda h: F.ascii(F.substring(counts, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1, F.lit(1)).cast("string"))
     key = lambda h: F.shiftleft(rank(h).cast("long"), 55).bitwiseOR(h.bitwiseAND(F.lit((1 << 55) - 1)))
@@ -63,11 +64,19 @@ def prepared(docs: DataFrame) -> DataFrame:
         "doc_id",
         "text_hash",
         "line",
-        F.xxhash64(F.sort_array("h")).alias("s1"),
-        F.xxhash64(F.lit(1), F.sort_array("h")).alias("s2"),
-        "n",
+        F.size("h").alias("n"),
         F.aggregate("h", F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(bit(h))).alias("bits"),
-        F.when(F.col("n") >= LEAST, F.slice(F.sort_array(F.transform("h", key)), F.lit(1), _prefix(F.col("n")))).alias("prefix"),
+        F.sort_array(F.transform("h", key)).alias("k"),
+    )
+    # Lists need no more than 32 bits of a word; equal bits of other words only make a candidate more.
+    prefix = F.transform(F.slice("k", F.lit(1), _prefix(F.col("n"))), lambda k: k.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    rows = rows.select(
+        *_KEY,
+        F.xxhash64("k").alias("s1"),
+        F.xxhash64(F.lit(1), "k").alias("s2"),
+        "n",
+        "bits",
+        F.when(F.col("n") >= LEAST, prefix).alias("prefix"),
     )
     return saved(rows, "lines")
 
@@ -91,7 +100,7 @@ def _candidates() -> Column:
     )
 
 
-def similar(docs: DataFrame, lines: DataFrame, sets: DataFrame) -> DataFrame:
+def similar(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """``(s1, s2)`` of the sets whose first line has a similar one before it that is not equal."""
     lists = sets.filter("prefix is not null").select("s1", "n", "bits", F.posexplode("prefix").alias("at", "t"))
     lists = lists.select("t", "s1", "n", "bits", (F.col("at") + 1).alias("at"))
@@ -100,13 +109,13 @@ def similar(docs: DataFrame, lines: DataFrame, sets: DataFrame) -> DataFrame:
     release(docs.sparkSession)
 
     # From here on, only sets that have a candidate.
-    involved = saved(sets.join(some, "s1", "left_semi").select("s1", "s2", "n", "bits", "prefix", "first"), "involved")
+    involved = saved(sets.join(sized(some), "s1", "left_semi").select("s1", "s2", "n", "bits", "prefix", "first"), "involved")
     lists = involved.select("s1", "s2", "n", "bits", "first", F.posexplode("prefix").alias("at", "t")).withColumn("at", F.col("at") + 1)
     lists = saved(lists, "lists")
     # Their words, read from the texts at their first lines.
     places = saved(involved.select("s1", "s2", *[F.col(f"first.{k}").alias(k) for k in _KEY[1:]]), "places")
     texts = null_join(split_lines(docs), sized(places), ["doc_id", "text_hash", "line"])
-    words = saved(texts.select("s1", "s2", line_words().alias("words")).dropDuplicates(["s1", "s2"]), "words")
+    words = saved(texts.select("s1", "s2", F.array_distinct(_words("text")).alias("words")).dropDuplicates(["s1", "s2"]), "words")
 
     heads = lists.groupBy("t").agg(F.min("first").alias("first"))
     heads = heads.join(lists, ["t", "first"]).select("t", "s1", "s2", "n", "bits", "first", "at")
@@ -139,9 +148,9 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     )
     sets = saved(sets, "sets")
     release(docs.sparkSession)
-    gone = similar(docs, lines, sets).withColumn("gone", F.lit(True))
+    gone = similar(docs, sets).withColumn("gone", F.lit(True))
     firsts = sets.select("s1", "s2", "first").join(gone, ["s1", "s2"], "left")
-    every = lines.select("s1", "s2", *_KEY).distinct().join(firsts, ["s1", "s2"])
+    every = lines.select("s1", "s2", *_KEY).join(firsts, ["s1", "s2"])
     every = every.filter(F.col("gone") | (F.struct(*_KEY) > F.col("first")))
     return saved(every.select("doc_id", "text_hash", "line"), "removed")
 
