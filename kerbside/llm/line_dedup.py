@@ -16,7 +16,7 @@ members of a group; only what is left meets all sets before it.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import saved
+from ..session import discard, saved
 from .common import SPACED, null_join, release, sized
 
 #: Similarity as a fraction.
@@ -112,16 +112,21 @@ def similar(docs: DataFrame, sets: DataFrame) -> DataFrame:
     involved = saved(sets.join(sized(some), "s1", "left_semi").select("s1", "s2", "n", "bits", "prefix", "first"), "involved")
     lists = involved.select("s1", "s2", "n", "bits", "first", F.posexplode("prefix").alias("at", "t")).withColumn("at", F.col("at") + 1)
     lists = saved(lists, "lists")
-    # Their words, read from the texts at their first lines.
+    # Their words as 64-bit hashes, read from the texts at their first lines.
     places = saved(involved.select("s1", "s2", *[F.col(f"first.{k}").alias(k) for k in _KEY[1:]]), "places")
     texts = null_join(split_lines(docs), sized(places), ["doc_id", "text_hash", "line"])
-    words = saved(texts.select("s1", "s2", F.array_distinct(_words("text")).alias("words")).dropDuplicates(["s1", "s2"]), "words")
+    hashed = F.array_distinct(F.transform(_words("text"), lambda w: F.xxhash64(w)))
+    words = saved(texts.select("s1", "s2", hashed.alias("words")).dropDuplicates(["s1", "s2"]), "words")
+    release(docs.sparkSession)
 
     heads = lists.groupBy("t").agg(F.min("first").alias("first"))
     heads = heads.join(lists, ["t", "first"]).select("t", "s1", "s2", "n", "bits", "first", "at")
     settled = _verified(lists, heads, words)
     left = saved(lists.join(settled, ["s1", "s2"], "left_anti"), "left")
-    return settled.unionByName(_verified(left, lists, words))
+    release(docs.sparkSession)
+    settled = settled.unionByName(_verified(left, lists, words))
+    discard(some, involved, lists, places, words, left)
+    return settled
 
 
 def _verified(later: DataFrame, earlier: DataFrame, words: DataFrame) -> DataFrame:
