@@ -27,6 +27,8 @@ from .line_dedup import split_lines
 
 SHINGLE, THRESHOLD, RECALL, ROWS = 5, 0.8, 0.999, 3
 PASSAGE = 26
+#: Bytes of text that are worked on at once.
+PIECE = 2 << 20
 
 
 def tune(threshold: float, recall: float, rows: int) -> int:
@@ -48,10 +50,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts in a row, and the number of words of each text."""
     split = [t.lower().split() for t in texts]
-    known: dict[bytes, int] = {}
-    for words in split:
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh64_intdigest(w)
+    known = {w: xxhash.xxh64_intdigest(w) for w in {w for words in split for w in words}}
     flat = np.array([known[w] for words in split for w in words], np.uint64)
     return flat, np.array([len(words) for words in split], np.int64)
 
@@ -65,15 +64,16 @@ def runs(h: np.ndarray, length: int) -> np.ndarray:
 
 
 def bands(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Band keys ``(texts, BANDS)``. A text of fewer words than a shingle is one shingle."""
-    every, begin = runs(h, SHINGLE), np.concatenate([[0], np.cumsum(counts)[:-1]])
+    """Band keys ``(texts, BANDS)`` of texts with a word. A text of fewer words than a shingle is one shingle."""
+    if not len(counts):
+        return np.zeros((0, BANDS), np.uint64)
+    every, begin = runs(h, SHINGLE), np.cumsum(counts) - counts
     own = np.maximum(counts - SHINGLE + 1, 1)
-    row = np.repeat(np.arange(len(counts)), own)
-    at = begin[row] + np.arange(len(row)) - np.repeat(np.cumsum(own) - own, own)
-    shingles = every[np.minimum(at, max(len(every) - 1, 0))] if len(every) else np.zeros(len(at), np.uint64)
-    for i in np.flatnonzero(counts < SHINGLE):
-        shingles[own[:i].sum()] = runs(h[begin[i] : begin[i] + counts[i]], max(int(counts[i]), 1))[0] if counts[i] else 0
     first = np.cumsum(own) - own
+    at = np.repeat(begin - first, own) + np.arange(own.sum())
+    shingles = every[np.minimum(at, len(every) - 1)] if len(every) else np.zeros(len(at), np.uint64)
+    for i in np.flatnonzero(counts < SHINGLE):
+        shingles[first[i]] = runs(h[begin[i] : begin[i] + counts[i]], int(counts[i]))[0]
     keys = np.zeros((len(counts), BANDS), np.uint64)
     for j, factor in enumerate(_FACTORS):
         low = np.minimum.reduceat(_mixed(shingles * factor), first)
@@ -81,59 +81,87 @@ def bands(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return keys
 
 
+def _pieces(batch: pa.RecordBatch, lines: bool) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """Rows, line numbers and texts of a batch ``(doc_id, text_hash, text)``, some megabytes at a time."""
+    row, line, texts, size = [], [], [], 0
+    for i, text in enumerate(batch.column(2).cast(pa.binary()).to_pylist()):
+        for j, part in enumerate(text.split(b"\n") if lines else [text]):
+            row.append(i)
+            line.append(j)
+            texts.append(part)
+            size += len(part)
+            if size > PIECE:
+                yield row, line, texts
+                row, line, texts, size = [], [], [], 0
+    if texts:
+        yield row, line, texts
+
+
 def paragraphs(docs: DataFrame) -> DataFrame:
     """``(doc_id, text_hash, line, at, n, uid, bands)`` of the lines with a word: words before it, words, identity."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                lines = batch.column(2)[i].as_py().encode().split(b"\n")
-                for a in range(0, len(lines), 4096):
-                    yield _paragraphs(batch, i, a, lines[a : a + 4096], sum(len(x.split()) for x in lines[:a]))
-
-    def _paragraphs(batch, i: int, first: int, lines: list[bytes], before: int) -> pa.RecordBatch:
-        h, counts = word_hashes(lines)
-        at = before + np.cumsum(counts) - counts
-        uid = [xxhash.xxh64_intdigest(b" ".join(x.lower().split())) for x in lines]
-        full = counts > 0
-        keys = pa.array(bands(h, counts)[full].view(np.int64).ravel())
-        keys = pa.ListArray.from_arrays(pa.array(np.arange(full.sum() + 1, dtype=np.int32) * BANDS), keys)
-        n = int(full.sum())
-        columns = [
-            pa.array([batch.column(0)[i].as_py()] * n, batch.column(0).type),
-            pa.array([batch.column(1)[i].as_py()] * n, pa.int64()),
-            pa.array((first + np.arange(len(lines))[full]).astype(np.int32)),
-            pa.array(at[full]),
-            pa.array(counts[full]),
-            pa.array(np.array(uid, np.uint64).view(np.int64)[full]),
-            keys,
-        ]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "line", "at", "n", "uid", "bands"])
+            last, done = -1, 0  # the document that goes on from the piece before, and its words so far
+            for rows, line, texts in _pieces(batch, True):
+                h, counts = word_hashes(texts)
+                row, end = np.array(rows), np.cumsum(counts)
+                new = np.concatenate([[True], row[1:] != row[:-1]])
+                at = end - counts - np.repeat((end - counts)[new], np.diff(np.append(np.flatnonzero(new), len(row))))
+                at[row == last] += done
+                last, done = row[-1], int(at[-1] + counts[-1])
+                full = counts > 0
+                row, n, end = row[full], counts[full], end[full]
+                uid = [xxhash.xxh64_intdigest(h[a:b].tobytes()) for a, b in zip((end - n).tolist(), end.tolist(), strict=True)]
+                keys = pa.array(bands(h, n).view(np.int64).ravel())
+                columns = [
+                    batch.column(0).take(pa.array(row)),
+                    batch.column(1).take(pa.array(row)),
+                    pa.array(np.array(line, np.int32)[full]),
+                    pa.array(at[full]),
+                    pa.array(n),
+                    pa.array(np.array(uid, np.uint64).view(np.int64)),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BANDS), keys),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "line", "at", "n", "uid", "bands"])
 
     small_batches(docs.sparkSession)
     schema = f"doc_id {kind}, text_hash long, line int, at long, n long, uid long, bands array<long>"
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, schema)
 
 
+def anchored(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Positions of the anchors in texts in a row from which a whole passage follows in the same text."""
+    width, done = PASSAGE - 1, 1
+    if len(h) < PASSAGE:
+        return np.zeros(0, np.int64)
+    low = (1 << 28) - 1
+    order = (_mixed(h) & ~np.uint64(low)) | np.arange(len(h), dtype=np.uint64)
+    while done < width:
+        step = min(done, width - done)
+        order = np.minimum(order[:-step], order[step:])
+        done += step
+    text = np.repeat(np.arange(len(counts)), counts)
+    at = np.unique(order[text[: len(order)] == text[width - 1 :]] & np.uint64(low)).astype(np.int64)
+    at = at[at <= len(h) - PASSAGE]
+    return at[text[at] == text[at + PASSAGE - 1]]
+
+
 def passages(docs: DataFrame) -> DataFrame:
     """``(doc_id, text_hash, at, h)``: places and hashes of the anchored runs of ``PASSAGE`` words."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, text_hash, text in zip(*batch.columns, strict=True):
-                h, _ = word_hashes([text.as_py().encode()])
-                if len(h) < PASSAGE:
-                    continue
-                width = PASSAGE - 1
-                order = (_mixed(h) & ~np.uint64((1 << 28) - 1)) | np.arange(len(h), dtype=np.uint64)
-                view = np.lib.stride_tricks.sliding_window_view(order, width)
-                lowest = np.concatenate([view[a : a + 65536].min(axis=1) for a in range(0, len(view), 65536)])
-                at = np.unique(lowest & np.uint64((1 << 28) - 1)).astype(np.int64)
-                at = at[at <= len(h) - PASSAGE]
-                n, keys = len(at), runs(h, PASSAGE).view(np.int64)
-                columns = [pa.array([doc.as_py()] * n, doc.type), pa.array([text_hash.as_py()] * n, pa.int64()), pa.array(at), pa.array(keys[at])]
+            for rows, _, texts in _pieces(batch, False):
+                h, counts = word_hashes(texts)
+                at = anchored(h, counts)
+                text = np.searchsorted(np.cumsum(counts), at, side="right")
+                row = pa.array(np.array(rows)[text])
+                key = np.zeros(0, np.uint64) if not len(at) else runs(h, PASSAGE)[at]
+                before = (np.cumsum(counts) - counts)[text]
+                columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(at - before), pa.array(key.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "at", "h"])
 
     small_batches(docs.sparkSession)
