@@ -6,7 +6,8 @@ candidates, exact Jaccard similarity of 0.8 or more makes a link, and of each co
 
 The numbers of bands and rows come from ``tune``: the fewest bands that find a pair at the threshold with the wanted
 probability. Members of a band's bucket are verified against its first member; only those that are not similar to it meet
-all other members. So a large group of near-copies is linked by a star, and no link between other members is lost.
+all other members. So a group of near-copies is linked by a star, and no link between other members is lost;
+in a large group of moderately similar paragraphs, those that meet all others are many.
 
 Passages that repeat inside longer paragraphs are found by the same idea with sampled, exact paragraphs: runs of
 ``PASSAGE`` words that start at an anchor, the word with the lowest hash among ``PASSAGE - 1`` neighbours. Two documents
