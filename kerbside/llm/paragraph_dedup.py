@@ -9,9 +9,10 @@ probability. Members of a band's bucket are verified against its first member; o
 all other members. So a group of near-copies is linked by a star, and no link between other members is lost;
 in a large group of moderately similar paragraphs, those that meet all others are many.
 
-Passages that repeat inside longer paragraphs are found by the same idea with sampled, exact paragraphs: runs of
-``PASSAGE`` words that start at an anchor, the word with the lowest hash among ``PASSAGE - 1`` neighbours. Two documents
-that share 50 words share such a run, and it goes from the later ones.
+Passages that repeat inside longer paragraphs: every run of ``PASSAGE`` words that a document with a lower id has, too, goes,
+so of a longer shared passage all words go. Sampled runs are the candidate search only: runs of ``SAMPLED`` words that start
+at an anchor, the word with the lowest hash among its neighbours. Any ``PASSAGE`` words hold a whole one. Around the
+sampled runs that several documents have, all runs of ``PASSAGE`` words are hashed and grouped; nothing is paired.
 """
 
 from collections.abc import Iterator
@@ -22,12 +23,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import saved
+from ..session import discard, saved
 from .common import SPACED, components, lower_az, null_join, release, sized, small_batches
 from .line_dedup import split_lines
 
 SHINGLE, THRESHOLD, RECALL, ROWS = 5, 0.8, 0.999, 3
 PASSAGE = 26
+#: Words of a sampled run. It follows the anchor of the first ``PASSAGE - SAMPLED + 1`` words of a passage.
+SAMPLED = PASSAGE // 2
 #: Bytes of text that are worked on at once.
 PIECE = 2 << 20
 
@@ -56,11 +59,11 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.array([len(words) for words in split], np.int64)
 
 
-def runs(h: np.ndarray, length: int) -> np.ndarray:
-    """Hash of the ``length`` words from every word on; short at the end."""
-    out = np.zeros(max(len(h) - length + 1, 0), np.uint64)
+def runs(h: np.ndarray, length: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Hash of the ``length`` words from every word on, or from the words ``at``; short at the end."""
+    out = np.zeros(max(len(h) - length + 1, 0) if at is None else len(at), np.uint64)
     for i in range(length):
-        out = _mixed(out + h[i : i + len(out)] * _MIX[1])
+        out = _mixed(out + (h[i : i + len(out)] if at is None else h[at + i]) * _MIX[1])
     return out
 
 
@@ -133,8 +136,8 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 
 
 def anchored(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Positions of the anchors in texts in a row from which a whole passage follows in the same text."""
-    width, done = PASSAGE - 1, 1
+    """Positions of the anchors in texts in a row from which a whole sampled run follows in the same text."""
+    width, done = PASSAGE - SAMPLED + 1, 1
     if len(h) < PASSAGE:
         return np.zeros(0, np.int64)
     low = (1 << 28) - 1
@@ -145,12 +148,12 @@ def anchored(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
         done += step
     text = np.repeat(np.arange(len(counts)), counts)
     at = np.unique(order[text[: len(order)] == text[width - 1 :]] & np.uint64(low)).astype(np.int64)
-    at = at[at <= len(h) - PASSAGE]
-    return at[text[at] == text[at + PASSAGE - 1]]
+    at = at[at <= len(h) - SAMPLED]
+    return at[(text[at] == text[at + SAMPLED - 1]) & (counts[text[at]] >= PASSAGE)]
 
 
-def passages(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text_hash, at, h)``: places and hashes of the anchored runs of ``PASSAGE`` words."""
+def samples(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text_hash, at, h)``: places and hashes of the anchored runs of ``SAMPLED`` words."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +163,7 @@ def passages(docs: DataFrame) -> DataFrame:
                 at = anchored(h, counts)
                 text = np.searchsorted(np.cumsum(counts), at, side="right")
                 row = pa.array(np.array(rows)[text])
-                key = np.zeros(0, np.uint64) if not len(at) else runs(h, PASSAGE)[at]
+                key = runs(h, SAMPLED, at)
                 before = (np.cumsum(counts) - counts)[text]
                 columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(at - before), pa.array(key.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "at", "h"])
@@ -170,6 +173,50 @@ def passages(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, schema)
 
 
+def around(counts: np.ndarray, text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Positions, in texts in a row, of the runs of ``PASSAGE`` words that hold the sampled run at word ``at`` of a ``text``."""
+    begin = (np.cumsum(counts) - counts)[text]
+    first, last = np.maximum(at - (PASSAGE - SAMPLED), 0), np.minimum(at, counts[text] - PASSAGE)
+    edges = np.zeros(int(counts.sum()) + 1, np.int64)
+    np.add.at(edges, begin + first, 1)
+    np.add.at(edges, begin + last + 1, -1)
+    return np.flatnonzero(np.cumsum(edges[:-1]))
+
+
+def passages(docs: DataFrame, hits: DataFrame) -> DataFrame:
+    """``(doc_id, text_hash, at, h)``: places and hashes of all runs of ``PASSAGE`` words around ``hits (.., places)``."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, _, texts in _pieces(batch, False):
+                h, counts = word_hashes(texts)
+                places = batch.column(3).take(pa.array(rows))
+                text = np.repeat(np.arange(len(rows)), places.value_lengths().to_numpy(zero_copy_only=False))
+                at = around(counts, text, places.flatten().to_numpy(zero_copy_only=False))
+                key = runs(h, PASSAGE)[at]
+                text = np.searchsorted(np.cumsum(counts), at, side="right")
+                row = pa.array(np.array(rows)[text])
+                before = (np.cumsum(counts) - counts)[text]
+                columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(at - before), pa.array(key.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "at", "h"])
+
+    small_batches(docs.sparkSession)
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").join(sized(hits), ["doc_id", "text_hash"])
+    texts = texts.select("doc_id", "text_hash", "text", "places")
+    return texts.mapInArrow(run, f"doc_id {kind}, text_hash long, at long, h long")
+
+
+def covered(starts: DataFrame) -> DataFrame:
+    """``(doc_id, text_hash, at, n)``: the word ranges that the passages at ``(doc_id, text_hash, at)`` cover."""
+    order = Window.partitionBy("doc_id", "text_hash").orderBy("at")
+    new = F.coalesce(F.col("at") > F.lag("at").over(order) + PASSAGE, F.lit(True)).cast("int")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = starts.withColumn("new", new).withColumn("range", F.sum("new").over(upto))
+    ranges = ranges.groupBy("doc_id", "text_hash", "range").agg(F.min("at").alias("at"), F.max("at").alias("last"))
+    return ranges.select("doc_id", "text_hash", "at", (F.col("last") - F.col("at") + PASSAGE).alias("n"))
+
+
 def shingles(words: Column) -> Column:
     """The distinct shingles of a paragraph as hashes; a short one is a shingle itself."""
     last = F.greatest(F.size(words) - SHINGLE + 1, F.lit(1))
@@ -206,13 +253,15 @@ def links(docs: DataFrame, units: DataFrame) -> DataFrame:
     rest = tables.filter("uid != head").join(both, ["uid", "head"], "left_anti")
     rest = saved(rest.select("band", "key", F.col("uid").alias("u")), "rest")
     others = rest.join(tables.select("band", "key", F.col("uid").alias("v")), ["band", "key"]).select("u", "v")
-    return star.unionByName(saved(verified(others), "others"))
+    others = saved(verified(others), "others")
+    discard(tables, places, sets, rest)
+    return star.unionByName(others)
 
 
 def removed_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All paragraphs with a flag ``gone``, and word ranges ``(doc_id, text_hash, at, n)`` of repeated passages."""
     docs = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
-    lines = saved(paragraphs(docs), "paragraphs")
+    every = lines = saved(paragraphs(docs), "paragraphs")
     place = F.struct("doc_id", "text_hash", "line")
     units = lines.groupBy("uid").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     units = saved(units, "units")
@@ -224,12 +273,25 @@ def removed_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lowest = named.select("uid", "root").join(lowest, "root").select("uid", "first")
     lines = lines.join(lowest, "uid").withColumn("gone", place > F.col("first"))
     lines = saved(lines.select("doc_id", "text_hash", "line", "at", "n", "gone"), "judged")
+    discard(every, units, named)
     release(docs.sparkSession)
 
-    found = saved(passages(docs), "passages")
-    low = found.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
-    again = found.join(low.select("h", "low"), "h").filter("doc_id > low")
-    return lines, saved(again.select("doc_id", "text_hash", "at", F.lit(PASSAGE).cast("long").alias("n")).distinct(), "repeated")
+    def lowest_of(found: DataFrame) -> DataFrame:
+        """``(h, low)`` of the runs that several documents have."""
+        low = found.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+        return low.filter("low < high").select("h", "low")
+
+    found = saved(samples(docs), "samples")
+    hits = found.join(lowest_of(found), "h").groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("places"))
+    hits = saved(hits, "hits")
+    discard(found)
+    release(docs.sparkSession)
+    found = saved(passages(docs, hits), "passages")
+    again = found.join(lowest_of(found), "h").filter("doc_id > low").select("doc_id", "text_hash", "at")
+    repeated = saved(covered(again), "repeated")
+    discard(found)
+    release(docs.sparkSession)
+    return lines, repeated
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -72,6 +72,38 @@ def test_a_passage_inside_other_paragraphs_goes_from_later_documents(spark):
     assert len(texts[1].split()) == 225 - got[1].n_removed_words
 
 
+def left(rows, length=26):
+    """Texts without the words of all runs of ``length`` words that a document with a lower id has."""
+    windows = {i: {} for i, _ in rows}
+    for i, text in rows:
+        words = text.split()
+        for at in range(len(words) - length + 1):
+            windows[i].setdefault(tuple(words[at : at + length]), []).append(at)
+    out = {}
+    for i, text in rows:
+        gone = {at + k for w, places in windows[i].items() if any(w in windows[j] for j in windows if j < i) for at in places for k in range(length)}
+        out[i] = " ".join(w for k, w in enumerate(text.split()) if k not in gone)
+    return out
+
+
+def test_whole_shared_passages_go_whatever_their_length(spark):
+    rng = random.Random(8)
+    rows = []
+    for i, n in enumerate([*range(24, 50), 50, 60, 80, 300] * 2):
+        passage = sentence(rng, n)
+        rows += [(10 * i + 10 + j, f"{sentence(rng, 100 + n)} {passage} {sentence(rng, 110 + n)}") for j in range(3)]
+    # A passage of one document, the middle of which an earlier one has, too.
+    middle = sentence(rng, 30)
+    passage = f"{sentence(rng, 15)} {middle} {sentence(rng, 15)}"
+    rows += [(1, f"{sentence(rng, 90)} {middle} {sentence(rng, 90)}"), (2, f"{sentence(rng, 90)} {passage}")]
+    rows += [(9000, f"{passage} {sentence(rng, 90)}"), (9001, middle), (9002, sentence(rng, 25)), (9003, passage)]
+    want = left(rows)
+    docs = table(spark, [*rows, rows[4], rows[-3]])
+    lost = {i: len(text.split()) - len(want[i].split()) for i, text in rows}
+    assert {g.doc_id: g.n_removed_words for g in paragraph_dedup.report(docs).collect()} == lost
+    assert {g.doc_id: g.text for g in paragraph_dedup.clean(docs).collect()} == want
+
+
 def test_bands_find_a_pair_at_the_threshold():
     assert 1 - (1 - 0.8**paragraph_dedup.ROWS) ** paragraph_dedup.BANDS >= paragraph_dedup.RECALL
     rng = np.random.default_rng(3)
