@@ -3,7 +3,7 @@
 A word enters as two parts: the last states of a bidirectional recurrent pass over its characters, so that inflected and
 unseen words are read by their stem, and an embedding if it is in the vocabulary. A second bidirectional pass over the
 words of a window, attention pooling and a logistic unit give the window's score. A document has the score of its highest
-window, and every overlapping window of the whole text is scored.
+window. Windows cover the whole text and overlap by half, in fitting and in scoring.
 
 Everything is trained here, in numpy on the driver, on a bounded sample of labelled documents: at most ``SAMPLE`` of
 each label, each of at most ``SAMPLE_CHARS`` characters. The character part is fitted first, to tell words that are
@@ -26,8 +26,8 @@ from .common import small_batches
 
 #: Labelled documents with label 0 and with label 1 that the network is fitted on, and their greatest length.
 SAMPLE, SAMPLE_CHARS = (3000, 1500), 20_000
-#: Words of a window and the step to the next one.
-WINDOW, STEP = 32, 24
+#: Words of a window and the step to the next one: any 17 words lie whole in a window.
+WINDOW, STEP = 32, 16
 #: Vocabulary, documents a vocabulary word needs, longest piece of a word, character classes.
 VOCABULARY, LEAST_DOCS, PIECE, CHARS = 8192, 3, 24, 128
 #: Sizes: character embedding, character state, word embedding, window state, attention.

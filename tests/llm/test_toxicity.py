@@ -49,6 +49,22 @@ def test_every_window_of_a_long_text_counts(fitted):
     assert late > 0.5 > none
 
 
+def test_a_phrase_of_half_a_window_lies_whole_in_a_window():
+    for n in range(200):
+        first = toxicity.starts(n)
+        assert first[-1] + toxicity.WINDOW >= n
+        for at in range(n - 16):
+            assert any(s <= at and at + 17 <= s + toxicity.WINDOW for s in first)
+
+
+def test_a_planted_phrase_is_found_at_every_offset(fitted):
+    plain = "ka lo mi tu ren sol".split() * 20
+    for n in (10, 17, 25, 32):
+        phrase = [("grozzen", "vilka", "ren", "tu")[i % 4] for i in range(n)]
+        texts = [" ".join(plain[:at] + phrase + plain[at:]) for at in range(toxicity.WINDOW)]
+        assert (toxicity.Scorer(fitted).scores(texts) >= 0.5).all()
+
+
 def test_scores_do_not_depend_on_what_was_scored_before(fitted):
     rows, _ = case(40, seed=5)
     texts = [r[1] for r in rows] + [None, "", "x" * 1000, "ßÄ \U0001f600"]
