@@ -7,6 +7,8 @@ from dataclasses import dataclass
 #: Fixed values of HTML: elements without content, with raw content, and those that end a running block of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style template svg textarea iframe object canvas noembed noframes xmp".split())
+#: Those of them that do not hold the rest of a page if their end tag is missing: they end at the next block.
+OPEN = frozenset("svg object canvas template".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav noscript ol optgroup option p pre search "
@@ -48,12 +50,33 @@ def tokens(attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(found))
 
 
+def _pairs(page: str, tag: str) -> dict[int, int]:
+    """Where the elements of a name that have an end tag begin and end."""
+    begun, ends = [], {}
+    for m in re.finditer(rf"<(/?){tag}\b([^>]*+)>", page, re.I):
+        if not m[1]:
+            begun += [] if m[2].endswith("/") else [m.start()]
+        elif begun:
+            ends[begun.pop()] = m.end()
+    return ends
+
+
+def _next_block(page: str, at: int) -> int:
+    """Start of the next tag of a block or of raw content; the title of a drawing is none."""
+    for m in _MARKUP.finditer(page, at):
+        tag = (m[2] or m[5] or "").lower()
+        if tag in RAW or tag in BLOCK and tag != "title":
+            return m.start()
+    return len(page)
+
+
 def blocks(page: str) -> list[Block]:
     """All blocks with text, in page order. White space is one space; ``br`` is white space; references are decoded."""
     out: list[Block] = []
     path: list[tuple[str, tuple[str, ...]]] = []
     text: list[str] = []
     linked = links = 0
+    pairs: dict[str, dict[int, int]] = {}
 
     def flush() -> None:
         nonlocal text, linked
@@ -100,7 +123,12 @@ def blocks(page: str) -> list[Block]:
             else:
                 close(len(path) - 1)
         attributes = m[3] or m[6] or ""
-        if tag in RAW:
+        if tag in OPEN:
+            if not attributes.endswith("/"):
+                if tag not in pairs:
+                    pairs[tag] = _pairs(page, tag)
+                at = pairs[tag].get(m.start()) or _next_block(page, at)
+        elif tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end and not attributes.endswith("/") else at if attributes.endswith("/") else len(page)
         elif tag not in VOID and not (attributes.endswith("/") and tag not in BLOCK):

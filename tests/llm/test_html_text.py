@@ -74,6 +74,16 @@ def test_broken_markup_ends():
     assert [b.text for b in blocks("<table><tr><td>1<td>2<tr><td>3</table>x")] == ["1", "2", "3", "x"]
 
 
+@pytest.mark.parametrize("tag", ["svg", "object", "canvas", "template"])
+def test_an_element_without_its_end_tag_does_not_take_the_page(field, tag):
+    page = f"<body><article><h1>Boats</h1><{tag} class='x'>no<title>no</title><i>no</i><p>{LONG}</p><p>{{}}{LONG}</p></article></body>"
+    assert html_text.main_text(page.format(""), field) == f"Boats\n{LONG}\n{LONG}"
+    closed = f"<{tag}><{tag}><p>no</p></{tag}><p>no</p></{tag}><{tag}/>"
+    assert html_text.main_text(page.format(closed), field) == f"Boats\n{LONG}\n{LONG}"
+    assert [b.text for b in blocks(f"<{tag}>" * 20000 + "<p>text")] == ["text"]
+    assert blocks(f"<p>a<{tag}>b") and blocks("<p>a</p><script>b<p>c")[-1].text == "a"
+
+
 def test_table(spark):
     rows = [(i, f"u{i}", p) for i, (p, _) in enumerate(PAGES)] + [(0, "u0", PAGES[0][0])]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as text", "'x' as n_chars")
