@@ -3,7 +3,7 @@
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, line_dedup, manifest, mixing, paragraph_dedup, quality, sharding, simhash, sql, suffix_dedup, toxicity
+from . import decontaminate, html_text, line_dedup, manifest, mixing, packing, paragraph_dedup, quality, sharding, simhash, sql, suffix_dedup, toxicity
 from .common import table
 
 
@@ -47,6 +47,10 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.piece_table(table(spark, sf_dir, "documents"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify(table(spark, sf_dir, "documents"))
 
@@ -54,7 +58,7 @@ def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 OPERATORS = (
     op1_toxicity, op2_mixture, op3_sharding, op4_suffix_dedup, op5_paragraph_dedup,
     op6_line_dedup, op7_decontamination, op8_simhash, op9_quality, op10_main_text,
-    op13_manifest,
+    op11_packing, op13_manifest,
 )
 QUERIES = {f.__name__: f for f in OPERATORS}
 QUERIES["pipeline"] = corpus_pipeline.run
