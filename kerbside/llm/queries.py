@@ -3,7 +3,22 @@
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_text, line_dedup, manifest, mixing, packing, paragraph_dedup, quality, sharding, simhash, sql, suffix_dedup, toxicity
+from . import (
+    decontaminate,
+    html_text,
+    line_dedup,
+    manifest,
+    mixing,
+    packing,
+    paragraph_dedup,
+    prefix_trie,
+    quality,
+    sharding,
+    simhash,
+    sql,
+    suffix_dedup,
+    toxicity,
+)
 from .common import table
 
 
@@ -51,6 +66,10 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_table(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify(table(spark, sf_dir, "documents"))
 
@@ -58,7 +77,7 @@ def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 OPERATORS = (
     op1_toxicity, op2_mixture, op3_sharding, op4_suffix_dedup, op5_paragraph_dedup,
     op6_line_dedup, op7_decontamination, op8_simhash, op9_quality, op10_main_text,
-    op11_packing, op13_manifest,
+    op11_packing, op12_prefix_trie, op13_manifest,
 )
 QUERIES = {f.__name__: f for f in OPERATORS}
 QUERIES["pipeline"] = corpus_pipeline.run
