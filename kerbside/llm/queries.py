@@ -82,4 +82,10 @@ OPERATORS = (
 QUERIES = {f.__name__: f for f in OPERATORS}
 QUERIES["pipeline"] = corpus_pipeline.run
 
-SQL = {"op2_mixture": sql.MIXTURE, "op7_decontamination": sql.DECONTAMINATION, "op9_quality": sql.QUALITY}
+SQL = {
+    "op2_mixture": sql.MIXTURE,
+    "op7_decontamination": sql.DECONTAMINATION,
+    "op9_quality": sql.QUALITY,
+    "op12_prefix_trie": sql.PREFIX_TRIE,
+    "op13_manifest": sql.MANIFEST,
+}

@@ -101,3 +101,84 @@ outside AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND r NOT IN (SELECT r FROM outside) AS kept FROM j
 """
+
+#: Unsigned crc32 of the decimal form of a whole number.
+_CRC32 = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, 1 + length({0}::VARCHAR)), lambda i: ord(substr({0}::VARCHAR, i::INTEGER, 1))::BIGINT)),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+        lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+
+def _leaf(text: str) -> str:
+    fields = (f"coalesce(octet_length(encode({v}::VARCHAR)) || ':' || {v}::VARCHAR, '-')" for v in ("doc_id", "source", "lang", "n_chars", text))
+    return f"sha256({' || '.join(fields)})"
+
+
+def _level(t: str, k: int) -> str:
+    """Siblings of the nodes ``{t}{k} (tree, r, d)``, and the level above; a single node goes up as it is."""
+    return f"""
+{t}{k}n AS (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {t}{k}),
+{t}{k}s AS (
+  SELECT a.tree, a.r, max(a.n) AS n, coalesce(string_agg(b.d, '' ORDER BY b.r) FILTER (b.r < a.r), '') AS l,
+    coalesce(string_agg(b.d, '' ORDER BY b.r) FILTER (b.r > a.r), '') AS g
+  FROM {t}{k}n a JOIN {t}{k}n b ON a.tree = b.tree AND a.r // 8 = b.r // 8 GROUP BY a.tree, a.r),
+{t}{k + 1} AS (
+  SELECT tree, r // 8 AS r, CASE WHEN max(n) = 1 THEN max(d) ELSE sha256(string_agg(d, '' ORDER BY r)) END AS d
+  FROM {t}{k}n GROUP BY tree, r // 8)"""
+
+
+def _climb(t: str, k: int, before: str, after: str, place: str) -> str:
+    """Every leaf one level up: its digest so far, and the siblings seen so far."""
+    return f"""
+{after} AS (
+  SELECT f.* REPLACE (proof || l || g AS proof, CASE WHEN s.n = 1 THEN up ELSE sha256(l || up || g) END AS up)
+  FROM {before} f JOIN {t}{k}s s ON s.tree = f.{t}tree AND s.r = f.{place} // {8**k})"""
+
+
+#: Levels that the SQL spells out: up to 8 ** 7 documents in a language, up to 64 languages.
+_DEEP, _WIDE = 7, 2
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+MANIFEST = f"""
+WITH leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS tree, {_leaf("text")} AS d,
+    CASE WHEN {_CRC32.format("doc_id")} % 3 = 0 THEN {_leaf(_LOWERED)} ELSE {_leaf("text")} END AS up FROM documents),
+o AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, d) - 1 AS r FROM leaves),
+a0 AS (SELECT tree, r, d FROM o),{",".join(_level("a", k) for k in range(_DEEP))},
+b0 AS (SELECT 'all' AS tree, tree AS lang, row_number() OVER (ORDER BY encode(tree)) - 1 AS r, d FROM a{_DEEP}),
+{",".join(_level("b", k) for k in range(_WIDE))},
+f0 AS (SELECT o.doc_id, o.d, o.up, o.tree AS atree, o.r, 'all' AS btree, b0.r AS br, b0.d AS subroot, '' AS proof FROM o JOIN b0 ON b0.lang = o.tree),
+{",".join(_climb("a", k, f"f{k}", f"f{k + 1}", "r") for k in range(_DEEP))},
+{",".join(_climb("b", k, f"f{_DEEP + k}", f"f{_DEEP + k + 1}", "br") for k in range(_WIDE))}
+SELECT f.doc_id, f.d AS leaf, subroot, b.d AS root, sha256(proof) AS proof_sha256, up AS folded_root, up = b.d AS verified
+FROM f{_DEEP + _WIDE} f CROSS JOIN b{_WIDE} b
+"""
+
+PREFIX_TRIE = f"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS r,
+    coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS lender, {_CRC32.format("conv_id")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM own)),
+lent AS (SELECT c.conv_id, r, role, text FROM c JOIN own ON own.conv_id = c.lender AND r <= h),
+k AS (SELECT c.conv_id, c.h, count(lent.r) AS taken FROM c LEFT JOIN lent USING (conv_id) GROUP BY ALL),
+rows AS (
+  SELECT * FROM lent UNION ALL
+  SELECT own.conv_id, r - h + taken, role, text FROM own JOIN k USING (conv_id) WHERE r > h),
+paths AS (
+  SELECT c.conv_id, coalesce(list({{'role': role, 'text': text}} ORDER BY r) FILTER (r IS NOT NULL), []) AS path
+  FROM c LEFT JOIN rows USING (conv_id) GROUP BY c.conv_id),
+p AS (SELECT conv_id, d AS depth, len(path) AS n, path[1:d] AS node FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM paths)),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256 FROM p GROUP BY node, depth),
+up AS (SELECT *, CASE WHEN depth > 0 THEN node[1:depth - 1] END AS above FROM nodes),
+kids AS (SELECT above, count(*) AS n_children FROM up WHERE depth > 0 GROUP BY above),
+e AS (
+  SELECT u.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * coalesce(octet_length(encode(u.node[depth].text)), 0) AS saved
+  FROM up u LEFT JOIN kids ON kids.above = u.node),
+below AS (
+  SELECT node[1:d] AS node, sum(saved) AS saved, sum((n_children = 0)::INT) AS leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM e) GROUP BY node[1:d])
+SELECT e.conv_id, e.depth, a.conv_id AS parent_conv_id, e.n_convs, e.n_children, leaves::BIGINT AS n_leaves,
+  below.saved::BIGINT AS saved_tokens, e.ends_sha256
+FROM e JOIN below ON below.node = e.node LEFT JOIN nodes a ON a.node = e.above
+"""
