@@ -17,7 +17,16 @@ KEY = ["device_id", "interval_start"]
 def broken_rule() -> Column:
     """The first rule of the table that a message of a known device breaks, or NULL. Missing values break rules, too."""
     in_range = F.coalesce(F.col("vehicles").between(0, MAX_INT), F.lit(False))
-    return F.when(F.col("interval_start").isNull(), "no interval start").when(~in_range, "vehicles out of range")
+    return (
+        F.when(F.col("interval_start").isNull(), "no interval start")
+        .when(~has_calendar_year(F.col("interval_start")), "interval start out of range")
+        .when(~in_range, "vehicles out of range")
+    )
+
+
+def has_calendar_year(ts: Column) -> Column:
+    """Whether an instant lies in the years 1 to 9999, the ones that dates in folders and in clients can have."""
+    return F.year(ts).between(1, 9999)
 
 
 def split_by_constraints(messages: DataFrame, devices: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -33,11 +42,15 @@ def split_by_constraints(messages: DataFrame, devices: DataFrame) -> tuple[DataF
 def first_writes(messages: DataFrame) -> DataFrame:
     """One row per key: the copy with the lowest offset, and the number of copies.
 
-    Equal keys share a partition, so the offset is a total order within a key.
+    Equal keys share a partition, so the offset is a total order within a key. Where they do not (a message under a foreign
+    key), the lower partition decides, so that a replay keeps the same copy.
     """
+    first = F.col("offset")
+    if "partition" in messages.columns:  # one number, as a struct would be aggregated by sorting
+        first = first.cast("decimal(20,0)") * F.lit(2**32) + F.col("partition")
     return messages.groupBy(*KEY).agg(
-        F.min_by("vehicles", "offset").alias("vehicles"),
-        F.min_by("accepted_at", "offset").alias("accepted_at"),
+        F.min_by("vehicles", first).alias("vehicles"),
+        F.min_by("accepted_at", first).alias("accepted_at"),
         F.min("offset").alias("offset"),
         F.count("*").alias("copies"),
     )

@@ -4,12 +4,10 @@
 * ``neighbours``, ``running_sum`` and ``numbered`` give lag/lead, prefix sums and row numbers over long
   sequences without sorting a whole sequence in one task: rows are cut into bounded chunks, one summary row
   per chunk carries the state across chunk borders.
-* ``value_at_rank`` picks exact order statistics from value counts.
+* ``value_at_rank`` picks exact order statistics by radix selection over value counts.
 """
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -128,30 +126,36 @@ def spread(df: DataFrame, per_key: DataFrame, keys: Sequence[str], chunk: str =
     return df.join(carrier, [*keys, chunk], "inner")
 
 
-BLOCK_BITS = 16
+DIGIT_BITS, DIGITS = 16, 4
+
+
+def digit_counts(df: DataFrame, keys: Sequence[str], value: str) -> list[DataFrame]:
+    """``(_k, _up, _p, _n)``: rows per leading bits ``_p`` of a whole number, for each number of 16-bit digits left off.
+
+    ``_up`` are the leading bits with one digit less, so at most 65,536 rows agree in ``(_k, _up)``. ``_k`` holds the keys;
+    as a struct it is never NULL itself, so groups with NULL keys stay.
+    """
+    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+    rows = df.select(key.alias("_k"), F.col(value).cast("long").alias("_p"))
+    # The checks that the joins would infer are spelled out, so that both uses of a level share one exchange.
+    up = F.shiftright("_p", DIGIT_BITS)
+    levels = [rows.filter(F.col("_p").isNotNull() & up.isNotNull()).groupBy("_k", "_p").agg(F.count("*").alias("_n"))]
+    for _ in range(DIGITS - 1):
+        lower = levels[-1].withColumn("_p", up).filter(up.isNotNull())
+        levels.append(lower.groupBy("_k", "_p").agg(F.sum("_n").alias("_n")))
+    return [level.withColumn("_up", up) for level in levels[:-1]] + [levels[-1].withColumn("_up", F.lit(0).cast("long"))]
 
 
 def value_at_rank(df: DataFrame, keys: Sequence[str], value: str, ranks: dict[str, Column]) -> DataFrame:
     """Exact order statistics of a whole-number column, one row per key.
 
-    ``ranks`` maps an output name to the 1-based rank as an expression over ``n`` (rows of the group).
-    Rows shrink to (key, value, count) before any shuffle. Values are cut into blocks of 65,536 neighbouring
-    numbers; block totals locate the block of every rank, and only those blocks are ordered. A group of any size
-    is therefore never sorted, or held in memory, as a whole.
+    ``ranks`` maps an output name to the 1-based rank as an expression over ``n`` (rows of the group). This is a radix
+    selection: rows shrink to counts per value before any shuffle, counts of the leading 16 bits locate the digit of
+    every rank, then only counts below the chosen digits are looked at, four times in all. What is ordered in one piece
+    is never more than the 65,536 values of a digit, however many and however wide the values of a key are.
     """
     keys = list(keys)
-    # The NULL checks the joins below would infer are spelled out, so that both uses share one exchange.
-    present = reduce(and_, [F.col(c).isNotNull() for c in (*keys, "_v", "_block")])
-    counts = (
-        df.select(*keys, F.col(value).cast("long").alias("_v"))
-        .withColumn("_block", F.shiftright("_v", BLOCK_BITS))
-        .filter(present)
-        .groupBy(*keys, "_block", "_v")
-        .agg(F.count("*").alias("_n"))
-    )
-    blocks = counts.groupBy(*keys, "_block").agg(F.sum("_n").alias("_n"))
-    ordered = _sequence(keys, "_block")
-    whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    levels = digit_counts(df, keys, value)
     wanted = F.array(
         *[
             F.struct(
@@ -161,32 +165,24 @@ def value_at_rank(df: DataFrame, keys: Sequence[str], value: str, ranks: dict[st
             for name, rank in ranks.items()
         ]
     )
-    hits = (
-        blocks.withColumn("_upto", F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("n", F.sum("_n").over(whole))
-        .withColumn("_wanted", wanted)
-        .withColumn("_before", F.col("_upto") - F.col("_n"))
-        .withColumn(
-            "_wanted", F.filter("_wanted", lambda w: (w["rank"] > F.col("_before")) & (w["rank"] <= F.col("_upto")))
-        )
-        .filter(F.size("_wanted") > 0)
-        .select(*keys, "_block", "n", "_before", "_wanted")
-    )
-    inside = Window.partitionBy(*keys, "_block").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    located = (
-        counts.join(hits, [*keys, "_block"], "inner")
-        .withColumn("_upto", F.col("_before") + F.sum("_n").over(inside))
-        .withColumn("_from", F.col("_upto") - F.col("_n"))
-    )
+    hits = None
+    for level in reversed(levels):
+        if hits is None:
+            level = level.withColumn("n", F.sum("_n").over(Window.partitionBy("_k"))).withColumn("_wanted", wanted)
+        else:
+            level = level.join(hits, ["_k", "_up"])
+        before = Window.partitionBy("_k", "_up").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+        found = F.filter("_wanted", lambda w: (w["rank"] > F.col("_before")) & (w["rank"] <= F.col("_before") + F.col("_n")))
+        inside = F.transform(found, lambda w: F.struct(w["name"].alias("name"), (w["rank"] - F.col("_before")).alias("rank")))
+        level = level.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_wanted", inside)
+        hits = level.filter(F.size("_wanted") > 0).select("_k", F.col("_p").alias("_up"), "n", "_wanted")
 
     def holds(name: str) -> Column:
-        return F.exists(
-            "_wanted",
-            lambda w: (w["name"] == name) & (w["rank"] > F.col("_from")) & (w["rank"] <= F.col("_upto")),
-        )
+        return F.exists("_wanted", lambda w: w["name"] == name)
 
-    picks = [F.max(F.when(holds(name), F.col("_v"))).alias(name) for name in ranks]
-    return located.groupBy(*keys).agg(F.max("n").alias("n"), *picks)
+    picks = [F.max(F.when(holds(name), F.col("_up"))).alias(name) for name in ranks]
+    out = hits.groupBy(*(["_k"] if keys else [])).agg(F.max("n").alias("n"), *picks)
+    return out.select(*[F.col("_k")[c].alias(c) for c in keys], "n", *ranks)
 
 
 def nearest_rank(p: float) -> Column:

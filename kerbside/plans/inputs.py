@@ -3,12 +3,13 @@
 Every event is one reading of device ``user_id + 1``. The same inputs exist as SQL in ``inputs_sql``.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import device_id
 from ..functions.times import floor_to
 from ..operators.devices import device_rows
+from ..operators.ingest import has_calendar_year
 from ..operators.wire import message_value
 from ..schema import MAX_BATCH
 from ..session import configure
@@ -101,6 +102,9 @@ def incoming(spark, sf_dir) -> DataFrame:
 MORE_MEMBERS, OTHER_DOCUMENT, MORE_TEXT, TWO_VALUES, LARGE_COUNT = 1, 2, 3, 4, 5
 LARGE = "1e16"
 EMPTY, TOO_LONG = 6, 7
+TOO_EARLY, TOO_LATE = 8, 9
+#: Instants outside the years 1 to 9999, as a decoder accepts them.
+EARLY_TEXT, LATE_TEXT = "0000-01-01T00:00:00Z", "9999-12-31T24:00:00Z"
 
 
 def topic(spark, sf_dir) -> DataFrame:
@@ -116,6 +120,8 @@ def topic(spark, sf_dir) -> DataFrame:
         .when(k == MORE_TEXT, F.concat(right, F.lit(" x")))
         .when(k == TWO_VALUES, F.concat(right, F.lit(","), right))
         .when(k == LARGE_COUNT, F.regexp_replace(right, '"vehicles":[0-9]+', f'"vehicles":{LARGE}'))
+        .when(k == TOO_EARLY, F.regexp_replace(right, '"intervalStart":"[^"]+', f'"intervalStart":"{EARLY_TEXT}'))
+        .when(k == TOO_LATE, F.regexp_replace(right, '"intervalStart":"[^"]+', f'"intervalStart":"{LATE_TEXT}'))
         .otherwise(F.col("props"))
     )
     foreign = readings(spark, sf_dir, ("event_type", "user_id", "props")).filter(F.col("event_type") == "purchase").select(
@@ -128,18 +134,25 @@ def topic(spark, sf_dir) -> DataFrame:
 
 
 def broken(spark, sf_dir) -> DataFrame:
-    """Decoded messages that break a rule of the table: views without a count, without a start, or with a large count."""
+    """Decoded messages that break a rule of the table: views without a count, without a start, with a large count, or
+    with a start before the year 1 or after 9999."""
     k = F.get_json_object("props", "$.k").cast("int")
-    rows = readings(spark, sf_dir, ("event_type", "props")).filter((F.col("event_type") == "view") & k.between(1, 3))
+    rows = readings(spark, sf_dir, ("event_type", "props")).filter((F.col("event_type") == "view") & k.between(1, 5))
+    years = F.when(k == 4, F.expr("INTERVAL '-3000' YEAR")).when(k == 5, F.expr("INTERVAL '9000' YEAR"))
     return rows.select(
         "device_id",
-        F.when(k != 1, F.col("interval_start")).alias("interval_start"),
+        F.when(k > 3, F.col("interval_start") + years).when(k != 1, F.col("interval_start")).alias("interval_start"),
         F.when(k == 2, None).when(k == 3, float(LARGE)).otherwise(F.col("vehicles").cast("double")).alias("vehicles"),
         "accepted_at",
         (F.col("offset") + n_events(spark, sf_dir).scalar() * 4).alias("offset"),
     )
 
 
+def shown(ts) -> Column:
+    """An instant as clients can show it: NULL outside the years 1 to 9999."""
+    return F.when(has_calendar_year(F.col(ts)), F.col(ts))
+
+
 def delayed(spark, sf_dir) -> DataFrame:
     """Readings stored ``value`` seconds after they were accepted."""
     late = F.unix_micros(F.col("accepted_at").cast("timestamp")) + F.floor(F.col("value") * 1000) * 1000

@@ -1,7 +1,8 @@
 """SQL of the inputs, as common table expressions over ``events``."""
 
 from .inputs import (
-    CALM_FROM, EMPTY, HALF, LARGE, LARGE_COUNT, MORE_MEMBERS, MORE_TEXT, OTHER_DOCUMENT, OUTAGE_FROM, OUTAGE_TO, TOO_LONG, TWO_VALUES,
+    CALM_FROM, EARLY_TEXT, EMPTY, HALF, LARGE, LARGE_COUNT, LATE_TEXT, MORE_MEMBERS, MORE_TEXT, OTHER_DOCUMENT, OUTAGE_FROM, OUTAGE_TO,
+    TOO_EARLY, TOO_LATE, TOO_LONG, TWO_VALUES,
 )
 
 _ID = "'dev-' || CASE WHEN length(CAST({n} AS VARCHAR)) > 5 THEN CAST({n} AS VARCHAR) ELSE lpad(CAST({n} AS VARCHAR), 5, '0') END"
@@ -41,27 +42,28 @@ FOREIGN_OFFSET = "event_id + 3 * (SELECT max(event_id) + 1 FROM events)"
 K = "CAST(json_extract(props, '$.k') AS INTEGER)"
 
 
-def message(vehicles: str = "vehicles") -> str:
+def message(vehicles: str = "vehicles", start: str = "strftime(interval_start, '%Y-%m-%dT%H:%M:%SZ')") -> str:
     """A reading as message text."""
-    return f"""'{{"deviceId":"' || device_id || '","intervalStart":"' || strftime(interval_start, '%Y-%m-%dT%H:%M:%SZ') || '","vehicles":' || {vehicles}
+    return f"""'{{"deviceId":"' || device_id || '","intervalStart":"' || {start} || '","vehicles":' || {vehicles}
        || ',"receivedAt":"' || strftime(accepted_at, '%Y-%m-%dT%H:%M:%S.%g') || 'Z"}}'"""
 
 
 # The foreign message of each purchase, and whether it decodes.
 FOREIGN = f"""foreign_messages AS (
   SELECT device_id, interval_start, accepted_at, CAST((r.user_id + 1) % 6 AS INTEGER) AS partition, {FOREIGN_OFFSET} AS "offset",
-         {K} = {LARGE_COUNT} AS is_large,
+         {K} = {LARGE_COUNT} AS is_large, {K} IN ({TOO_EARLY}, {TOO_LATE}) AS is_outside,
          CASE {K} WHEN {MORE_MEMBERS} THEN {message()} || ',"x":1' WHEN {OTHER_DOCUMENT} THEN '1,"doc":' || {message()}
                   WHEN {MORE_TEXT} THEN {message()} || ' x' WHEN {TWO_VALUES} THEN {message()} || ',' || {message()}
-                  WHEN {LARGE_COUNT} THEN {message(f"'{LARGE}'")} ELSE props END AS value
+                  WHEN {LARGE_COUNT} THEN {message(f"'{LARGE}'")}
+                  WHEN {TOO_EARLY} THEN {message(start=f"'{EARLY_TEXT}'")} WHEN {TOO_LATE} THEN {message(start=f"'{LATE_TEXT}'")} ELSE props END AS value
   FROM readings r JOIN events e ON e.event_id = r."offset" WHERE e.event_type = 'purchase')"""
 
 BROKEN = f"""broken AS (
-  SELECT device_id, CASE WHEN {K} <> 1 THEN interval_start END AS interval_start,
+  SELECT device_id, CASE WHEN {K} IN (2, 3) THEN interval_start END AS interval_start,
          CASE {K} WHEN 2 THEN NULL WHEN 3 THEN CAST('{LARGE}' AS DOUBLE) ELSE vehicles END AS vehicles,
          "offset" + 4 * (SELECT max(event_id) + 1 FROM events) AS "offset",
-         CASE WHEN {K} = 1 THEN 'no interval start' ELSE 'vehicles out of range' END AS reason
-  FROM readings r JOIN events e ON e.event_id = r."offset" WHERE e.event_type = 'view' AND {K} BETWEEN 1 AND 3)"""
+         CASE WHEN {K} = 1 THEN 'no interval start' WHEN {K} > 3 THEN 'interval start out of range' ELSE 'vehicles out of range' END AS reason
+  FROM readings r JOIN events e ON e.event_id = r."offset" WHERE e.event_type = 'view' AND {K} BETWEEN 1 AND 5)"""
 
 # Reason of the second submission of an event.
 BODY_REASON = f"""CASE {K} WHEN {EMPTY} THEN 'batch must contain 1-500 readings, got 0'

@@ -117,7 +117,7 @@ def wire_decode(spark, sf):
         "offset",
         "is_decoded",
         "device_id",
-        ntz("interval_start").alias("interval_start"),
+        ntz(X.shown("interval_start")).alias("interval_start"),
         "vehicles",
         ntz("accepted_at").alias("accepted_at"),
     )
@@ -170,7 +170,7 @@ def ingest_conflicts_in_batch(spark, sf):
 def ingest_rejected(spark, sf):
     rows = X.incoming(spark, sf).withColumn("vehicles", F.col("vehicles").cast("double")).drop("partition")
     refused = I.split_by_constraints(rows.unionByName(X.broken(spark, sf)), X.devices(spark, sf))[1]
-    return refused.select("device_id", "interval_start", "vehicles", "offset", "reason")
+    return refused.select("device_id", X.shown("interval_start").alias("interval_start"), "vehicles", "offset", "reason")
 
 
 def ingest_counters(spark, sf):
@@ -433,8 +433,9 @@ FROM events""",
     "wire_decode": with_(Q.READINGS, Q.INCOMING, Q.FOREIGN)
     + f"""SELECT partition, "offset", true AS is_decoded, device_id, interval_start, CAST(vehicles AS DOUBLE) AS vehicles,
        date_trunc('milliseconds', accepted_at) AS accepted_at FROM incoming
-UNION ALL SELECT partition, "offset", is_large, CASE WHEN is_large THEN device_id END, CASE WHEN is_large THEN interval_start END,
-       CASE WHEN is_large THEN CAST('{X.LARGE}' AS DOUBLE) END, CASE WHEN is_large THEN date_trunc('milliseconds', accepted_at) END
+UNION ALL SELECT partition, "offset", is_large OR is_outside, CASE WHEN is_large OR is_outside THEN device_id END,
+       CASE WHEN is_large THEN interval_start END, CASE WHEN is_large THEN CAST('{X.LARGE}' AS DOUBLE) WHEN is_outside THEN CAST(vehicles AS DOUBLE) END,
+       CASE WHEN is_large OR is_outside THEN date_trunc('milliseconds', accepted_at) END
 FROM foreign_messages""",
     "commit_offsets": with_(Q.READINGS, Q.INCOMING)
     + """SELECT partition, max("offset") + 1 AS "offset" FROM (

@@ -115,7 +115,7 @@ _BATCH = 'CASE WHEN "offset" < (SELECT cut FROM cut) THEN 0 ELSE 1 END'
 _BASE = (Q.DEVICES, Q.READINGS, Q.INCOMING, Q.KNOWN, Q.FOREIGN, _CUT, _TOPIC, _FIRST)
 _QUARANTINE = f"""SELECT partition, "offset", device_id AS key, {Q.message()} AS value, 'unknown device' AS reason
 FROM incoming ANTI JOIN devices USING (device_id)
-UNION ALL SELECT partition, "offset", device_id, value, CASE WHEN is_large THEN 'vehicles out of range' ELSE 'undecodable' END
+UNION ALL SELECT partition, "offset", device_id, value, CASE WHEN is_large THEN 'vehicles out of range' WHEN is_outside THEN 'interval start out of range' ELSE 'undecodable' END
 FROM foreign_messages"""
 
 SQL = {
