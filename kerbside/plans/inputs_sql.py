@@ -50,7 +50,7 @@ def message(vehicles: str = "vehicles", start: str = "strftime(interval_start, '
 
 # The foreign message of each purchase, and whether it decodes.
 FOREIGN = f"""foreign_messages AS (
-  SELECT device_id, interval_start, accepted_at, CAST((r.user_id + 1) % 6 AS INTEGER) AS partition, {FOREIGN_OFFSET} AS "offset",
+  SELECT device_id, interval_start, vehicles, accepted_at, CAST((r.user_id + 1) % 6 AS INTEGER) AS partition, {FOREIGN_OFFSET} AS "offset",
          {K} = {LARGE_COUNT} AS is_large, {K} IN ({TOO_EARLY}, {TOO_LATE}) AS is_outside,
          CASE {K} WHEN {MORE_MEMBERS} THEN {message()} || ',"x":1' WHEN {OTHER_DOCUMENT} THEN '1,"doc":' || {message()}
                   WHEN {MORE_TEXT} THEN {message()} || ' x' WHEN {TWO_VALUES} THEN {message()} || ',' || {message()}

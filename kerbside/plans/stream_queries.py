@@ -2,10 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.times import bin_start
 from ..operators import telemetry as T
 from ..session import work_path
 from ..sources import table, topic
 from ..streaming import ingest, live, publish
+from ..streaming.progress import ProgressLog, lag_after_batches, read_progress
 from . import inputs as X
 from . import inputs_sql as Q
 from . import reading_queries as R
@@ -13,36 +15,80 @@ from .inputs import ntz
 from .inputs_sql import with_
 
 
-def _ingested(spark, sf):
-    """Ingests every reading, stops, appends the later messages and resumes; returns the table's folder."""
+def _drain(spark, sf, root, max_files=None, progress=None):
+    query = ingest.start_ingest(
+        topic.read_file_stream(spark, f"{root}/topic", max_files),
+        f"{root}/table",
+        f"{root}/checkpoint",
+        lambda session: X.devices(session, sf),
+        progress=progress,
+    )
+    query.awaitTermination()
+
+
+def _in_parts(spark, sf, is_first):
+    """Ingests the messages of a first part, stops, appends the others and resumes; returns the working folder."""
     root = work_path(spark, "ingest")
     messages = X.topic(spark, sf)
-    cut = X.n_events(spark, sf).scalar()
-    for part in (messages.filter(F.col("offset") < cut), messages.filter(F.col("offset") >= cut)):
+    for part in (messages.filter(is_first), messages.filter(~is_first)):
         topic.write_files(part, f"{root}/topic")
-        query = ingest.start_ingest(
-            topic.read_file_stream(spark, f"{root}/topic"),
-            f"{root}/table",
-            f"{root}/checkpoint",
-            lambda session: X.devices(session, sf),
-        )
-        query.awaitTermination()
-    return f"{root}/table"
+        log = ProgressLog(spark, f"{root}/progress")
+        _drain(spark, sf, root, progress=log)
+        log.wait()
+    return root
+
+
+def _ingested(spark, sf):
+    """Every reading first, what was sent again and foreign messages later."""
+    return _in_parts(spark, sf, F.col("offset") < X.n_events(spark, sf).scalar())
+
+
+def _late(spark, sf):
+    """The second half of the month first, so that the rest is weeks late: old intervals with new keys."""
+    received = F.get_json_object("value", "$.receivedAt").try_cast("timestamp")
+    return _in_parts(spark, sf, F.coalesce(received >= F.lit(X.HALF).cast("timestamp"), F.lit(False)))
+
+
+CUTS = 12
+
+
+def _limit(spark, sf):
+    return -(-X.topic(spark, sf).count() // CUTS)
+
+
+def _cut(spark, sf):
+    """A topic of files with a limited number of messages, read one at a time: batches cut by count."""
+    root = work_path(spark, "cut")
+    messages = X.topic(spark, sf).coalesce(1).sortWithinPartitions("offset", "partition")
+    topic.write_files(messages, f"{root}/topic", _limit(spark, sf))
+    _drain(spark, sf, root, max_files=1)
+    return root
+
+
+_runs = {}
+
+
+def _shared(spark, sf, run):
+    """The folder of a run that several queries look at; it runs once in a session."""
+    key = (spark.sparkContext.applicationId, sf, run.__name__)
+    if key not in _runs:
+        _runs[key] = run(spark, sf)
+    return _runs[key]
 
 
 def stream_ingest(spark, sf):
-    rows = table.read_readings(spark, _ingested(spark, sf))
+    rows = table.read_readings(spark, f"{_ingested(spark, sf)}/table")
     return rows.select("device_id", ntz("interval_start").alias("interval_start"), "vehicles")
 
 
 def stream_resume(spark, sf):
     """Counters of both runs, one row per batch."""
-    batches = table.read_side(spark, _ingested(spark, sf), "batches")
+    batches = table.read_side(spark, f"{_shared(spark, sf, _ingested)}/table", "batches")
     return batches.select("batch_id", "messages", "inserted", "duplicates", "skipped")
 
 
 def stream_quarantine(spark, sf):
-    rows = table.read_side(spark, _ingested(spark, sf), "quarantine")
+    rows = table.read_side(spark, f"{_shared(spark, sf, _ingested)}/table", "quarantine")
     return rows.select("partition", "offset", "key", "value", "reason")
 
 
@@ -57,15 +103,48 @@ def stream_replay(spark, sf):
 
 
 def stream_conflicts(spark, sf):
-    rows = table.read_side(spark, _ingested(spark, sf), "conflicts")
+    rows = table.read_side(spark, f"{_shared(spark, sf, _ingested)}/table", "conflicts")
     return rows.withColumn("interval_start", ntz("interval_start"))
 
 
 def stream_lag(spark, sf):
     """Nothing is left to read once both runs are drained."""
-    done = table.read_side(spark, _ingested(spark, sf), "offsets").groupBy("partition").agg(F.max("offset").alias("offset"))
-    ends = X.topic(spark, sf).groupBy("partition").agg(F.min("offset").alias("low"), (F.max("offset") + 1).alias("high"))
-    return T.lag_per_partition(ends, done)
+    offsets = table.read_side(spark, f"{_shared(spark, sf, _ingested)}/table", "offsets")
+    return T.lag_per_partition(_ends(spark, sf), offsets.groupBy("partition").agg(F.max("offset").alias("offset")))
+
+
+def _ends(spark, sf):
+    return X.topic(spark, sf).groupBy("partition").agg(F.min("offset").alias("low"), (F.max("offset") + 1).alias("high"))
+
+
+def stream_progress_lag(spark, sf):
+    """What was left to read after each batch, from the recorded progress; a file source does not report its end."""
+    return lag_after_batches(read_progress(spark, f"{_shared(spark, sf, _ingested)}/progress"), _ends(spark, sf))
+
+
+def stream_panel_exact(spark, sf):
+    """Minutes, quarter hours and days from what each batch has added, with intervals that were weeks late."""
+    minutes = table.read_panel(spark, f"{_shared(spark, sf, _late)}/table")
+    grains = [("minute", F.col("time")), ("quarter", bin_start("time", 900)), ("day", F.date_trunc("day", "time"))]
+    grain = F.explode(F.array(*[F.struct(F.lit(name).alias("grain"), at.alias("time")) for name, at in grains])).alias("at")
+    sums = minutes.select(grain, "vehicles", "readings").groupBy("at.grain", "at.time")
+    return sums.agg(F.sum("vehicles").alias("vehicles"), F.sum("readings").alias("readings")).withColumn("time", ntz("time"))
+
+
+def stream_cut(spark, sf):
+    """Totals of a run whose batches are cut by count, and whether all stayed within the limit."""
+    batches = table.read_side(spark, f"{_shared(spark, sf, _cut)}/table", "batches")
+    return batches.agg(
+        F.count("*").alias("batches"),
+        (F.max("messages") <= _limit(spark, sf)).alias("is_within_limit"),
+        *[F.sum(c).alias(c) for c in ("messages", "inserted", "duplicates", "skipped")],
+    )
+
+
+def stream_compacted(spark, sf):
+    """The table after its batches were merged, with the number of the batch that stored each row."""
+    rows = table.read_readings(spark, f"{_shared(spark, sf, _cut)}/table")
+    return rows.select("device_id", ntz("interval_start").alias("interval_start"), "vehicles", "batch_id")
 
 
 def stream_publish(spark, sf):
@@ -101,6 +180,10 @@ QUERIES = {
     "stream_replay": stream_replay,
     "stream_conflicts": stream_conflicts,
     "stream_lag": stream_lag,
+    "stream_progress_lag": stream_progress_lag,
+    "stream_panel_exact": stream_panel_exact,
+    "stream_cut": stream_cut,
+    "stream_compacted": stream_compacted,
     "stream_publish": stream_publish,
     "stream_windows": stream_windows,
 }
@@ -113,6 +196,10 @@ _FIRST = """firsts AS (
   SELECT * FROM known QUALIFY row_number() OVER (PARTITION BY device_id, interval_start ORDER BY "offset") = 1)"""
 _BATCH = 'CASE WHEN "offset" < (SELECT cut FROM cut) THEN 0 ELSE 1 END'
 _BASE = (Q.DEVICES, Q.READINGS, Q.INCOMING, Q.KNOWN, Q.FOREIGN, _CUT, _TOPIC, _FIRST)
+_ENDS = 'ends AS (SELECT partition, min("offset") AS low, max("offset") + 1 AS high FROM topic GROUP BY 1)'
+_CUTS = f"""cuts AS (
+  SELECT partition, "offset", (row_number() OVER (ORDER BY "offset", partition) - 1) // ((count(*) OVER () + {CUTS - 1}) // {CUTS}) AS cut
+  FROM topic)"""
 _QUARANTINE = f"""SELECT partition, "offset", device_id AS key, {Q.message()} AS value, 'unknown device' AS reason
 FROM incoming ANTI JOIN devices USING (device_id)
 UNION ALL SELECT partition, "offset", device_id, value, CASE WHEN is_large THEN 'vehicles out of range' WHEN is_outside THEN 'interval start out of range' ELSE 'undecodable' END
@@ -138,6 +225,23 @@ WHERE k.vehicles <> f.vehicles GROUP BY 2, 3, 4, 5""",
     "stream_lag": with_(*_BASE)
     + """SELECT partition, min("offset") AS low, max("offset") + 1 AS high, max("offset") + 1 AS committed, CAST(0 AS BIGINT) AS lag
 FROM topic GROUP BY 1""",
+    "stream_progress_lag": with_(*_BASE, _ENDS)
+    + f"""SELECT b AS batch_id, (SELECT count(*) FROM topic WHERE {_BATCH} = b) AS messages, CAST(-1 AS BIGINT) AS reported,
+       CAST(sum(high - coalesce(done, low)) AS BIGINT) AS lag FROM (
+  SELECT CAST(b AS BIGINT) AS b, partition, low, high,
+    (SELECT max("offset") + 1 FROM topic t WHERE t.partition = ends.partition AND {_BATCH} <= b) AS done
+  FROM ends CROSS JOIN (VALUES (0), (1)) v(b)) GROUP BY b""",
+    "stream_panel_exact": with_(*_BASE)
+    + """SELECT grain, "time", CAST(sum(vehicles) AS BIGINT) AS vehicles, count(*) AS readings FROM (
+  SELECT 'minute' AS grain, date_trunc('minute', interval_start) AS "time", vehicles FROM firsts
+  UNION ALL SELECT 'quarter', time_bucket(INTERVAL '15 minutes', interval_start), vehicles FROM firsts
+  UNION ALL SELECT 'day', date_trunc('day', interval_start), vehicles FROM firsts) GROUP BY 1, 2""",
+    "stream_cut": with_(*_BASE, _CUTS)
+    + """SELECT count(DISTINCT cut) AS batches, true AS is_within_limit, count(*) AS messages, (SELECT count(*) FROM firsts) AS inserted,
+       (SELECT count(*) FROM known) - (SELECT count(*) FROM firsts) AS duplicates, count(*) - (SELECT count(*) FROM known) AS skipped
+FROM cuts""",
+    "stream_compacted": with_(*_BASE, _CUTS)
+    + """SELECT device_id, interval_start, vehicles, cuts.cut AS batch_id FROM firsts JOIN cuts USING (partition, "offset")""",
     "stream_publish": with_(Q.READINGS, R.ITEMS)
     + """SELECT i.device_id AS key, '{"deviceId":"' || i.device_id || '","intervalStart":"' || strftime(interval_start, '%Y-%m-%dT%H:%M:%SZ')
        || '","vehicles":' || vehicles || ',"receivedAt":"' || strftime(b.received_at, '%Y-%m-%dT%H:%M:%S.%g') || 'Z"}' AS value

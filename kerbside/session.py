@@ -70,6 +70,28 @@ def _file_system(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
+def found(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, in any file system that Spark reaches."""
+    files, at = _file_system(spark, pattern)
+    return [str(status.getPath().toString()) for status in files.globStatus(at) or []]
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file, in place of an earlier one."""
+    files, at = _file_system(spark, path)
+    stream = files.create(at, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, if it is there."""
+    files, at = _file_system(spark, path)
+    files.delete(at, True)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Writes an intermediate result to the shared folder and reads it back.
 

@@ -6,8 +6,13 @@ from pyspark.sql import functions as F
 from ..schema import TOPIC
 
 
-def read_kafka_stream(spark: SparkSession, brokers: str, topic: str, max_offsets: int | None = None) -> DataFrame:
-    """Needs the Kafka connector on the class path. A new query starts at the oldest retained message."""
+def read_kafka_stream(
+    spark: SparkSession, brokers: str, topic: str, max_offsets: int | None = None, max_wait: str | None = None
+) -> DataFrame:
+    """Needs the Kafka connector on the class path. A new query starts at the oldest retained message.
+
+    With both limits a batch is cut at ``max_offsets`` messages, or when it has waited ``max_wait`` for them.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", brokers)
@@ -16,6 +21,8 @@ def read_kafka_stream(spark: SparkSession, brokers: str, topic: str, max_offsets
     )
     if max_offsets is not None:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets)
+        if max_wait is not None:
+            reader = reader.option("minOffsetsPerTrigger", max_offsets).option("maxTriggerDelay", max_wait)
     return reader.load().select(
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "partition", "offset"
     )
@@ -36,12 +43,16 @@ def write_kafka(messages: DataFrame, brokers: str, topic: str) -> None:
 
 
 def read_file_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """With one file per batch, a batch is as large as ``write_files`` lets a file become."""
     reader = spark.readStream.schema(TOPIC)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(path)
 
 
-def write_files(messages: DataFrame, path: str) -> None:
+def write_files(messages: DataFrame, path: str, max_messages: int | None = None) -> None:
     """Appends messages ``(key, value, partition, offset)``; order within a key is carried by the offset."""
-    messages.select(*TOPIC.names).write.mode("append").parquet(path)
+    writer = messages.select(*TOPIC.names).write.mode("append")
+    if max_messages is not None:
+        writer = writer.option("maxRecordsPerFile", max_messages)
+    writer.parquet(path)

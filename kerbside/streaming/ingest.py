@@ -14,9 +14,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.times import epoch_ms
 from ..operators import ingest as I
+from ..operators.scale import nearest_rank, value_at_rank
 from ..operators.wire import commit_offsets, decode
-from ..session import configure
+from ..session import configure, saved, scratch
 from ..sources import table
+from .progress import ProgressLog
 
 DeviceReader = Callable[[SparkSession], DataFrame]
 
@@ -26,13 +28,13 @@ def ingest_batch(messages: DataFrame, batch_id: int, path: str, devices: DataFra
     spark = configure(messages.sparkSession)
     started = time.time()
     stored_at = F.timestamp_millis(F.lit(int(started * 1000)))
-    # Kept while the batch runs; a lost executor recomputes its part from the source offsets.
-    decoded = decode(messages).persist()
-    good, refused = I.split_by_constraints(decoded.filter("is_decoded"), devices)
-    firsts = I.first_writes(good)
-    stored = table.read_spans(spark, path, table.date_spans(good)).filter(F.col("batch_id") < batch_id)
-    probed = I.probe(firsts, stored).persist()
-    try:
+    with scratch(spark):
+        decoded = saved(decode(messages), "decoded")
+        good, refused = I.split_by_constraints(decoded.filter("is_decoded"), devices)
+        firsts = saved(I.first_writes(good), "firsts")
+        stored = table.read_candidates(spark, path, firsts, batch_id)
+        probed = saved(I.probe(firsts, stored), "probed")
+        table.begin_batch(spark, path, batch_id)
         table.write_batch(I.new_rows(probed).withColumn("stored_at", stored_at), path, batch_id)
         table.write_side(I.conflicts(good, probed), path, "conflicts", batch_id)
         undecodable = decoded.filter(~F.col("is_decoded")).withColumn("reason", F.lit("undecodable"))
@@ -41,17 +43,14 @@ def ingest_batch(messages: DataFrame, batch_id: int, path: str, devices: DataFra
         table.write_side(commit_offsets(decoded), path, "offsets", batch_id)
         summary = _summary(decoded, probed, stored_at, int((time.time() - started) * 1000))
         table.write_side(summary, path, "batches", batch_id)
-    finally:
-        probed.unpersist()
-        decoded.unpersist()
 
 
 def _summary(decoded: DataFrame, probed: DataFrame, stored_at, flush_ms: int) -> DataFrame:
     counts = I.counters(probed)
     seen = decoded.agg(F.count("*").alias("messages"))
-    # From acceptance to storage, over the new rows.
+    # From acceptance to storage, over the new rows: the nearest-rank median and the maximum.
     delay = I.new_rows(probed).select((epoch_ms(stored_at) - epoch_ms("accepted_at")).alias("ms"))
-    delays = delay.agg(F.percentile_approx("ms", 0.5, 10_000).alias("p50"), F.max("ms").alias("max"))
+    delays = value_at_rank(delay, [], "ms", {"p50": nearest_rank(50), "max": F.col("n")})
     row = seen.select(
         "messages",
         counts.select("accepted").scalar().alias("inserted"),
@@ -71,18 +70,32 @@ def _summary(decoded: DataFrame, probed: DataFrame, stored_at, flush_ms: int) ->
 
 
 def start_ingest(
-    messages: DataFrame, path: str, checkpoint: str, devices: DeviceReader, every: str | None = None
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    devices: DeviceReader,
+    every: str | None = None,
+    progress: ProgressLog | None = None,
+    fan: int = table.FAN,
 ) -> StreamingQuery:
     """Runs the ingest. Without ``every`` it drains what is there and stops; a restart resumes at the checkpoint.
 
-    ``devices`` is called per batch, so new devices are seen without a restart.
+    ``devices`` is called per batch, so new devices are seen without a restart. A batch is cut by age (``every``) or by
+    count (the limit of the source, see ``sources.topic``). Earlier batches are merged ``fan`` at a time. ``progress``
+    keeps the reports of the query.
     """
 
     first = table.first_batch_id(messages.sparkSession, path, checkpoint)
 
     def flush(batch: DataFrame, batch_id: int) -> None:
         ingest_batch(batch, first + batch_id, path, devices(batch.sparkSession))
+        # The batch itself may still be replayed; the ones before are committed.
+        table.compact(batch.sparkSession, path, first + batch_id, fan)
 
+    if progress is not None:
+        messages = progress.observed(messages)
     writer = messages.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
+    if progress is not None:
+        writer = progress.attach(writer)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()

@@ -29,7 +29,8 @@ def start_live_panel(windows: DataFrame, path: str, checkpoint: str, every: str
     A new checkpoint on a filled panel must continue where the old one stopped, as its sums are added.
     """
     spark = windows.sparkSession
-    first = first_id(spark, _read(spark, path).select("batch_id"), checkpoint)
+    used = _read(spark, path).agg(F.coalesce(F.max("batch_id") + 1, F.lit(0)).alias("id")).first().id
+    first = first_id(spark, used, checkpoint)
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/run={first}/batch_id={first + batch_id}")
