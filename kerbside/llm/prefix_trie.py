@@ -30,8 +30,10 @@ from .common import groups
 CHUNK_BITS = 12
 #: Conversations that lend their first turns: every fifth; and the most turns that can be lent.
 LENDER, MOST = 5, 8
-#: Shares of the strings in the batches, in sixteenths.
-BATCHES = (1, 3, 12)
+#: Shares of the strings in the batches.
+BATCHES = (1, 7)
+#: Most turns with which all prefix hashes of a string travel in its row; longer ones are looked up by depth.
+SHORT = 4096
 NODE = ["e", "x1", "x2", "rep", "top", "t1", "t2"]
 NOWHERE = -(2**62)
 
@@ -132,20 +134,45 @@ def _at(rows: DataFrame, paths: DataFrame, rep: str, depth: str, **wanted: str)
     return rows.join(found, (F.col(rep) == F.col("_rep")) & (F.col(depth) == F.col("_d")), "left").drop("_rep", "_d")
 
 
-def locate(strings: DataFrame, nodes: DataFrame, paths: DataFrame) -> DataFrame:
+def _in(way: str, depth: Column, name: str) -> Column:
+    """A field of a way at a depth; null at 0 and beyond its end."""
+    return F.when(depth > 0, F.try_element_at(F.col(way), depth.cast("int"))[name])
+
+
+def _own(rows: DataFrame, paths: DataFrame, depth: str, **wanted: str) -> DataFrame:
+    """As ``_at`` for the string of the row itself, which may have its way with it."""
+    if "way" in rows.columns:
+        return rows.withColumns({as_: _in("way", F.col(depth), c) for as_, c in wanted.items()})
+    return _at(rows, paths, "rep", depth, **wanted)
+
+
+def ways(paths: DataFrame) -> DataFrame:
+    """``(rep, way)``: hashes and bytes of all prefixes of a string, shortest first."""
+    steps = paths.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("d", "p1", "p2", "bytes", "upto"))).alias("way"))
+    return steps.select("rep", "way")
+
+
+def _of_rep(nodes: DataFrame, paths: DataFrame, lookups: list[tuple[str, dict[str, str]]], short: bool) -> DataFrame:
+    """Adds columns of a node's conversation at several depths ``(depth, {name: column})``."""
+    if short:
+        nodes = nodes.join(paths, "rep", "left")
+        return nodes.withColumns({a: _in("way", F.col(depth), c) for depth, wanted in lookups for a, c in wanted.items()}).drop("way")
+    for depth, wanted in lookups:
+        nodes = _at(nodes, paths, "rep", depth, **wanted)
+    return nodes
+
+
+def locate(strings: DataFrame, handles: DataFrame, paths: DataFrame) -> DataFrame:
     """Fat binary search: adds the last node on each string's way whose handle the string has, as ``g_*``.
 
-    ``strings`` has ``rep`` (a conversation in ``paths``) and ``n`` (its length).
+    ``strings`` has ``rep`` (a conversation in ``paths``) and ``n`` (its length), ``handles`` are ``(f, k1, k2, y_*)``.
     """
-    inner = nodes.filter("e > 0").withColumn("f", fattest(F.col("top"), F.col("e")))
-    handles = _at(inner, paths, "rep", "f", k1="p1", k2="p2")
-    handles = saved(handles.select(F.col("f"), "k1", "k2", *[F.col(c).alias(f"y_{c}") for c in NODE]), "handles")
     root = {"g_e": 0, "g_x1": 0, "g_x2": 0, "g_rep": None, "g_top": -1, "g_t1": 0, "g_t2": 0}
     now = strings.withColumns({c: F.lit(v).cast("long") for c, v in root.items()})
     now = now.withColumns({"low": F.lit(0).cast("long"), "high": F.col("n")})
     for _ in range(int(strings.agg(F.max("n")).first()[0] or 0).bit_length()):
         probe = now.withColumn("f", F.when(F.col("low") < F.col("high"), fattest(F.col("low"), F.col("high"))))
-        probe = _at(probe, paths, "rep", "f", k1="p1", k2="p2").join(handles, ["f", "k1", "k2"], "left")
+        probe = _own(probe, paths, "f", k1="p1", k2="p2").join(handles, ["f", "k1", "k2"], "left")
         hit, tried = F.col("y_e").isNotNull(), F.col("f").isNotNull()
         step = {f"g_{c}": F.when(hit, F.col(f"y_{c}")).otherwise(F.col(f"g_{c}")) for c in NODE}
         step["low"] = F.when(hit, F.col("y_e")).otherwise(F.col("low"))
@@ -159,29 +186,42 @@ def exits(strings: DataFrame, nodes: DataFrame, paths: DataFrame) -> DataFrame:
 
     ``g_e`` is null where the string leaves at the extent of a node.
     """
-    found = _at(locate(strings, nodes, paths), paths, "rep", "g_e", a1="p1", a2="p2")
+    short = "way" in strings.columns
+    inner = nodes.filter("e > 0").withColumns({"f": fattest(F.col("top"), F.col("e")), "below": F.col("top") + 1})
+    inner = _of_rep(inner, paths, [("f", {"k1": "p1", "k2": "p2"}), ("below", {"b1": "p1", "b2": "p2"})], short)
+    inner = saved(inner, "handles")
+    handles = inner.select("f", "k1", "k2", *[F.col(c).alias(f"y_{c}") for c in NODE])
+    found = _own(locate(strings, handles, paths), paths, "g_e", a1="p1", a2="p2")
     passed = (F.col("g_e") == 0) | (F.col("a1").eqNullSafe(F.col("g_x1")) & F.col("a2").eqNullSafe(F.col("g_x2")))
     found = found.withColumns({"passed": passed, "below": F.col("g_e") + 1}).drop("a1", "a2")
     # Behind an extent that the string has, the edge of the child with the string's next turn.
-    named = nodes.filter("e > 0").withColumn("below", F.col("top") + 1)
-    named = _at(named, paths, "rep", "below", b1="p1", b2="p2")
-    named = named.select("below", "b1", "b2", *[F.col(c).alias(f"z_{c}") for c in NODE])
-    found = _at(found, paths, "rep", "below", b1="p1", b2="p2").join(named, ["below", "b1", "b2"], "left")
+    named = inner.select("below", "b1", "b2", *[F.col(c).alias(f"z_{c}") for c in NODE])
+    found = _own(found, paths, "below", b1="p1", b2="p2").join(named, ["below", "b1", "b2"], "left")
     edge = {f"g_{c}": F.when(F.col("passed"), F.col(f"z_{c}")).otherwise(F.col(f"g_{c}")) for c in NODE}
     m = F.when(F.col("passed"), F.col("g_e")).otherwise(F.col("g_top"))
     found = saved(found.select(*strings.columns, m.alias("m"), *[v.alias(c) for c, v in edge.items()]), "edges")
     # Turns along that one edge, compared with a conversation that has it.
-    inside = (F.col("d") > F.col("g_top")) & (F.col("d") <= F.least("n", "g_e"))
-    along = found.filter("g_e is not null").join(paths.select("rep", "d", "p1", "p2"), "rep").filter(inside)
-    along = _at(along.select("rep", "d", "p1", "p2", "g_rep"), paths, "g_rep", "d", o1="p1", o2="p2")
-    far = along.filter("p1 = o1 and p2 = o2").groupBy("rep").agg(F.max("d").alias("far"))
-    out = found.join(far, "rep", "left").withColumn("m", F.greatest("m", "far")).drop("far")
-    out = _at(out, paths, "rep", "m", m1="p1", m2="p2")
+    if short:
+        other = paths.withColumnsRenamed({"rep": "g_rep", "way": "other"})
+        depths = F.when(F.col("g_top") < F.least("n", "g_e"), F.sequence(F.col("g_top") + 1, F.least("n", "g_e")))
+        same = F.filter(depths, lambda d: (_in("way", d, "p1") == _in("other", d, "p1")) & (_in("way", d, "p2") == _in("other", d, "p2")))
+        out = found.join(other, "g_rep", "left").withColumn("m", F.greatest("m", F.array_max(same))).drop("other")
+    else:
+        inside = (F.col("d") > F.col("g_top")) & (F.col("d") <= F.least("n", "g_e"))
+        along = found.filter("g_e is not null").join(paths.select("rep", "d", "p1", "p2"), "rep").filter(inside)
+        along = _at(along.select("rep", "d", "p1", "p2", "g_rep"), paths, "g_rep", "d", o1="p1", o2="p2")
+        far = along.filter("p1 = o1 and p2 = o2").groupBy("rep").agg(F.max("d").alias("far"))
+        out = found.join(far, "rep", "left").withColumn("m", F.greatest("m", "far")).drop("far")
+    out = _own(out, paths, "m", m1="p1", m2="p2")
     return out.withColumns({"m1": F.coalesce("m1", F.lit(0)), "m2": F.coalesce("m2", F.lit(0))})
 
 
 def insert(strings: DataFrame, nodes: DataFrame, paths: DataFrame, empty: bool = False) -> DataFrame:
-    """The nodes of the trie after a batch of distinct strings ``(n, e1, e2, rep)``; ``empty`` if there was only the root."""
+    """The nodes of the trie after a batch of distinct strings; ``empty`` if there was only the root.
+
+    Strings are ``(n, e1, e2, rep)`` with ``paths (rep, d, p1, p2, q1, q2)``, or have their ``way`` as well with ``paths
+    (rep, way)``.
+    """
     if empty:
         none = {f"g_{c}": F.lit(None).cast("long") for c in NODE}
         out = strings.withColumns({c: F.lit(0).cast("long") for c in ("m", "m1", "m2")} | none)
@@ -202,7 +242,13 @@ def insert(strings: DataFrame, nodes: DataFrame, paths: DataFrame, empty: bool =
         F.coalesce(F.lag("a2").over(order), "t2").alias("t2"),
     )
     # Prefixes beyond the exits are new; those that end a string or continue in two ways are new nodes.
-    new = paths.join(out.select("rep", "n", "m", "m1", "m2"), "rep").filter("d > m")
+    if "way" in out.columns:
+        step = F.explode(F.filter("way", lambda w: w["d"] > F.col("m"))).alias("step")
+        new = out.select("rep", "n", "m", "m1", "m2", "way", step).select("*", "step.d", "step.p1", "step.p2")
+        upper = F.col("d") - 1
+        new = new.withColumns({q: F.coalesce(_in("way", upper, p), F.lit(0)) for q, p in (("q1", "p1"), ("q2", "p2"))})
+    else:
+        new = paths.join(out.select("rep", "n", "m", "m1", "m2"), "rep").filter("d > m")
     new = saved(new.select("rep", "d", "p1", "p2", "q1", "q2", "n", "m", "m1", "m2"), "new")
     kids = new.filter("d > m + 1").select((F.col("d") - 1).alias("d"), F.col("q1").alias("p1"), F.col("q2").alias("p2"), F.col("p1").alias("c1"), F.col("p2").alias("c2"))
     forks = kids.distinct().groupBy("d", "p1", "p2").count().filter("count > 1").drop("count")
@@ -224,7 +270,7 @@ def insert(strings: DataFrame, nodes: DataFrame, paths: DataFrame, empty: bool =
 
 
 def build(strings: DataFrame, paths: DataFrame, shares: tuple[int, ...] = BATCHES) -> DataFrame:
-    """The compacted trie of distinct strings ``(n, e1, e2, rep)``, inserted batch by batch.
+    """The compacted trie of distinct strings, inserted batch by batch (see ``insert``).
 
     Nodes are ``(e, x1, x2)`` (depth and hash of the extent), ``rep`` (a conversation through the node) and ``(top, t1,
     t2)``, the extent of the parent; -1 above the root.
@@ -325,14 +371,17 @@ def trie(conversations: DataFrame) -> DataFrame:
     strings = saved(strings, "strings")
     if strings.isEmpty():
         return strings.select(*[zero.alias(c) for c in RESULT], F.lit("").alias("ends_sha256"))
-    paths = saved(strings.select("rep").join(every.withColumnRenamed("conv_id", "rep"), "rep"), "paths")
-    nodes = build(strings.select("n", "e1", "e2", "rep"), paths)
+    paths = strings.select("rep").join(every.withColumnRenamed("conv_id", "rep"), "rep")
+    short = strings.agg(F.max("n")).first()[0] <= SHORT
+    paths = saved(ways(paths) if short else paths, "paths")
+    inserted = strings.select("n", "e1", "e2", "rep")
+    nodes = build(saved(inserted.join(paths, "rep", "left"), "strings") if short else inserted, paths)
 
     kids = nodes.filter("e > 0").groupBy(F.col("top").alias("e"), F.col("t1").alias("x1"), F.col("t2").alias("x2"))
     kids = kids.agg(F.count("*").alias("n_children"))
     here = strings.select(F.col("n").alias("e"), F.col("e1").alias("x1"), F.col("e2").alias("x2"), F.col("rep").alias("low"), "n_ends", "size")
     full = nodes.join(kids, ["e", "x1", "x2"], "left").join(here, ["e", "x1", "x2"], "left")
-    full = _at(_at(full, paths, "rep", "e", at_e="upto"), paths, "rep", "top", at_top="upto")
+    full = _of_rep(full, paths, [("e", {"at_e": "upto"}), ("top", {"at_top": "upto"})], short)
     n_children, n_convs = F.coalesce("n_children", zero), F.coalesce("n_ends", zero)
     edge = F.coalesce("at_e", zero) - F.coalesce("at_top", zero)
     full = saved(
@@ -355,7 +404,7 @@ def trie(conversations: DataFrame) -> DataFrame:
     digests = joined_ids(ends.select("conv_id", "n", "e1", "e2")).withColumnsRenamed({"n": "e", "e1": "x1", "e2": "x2"})
     full = full.join(above, ["top", "t1", "t2"], "left").join(digests, ["e", "x1", "x2"], "left")
 
-    out = _at(expanded(full), paths, "conv_id", "d", size="bytes", upto="upto")
+    out = _of_rep(expanded(full.withColumn("rep", F.col("conv_id"))), paths, [("d", {"size": "bytes", "upto": "upto"})], short)
     last, before = F.col("d") == F.col("e"), F.coalesce("upto", zero) - F.coalesce("size", zero)
     # A member has its bytes beyond this depth once; the distinct turns below are paid for once.
     kept = F.col("sizes") - F.col("n_convs") * before - (F.col("edges") - F.col("edge") + F.col("at_e") - before)

@@ -72,15 +72,19 @@ def found(spark, rows):
     return sorted(map(tuple, got.collect()), key=repr)
 
 
-def test_equals_brute_force(spark):
+@pytest.mark.parametrize("short", [prefix_trie.SHORT, 0])
+def test_equals_brute_force(spark, monkeypatch, short):
+    """With the prefix hashes in the strings' rows, and with look-ups by depth."""
+    monkeypatch.setattr(prefix_trie, "SHORT", short)
     rows = conversations(1, 90)
     rows += [(None, 1, "user", "nobody's"), (777, 5, "user", "again"), (777, 5, "user", "again"), (778, None, None, "x" * 2_000_000)]
     assert found(spark, rows) == brute(rows)
 
 
-@pytest.mark.parametrize("seed", [2, 3])
-def test_long_chains_and_far_ids(spark, seed):
-    rng = random.Random(seed)
+@pytest.mark.parametrize("short", [prefix_trie.SHORT, 0])
+def test_long_chains_and_far_ids(spark, monkeypatch, short):
+    monkeypatch.setattr(prefix_trie, "SHORT", short)
+    rng = random.Random(2)
     chain = [("user", sentence(rng, 2)) for _ in range(70)]
     rows = []
     for i in range(25):
