@@ -3,7 +3,7 @@
 import time
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import MIB, is_stale, round_half_up, to_fixed
@@ -11,21 +11,19 @@ from ..functions.times import col, epoch_ms
 from .panels import time_range, vehicles_per_bin
 
 
-def table_profile(table: DataFrame) -> DataFrame:
-    """Rows and size of a file-based table, one row. Parquet keeps no separate indexes, so their size is unknown.
+def table_profile(spark: SparkSession, path: str) -> DataFrame:
+    """Rows and size of a stored table, one row. Parquet keeps no separate indexes, so their size is unknown.
 
-    Sizes come from the hidden file metadata column and are folded per file before the shuffle.
+    No data is read: the count is pushed down into the footers of the files (which needs the second generation of the
+    Parquet reader, switched on in a session of its own), and the sizes come with the listing.
     """
-    files = table.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.max("_metadata.file_size").alias("bytes"), F.count("*").alias("rows")
-    )
-    mib = to_fixed(F.sum("bytes") / F.lit(float(MIB)), 1)
-    return files.agg(
-        F.sum("rows").alias("rows_approx"),
-        mib.alias("total_mib"),
-        mib.alias("table_mib"),
-        F.lit(None).cast("double").alias("index_mib"),
-    )
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.sources.useV1SourceList", "")
+    apart.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    rows = apart.read.parquet(path).agg(F.count("*").alias("rows_approx"))
+    files = apart.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path)
+    mib = to_fixed(files.agg(F.sum("length")).scalar() / F.lit(float(MIB)), 1)
+    return rows.select("rows_approx", mib.alias("total_mib"), mib.alias("table_mib"), F.lit(None).cast("double").alias("index_mib"))
 
 
 def city_wide_ms(readings: DataFrame, now, hours: int) -> float:

@@ -1,6 +1,6 @@
 """Building blocks that keep joins, ordered logic and ranks spread over the cluster.
 
-* ``lookup`` broadcasts a dimension only after checking its size and otherwise salts the join key.
+* ``lookup`` broadcasts a dimension only after checking its size, uses a common bucketing, or else salts the join key.
 * ``neighbours``, ``running_sum`` and ``numbered`` give lag/lead, prefix sums and row numbers over long
   sequences without sorting a whole sequence in one task: rows are cut into bounded chunks, one summary row
   per chunk carries the state across chunk borders.
@@ -12,11 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import WindowSpec
 
 from ..functions.times import epoch_ms
 
 DAY_MS = 86_400_000
-SALTS = 32
+#: Bytes of a fact table that one key may bring into a task, if it has a third of all rows; and bounds of the salts.
+HOT_BYTES, LEAST_SALTS, MOST_SALTS = 128 << 20, 8, 1024
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -32,20 +34,31 @@ def broadcast_limit(df: DataFrame) -> int:
 def lookup(fact: DataFrame, dim: DataFrame, key: str, how: str = "left", max_bytes: int | None = None) -> DataFrame:
     """Joins a large fact with a dimension that is unique on ``key``.
 
-    A dimension below the limit is broadcast, so the fact is not shuffled. A larger one is repeated ``SALTS``
-    times and joined on (key, salt): a key holding a third of the fact then spreads over many tasks, and
-    adaptive execution splits what is still too big. The salt is a hash of the whole row, so a retried task
-    sends every row where it went before.
+    A dimension below the limit is broadcast, so the fact is not shuffled. If both are bucketed by the key alike
+    (``sources.bucketed``), neither is. Otherwise the dimension is repeated over some salts and joined on (key,
+    salt): a key holding a third of the fact then spreads over as many tasks, their number follows from the
+    fact's size, and adaptive execution splits what is still too big. The salt is a hash of the whole row, so a
+    retried task sends every row where it went before.
     """
     limit = broadcast_limit(dim) if max_bytes is None else max_bytes
     if plan_bytes(dim) <= limit:
         return fact.join(F.broadcast(dim), key, how)
+    plain = fact.join(dim.hint("merge"), key, how)
+    if "Exchange" not in plain._jdf.queryExecution().executedPlan().toString():
+        return plain
+    n = salts(fact, dim)
     cols = [c for c in fact.columns if not isinstance(fact.schema[c].dataType, (T.MapType, T.VariantType))]
-    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(SALTS)))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(n)))
+    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
 
+def salts(fact: DataFrame, dim: DataFrame) -> int:
+    """Parts to cut a key into that holds a third of the fact, as long as the copies of the dimension stay below the fact."""
+    size = plan_bytes(fact)
+    return max(LEAST_SALTS, min(MOST_SALTS, size // 3 // HOT_BYTES + 1, size // max(1, plan_bytes(dim))))
+
+
 def time_chunk(ts, chunk_ms: int = DAY_MS) -> Column:
     """Number of the time slice holding an instant; the unit in which ordered logic is cut."""
     ms = epoch_ms(ts)
@@ -126,36 +139,52 @@ def spread(df: DataFrame, per_key: DataFrame, keys: Sequence[str], chunk: str =
     return df.join(carrier, [*keys, chunk], "inner")
 
 
-DIGIT_BITS, DIGITS = 16, 4
-
+DIGIT_BITS = 16
 
-def digit_counts(df: DataFrame, keys: Sequence[str], value: str) -> list[DataFrame]:
-    """``(_k, _up, _p, _n)``: rows per leading bits ``_p`` of a whole number, for each number of 16-bit digits left off.
 
-    ``_up`` are the leading bits with one digit less, so at most 65,536 rows agree in ``(_k, _up)``. ``_k`` holds the keys;
-    as a struct it is never NULL itself, so groups with NULL keys stay.
-    """
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``(_k, _p, _n)``: rows per value of a whole-number column. ``_k`` holds the keys; as a struct it is never NULL
+    itself, so groups with NULL keys stay."""
     key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
     rows = df.select(key.alias("_k"), F.col(value).cast("long").alias("_p"))
-    # The checks that the joins would infer are spelled out, so that both uses of a level share one exchange.
+    # The check that the joins would infer is spelled out, so that all uses of the counts share one exchange.
+    present = F.col("_p").isNotNull() & F.shiftright("_p", DIGIT_BITS).isNotNull()
+    return rows.filter(present).groupBy("_k", "_p").agg(F.count("*").alias("_n"))
+
+
+def fewer_digits(counts: DataFrame) -> DataFrame:
+    """Counts of the leading bits, without the last 16-bit digit."""
     up = F.shiftright("_p", DIGIT_BITS)
-    levels = [rows.filter(F.col("_p").isNotNull() & up.isNotNull()).groupBy("_k", "_p").agg(F.count("*").alias("_n"))]
-    for _ in range(DIGITS - 1):
-        lower = levels[-1].withColumn("_p", up).filter(up.isNotNull())
-        levels.append(lower.groupBy("_k", "_p").agg(F.sum("_n").alias("_n")))
-    return [level.withColumn("_up", up) for level in levels[:-1]] + [levels[-1].withColumn("_up", F.lit(0).cast("long"))]
+    return counts.withColumn("_p", up).filter(up.isNotNull()).groupBy("_k", "_p").agg(F.sum("_n").alias("_n"))
+
+
+def _holding(counts: DataFrame, group: WindowSpec) -> DataFrame:
+    """The counts that hold a wanted rank, with the rank among the values they stand for."""
+    found = F.filter("_wanted", lambda w: (w["rank"] > F.col("_before")) & (w["rank"] <= F.col("_before") + F.col("_n")))
+    inside = F.transform(found, lambda w: F.struct(w["name"].alias("name"), (w["rank"] - F.col("_before")).alias("rank")))
+    before = F.sum("_n").over(group.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
+    level = counts.withColumn("_before", before).withColumn("_wanted", inside)
+    return level.filter(F.size("_wanted") > 0).select("_k", F.col("_p").alias("_up"), "n", "_wanted")
+
+
+def _with_rank(counts: DataFrame, hits: DataFrame) -> DataFrame:
+    """``_holding`` of the counts below the leading bits that are chosen already."""
+    level = counts.withColumn("_up", F.shiftright("_p", DIGIT_BITS)).join(hits, ["_k", "_up"])
+    return _holding(level, Window.partitionBy("_k", "_up"))
 
 
 def value_at_rank(df: DataFrame, keys: Sequence[str], value: str, ranks: dict[str, Column]) -> DataFrame:
     """Exact order statistics of a whole-number column, one row per key.
 
     ``ranks`` maps an output name to the 1-based rank as an expression over ``n`` (rows of the group). This is a radix
-    selection: rows shrink to counts per value before any shuffle, counts of the leading 16 bits locate the digit of
-    every rank, then only counts below the chosen digits are looked at, four times in all. What is ordered in one piece
-    is never more than the 65,536 values of a digit, however many and however wide the values of a key are.
+    selection: rows shrink to counts per value before any shuffle, counts of the leading 32 bits locate the rest of every
+    rank, then only counts below the chosen bits are looked at, 16 bits at a time. So what is ordered in one piece is never
+    more than 65,536 counts, or one for each 2^32 of the span of a key's values. The digits are few, as each is a round of
+    small shuffles.
     """
     keys = list(keys)
-    levels = digit_counts(df, keys, value)
+    counts = value_counts(df, keys, value)
+    blocks = fewer_digits(counts)
     wanted = F.array(
         *[
             F.struct(
@@ -165,17 +194,8 @@ def value_at_rank(df: DataFrame, keys: Sequence[str], value: str, ranks: dict[st
             for name, rank in ranks.items()
         ]
     )
-    hits = None
-    for level in reversed(levels):
-        if hits is None:
-            level = level.withColumn("n", F.sum("_n").over(Window.partitionBy("_k"))).withColumn("_wanted", wanted)
-        else:
-            level = level.join(hits, ["_k", "_up"])
-        before = Window.partitionBy("_k", "_up").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-        found = F.filter("_wanted", lambda w: (w["rank"] > F.col("_before")) & (w["rank"] <= F.col("_before") + F.col("_n")))
-        inside = F.transform(found, lambda w: F.struct(w["name"].alias("name"), (w["rank"] - F.col("_before")).alias("rank")))
-        level = level.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_wanted", inside)
-        hits = level.filter(F.size("_wanted") > 0).select("_k", F.col("_p").alias("_up"), "n", "_wanted")
+    top = fewer_digits(blocks).withColumn("n", F.sum("_n").over(Window.partitionBy("_k"))).withColumn("_wanted", wanted)
+    hits = _with_rank(counts, _with_rank(blocks, _holding(top, Window.partitionBy("_k"))))
 
     def holds(name: str) -> Column:
         return F.exists("_wanted", lambda w: w["name"] == name)

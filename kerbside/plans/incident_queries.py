@@ -92,6 +92,21 @@ def _log_parse(spark, sf, encoding):
     return parsed.withColumn("end", ntz("end"))
 
 
+def log_parse_detected(spark, sf):
+    """Logs in two encodings, each told by its byte order mark, in one folder per run."""
+    path = work_path(spark, "logs")
+    lines = logs.format_windows(X.windows(spark, sf), 3600).withColumn("part", F.lit(1))
+    noise = X.events(spark, sf).select(F.col("event_type").alias("run"), F.col("props").alias("value"), F.lit(2).alias("part"))
+    marks = noise.select("run").distinct().select("run", F.lit("\ufeff").alias("value"), F.lit(0).alias("part"))
+    every = marks.unionByName(lines).unionByName(noise)
+    is_wide = F.length("run") % 2 == 0
+    for encoding, of in (("UTF-16LE", is_wide), ("UTF-8", ~is_wide)):
+        # One file per run, so that the mark is its start.
+        one = every.filter(of).repartition("run").sortWithinPartitions("run", "part").select("run", "value")
+        logs.write_log_lines(one, path, encoding)
+    return logs.parse_windows(logs.detect_log_lines(spark, path)).withColumn("end", ntz("end"))
+
+
 def latest_snapshot(spark, sf):
     """Every window written as a JSON snapshot of its source; the newest per source is reported."""
     path = work_path(spark, "snapshots")
@@ -192,7 +207,7 @@ def byte_sizes(spark, sf):
 
 def table_profile(spark, sf):
     """Sizes in bytes are not visible to SQL, so only whether there are any is kept."""
-    profile = S.table_profile(X.events(spark, sf))
+    profile = S.table_profile(spark, f"{sf}/events.parquet")
     return profile.select("rows_approx", (F.col("total_mib") >= 0).alias("has_size"), "index_mib")
 
 
@@ -211,6 +226,7 @@ QUERIES = {
     "longest_zero_run": longest_zero_run,
     "log_parse": lambda spark, sf: _log_parse(spark, sf, "UTF-8"),
     "log_parse_utf16": lambda spark, sf: _log_parse(spark, sf, "UTF-16LE"),
+    "log_parse_detected": log_parse_detected,
     "latest_snapshot": latest_snapshot,
     "sample_assembly": sample_assembly,
     "sample_report": sample_report,
@@ -309,7 +325,7 @@ FROM events""",
     "byte_sizes": """SELECT event_id, CASE event_type WHEN 'view' THEN floor(value) * 1073741824 WHEN 'click' THEN floor(value) * 1000 END AS bytes
 FROM events""",
 }
-SQL["log_parse_utf16"] = SQL["log_parse"]
+SQL["log_parse_utf16"] = SQL["log_parse_detected"] = SQL["log_parse"]
 SQL["longest_zero_run"] = (
     "SELECT run, max(duration_ms) AS longest_zero_ms, count(*) AS zero_runs FROM (" + SQL["zero_runs"] + ") GROUP BY run"
 )

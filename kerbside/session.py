@@ -1,11 +1,14 @@
 """Session settings and the shared working folder."""
 
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -76,6 +79,25 @@ def found(spark: SparkSession, pattern: str) -> list[str]:
     return [str(status.getPath().toString()) for status in files.globStatus(at) or []]
 
 
+def together(spark: SparkSession, *tasks: Callable[[], object]) -> None:
+    """Runs independent jobs at the same time; small ones mostly wait for the planner. The first failure is raised."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        started = [pool.submit(copy_context().run, inheritable_thread_target(spark)(task)) for task in tasks]
+        for task in started:
+            task.result()
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    files, at = _file_system(spark, path)
+    return any(status.isDirectory() for status in files.globStatus(at) or [])
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as Spark names the files below it."""
+    files, at = _file_system(spark, path)
+    return re.sub("^file:/+", "file:/", files.makeQualified(at).toUri().toString())
+
+
 def put_text(spark: SparkSession, path: str, text: str) -> None:
     """Writes a small file, in place of an earlier one."""
     files, at = _file_system(spark, path)

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from ..operators.scale import plan_bytes
 from ..schema import READINGS
-from ..session import delete, found, saved
+from ..session import delete, found, saved, together
 
 SIDE_SCHEMAS = {
     "batches": "batch_id long, ts timestamp, messages long, inserted long, duplicates long, skipped long, "
@@ -184,26 +184,34 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
 
 
 def _write_readings(rows: DataFrame, path: str, run: Run) -> None:
-    """Rebalancing merges small and splits hot dates before files are cut."""
-    spark = rows.sparkSession
-    (
-        rows.withColumn("event_date", F.to_date("interval_start"))
-        .select(*READINGS.names)
-        .hint("rebalance", "event_date")
+    """Writes stored rows and what follows from them. Rebalancing merges small and splits hot dates before files are cut."""
+    rows = rows.withColumn("event_date", F.to_date("interval_start")).select(*READINGS.names)
+    files = (
+        rows.hint("rebalance", "event_date")
         .sortWithinPartitions("event_date", "device_id", "interval_start")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy("event_date")
-        .parquet(folder(path, "readings", run))
     )
-    stored = read_runs(spark, path, "readings", [run])
+    together(
+        rows.sparkSession,
+        lambda: files.parquet(folder(path, "readings", run)),
+        lambda: _write_minutes(rows, path, run),
+        lambda: _write_filters(rows, path, run),
+    )
+
+
+def _write_minutes(stored: DataFrame, path: str, run: Run) -> None:
     minutes = stored.groupBy(F.date_trunc("minute", "interval_start").alias("time"))
     _write(minutes.agg(F.sum("vehicles").alias("vehicles"), F.count("*").alias("readings")), path, "minutes", run)
+
+
+def _write_filters(stored: DataFrame, path: str, run: Run) -> None:
     n_words = F.greatest(F.lit(1), F.ceil(F.count("*") * KEY_BITS / 64))
     words = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(n_words - 1)) * (n_words > 1).cast("int"))
     ranges = stored.groupBy("event_date").agg(words.alias("words"), F.min("interval_start").alias("low"), F.max("interval_start").alias("high"))
     _write(ranges, path, "folders", run)
-    sizes = read_runs(spark, path, "folders", [run]).select("event_date", "words")
+    sizes = read_runs(stored.sparkSession, path, "folders", [run]).select("event_date", "words")
     marks = stored.select(*KEY, "event_date").join(_small(sizes), "event_date").groupBy("event_date", _word().alias("word"))
     _write(marks.agg(F.bit_or(_bits()).alias("bits")).sort("event_date", "word"), path, "filters", run)
 
@@ -240,9 +248,9 @@ def merge_runs(spark: SparkSession, path: str, parts: list[Run]) -> Run:
     """Writes neighbouring runs as one. Readers see it, instead of the parts, when its ``batches`` are complete."""
     run = (parts[0][0], parts[-1][1])
     delete(spark, folder(path, "batches", run))
-    _write_readings(read_runs(spark, path, "readings", parts), path, run)
-    for name in CARRIED:
-        _write(read_runs(spark, path, name, parts).coalesce(len(parts)), path, name, run)
+    carry = [lambda name=name: _write(read_runs(spark, path, name, parts).coalesce(len(parts)), path, name, run) for name in CARRIED]
+    together(spark, lambda: _write_readings(read_runs(spark, path, "readings", parts), path, run), *carry[:-1])
+    carry[-1]()
     return run
 
 
@@ -267,8 +275,7 @@ def compact(spark: SparkSession, path: str, before: int, fan: int = FAN) -> None
 def rewrite_sorted(readings: DataFrame, target: str) -> None:
     """Rewrites finished rows to a new table with few large files, sorted for per-device range scans."""
     spark = readings.sparkSession
-    rows = readings.repartitionByRange("event_date", "device_id", "interval_start")
-    _write_readings(rows.withColumn("batch_id", F.lit(0).cast("long")), target, (0, 0))
+    _write_readings(readings.withColumn("batch_id", F.lit(0).cast("long")), target, (0, 0))
     summary = read_runs(spark, target, "readings", [(0, 0)]).agg(F.count("*").alias("inserted"))
     write_side(
         summary.select(

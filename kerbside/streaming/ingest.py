@@ -16,7 +16,7 @@ from ..functions.times import epoch_ms
 from ..operators import ingest as I
 from ..operators.scale import nearest_rank, value_at_rank
 from ..operators.wire import commit_offsets, decode
-from ..session import configure, saved, scratch
+from ..session import configure, saved, scratch, together
 from ..sources import table
 from .progress import ProgressLog
 
@@ -35,17 +35,23 @@ def ingest_batch(messages: DataFrame, batch_id: int, path: str, devices: DataFra
         stored = table.read_candidates(spark, path, firsts, batch_id)
         probed = saved(I.probe(firsts, stored), "probed")
         table.begin_batch(spark, path, batch_id)
-        table.write_batch(I.new_rows(probed).withColumn("stored_at", stored_at), path, batch_id)
-        table.write_side(I.conflicts(good, probed), path, "conflicts", batch_id)
         undecodable = decoded.filter(~F.col("is_decoded")).withColumn("reason", F.lit("undecodable"))
         columns = ["partition", "offset", "key", "value", "reason"]
-        table.write_side(undecodable.select(columns).unionByName(refused.select(columns)), path, "quarantine", batch_id)
-        table.write_side(commit_offsets(decoded), path, "offsets", batch_id)
-        summary = _summary(decoded, probed, stored_at, int((time.time() - started) * 1000))
-        table.write_side(summary, path, "batches", batch_id)
+        refused = undecodable.select(columns).unionByName(refused.select(columns))
+        summary: list[DataFrame] = []
+        together(
+            spark,
+            lambda: table.write_batch(I.new_rows(probed).withColumn("stored_at", stored_at), path, batch_id),
+            lambda: table.write_side(I.conflicts(good, probed), path, "conflicts", batch_id),
+            lambda: table.write_side(refused, path, "quarantine", batch_id),
+            lambda: table.write_side(commit_offsets(decoded), path, "offsets", batch_id),
+            lambda: summary.append(saved(_summary(decoded, probed, stored_at), "summary")),
+        )
+        flush_ms = F.lit(int((time.time() - started) * 1000))
+        table.write_side(summary[0].withColumn("flush_ms", flush_ms), path, "batches", batch_id)
 
 
-def _summary(decoded: DataFrame, probed: DataFrame, stored_at, flush_ms: int) -> DataFrame:
+def _summary(decoded: DataFrame, probed: DataFrame, stored_at) -> DataFrame:
     counts = I.counters(probed)
     seen = decoded.agg(F.count("*").alias("messages"))
     # From acceptance to storage, over the new rows: the nearest-rank median and the maximum.
@@ -63,7 +69,6 @@ def _summary(decoded: DataFrame, probed: DataFrame, stored_at, flush_ms: int) ->
         "duplicates",
         (F.col("messages") - F.col("inserted") - F.col("duplicates")).alias("skipped"),
         F.lit(0).alias("store_retries"),
-        F.lit(flush_ms).alias("flush_ms"),
         delays.select("p50").scalar().alias("delay_ms_p50"),
         delays.select("max").scalar().alias("delay_ms_max"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..session import found
 from ..sources.table import first_id, read_or_empty
 
 PANEL = "time timestamp, vehicles long, run long, batch_id long"
@@ -22,13 +23,19 @@ def live_windows(readings: DataFrame, seconds: int = 60, lateness: str = "10 min
     return sums.select(F.col("window.start").alias("time"), "vehicles")
 
 
-def start_live_panel(windows: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def start_live_panel(
+    windows: DataFrame, path: str, checkpoint: str, every: str | None = None, continues: bool = False
+) -> StreamingQuery:
     """Writes the windows changed by each batch; ``read_live_panel`` keeps the latest state of each.
 
     A checkpoint is one run: its state starts empty and its batches have ids of their own, after those of earlier runs.
-    A new checkpoint on a filled panel must continue where the old one stopped, as its sums are added.
+    As the sums of runs are added, a new checkpoint on a filled panel is refused, unless ``continues`` says that its
+    stream starts where the old one stopped. ``sources.table.read_panel`` is exact whatever is sent again.
     """
     spark = windows.sparkSession
+    is_filled = bool(found(spark, f"{path}/run=*")) and not found(spark, f"{checkpoint}/first-batch-id")
+    if is_filled and not continues:
+        raise ValueError(f"{path} holds the sums of another checkpoint; say if the stream continues after them")
     used = _read(spark, path).agg(F.coalesce(F.max("batch_id") + 1, F.lit(0)).alias("id")).first().id
     first = first_id(spark, used, checkpoint)
 

@@ -183,6 +183,26 @@ def test_log_files_in_any_encoding(spark, tmp_path, name, encoding):
     assert parsed(logs.parse_windows(logs.read_log_lines(spark, str(path), given))) == [(f"{name}.log", *EXPECTED)]
 
 
+@pytest.mark.parametrize(("folder", "pattern"), [("run={}", ""), ("host {}", "/*/x.log")])
+def test_mixed_encodings_in_several_folders(spark, tmp_path, folder, pattern):
+    """Files of one name in several folders, large enough for several splits, and an empty one."""
+    text = "\r\n".join([LINE, *["noise Ċ \u0a0a"] * 2000, LINE])
+    for name, encoding in (("a", "utf-16"), ("b", "utf-8"), ("c", "utf-8-sig"), ("d", "utf-16")):
+        (tmp_path / folder.format(name)).mkdir()
+        (tmp_path / folder.format(name) / "x.log").write_bytes(text.encode(encoding))
+    (tmp_path / folder.format("e")).mkdir()
+    (tmp_path / folder.format("e") / "x.log").write_bytes(b"")
+    small = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(small)
+    spark.conf.set(small, "8k")
+    try:
+        got = parsed(logs.parse_windows(logs.detect_log_lines(spark, f"{tmp_path}{pattern}")))
+    finally:
+        spark.conf.set(small, before)
+    names = list("abcd") if "run" in folder else [f"host%20{n}/x.log" for n in "abcd"]
+    assert sorted(got) == sorted((n, *EXPECTED) for n in names for _ in range(2))
+
+
 @pytest.mark.parametrize(("encoding", "given"), [("utf-8-sig", "UTF-8"), ("utf-16", "UTF-16LE")])
 def test_the_byte_order_mark_does_not_hide_the_first_line(spark, tmp_path, encoding, given):
     path = tmp_path / "first.log"

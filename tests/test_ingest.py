@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from kerbside.operators import ingest as I
 from kerbside.operators.scale import lookup
+from kerbside.sources.bucketed import read_bucketed, write_bucketed
 
 from .helpers import devices, messages, naive, stored, ts
 
@@ -65,6 +66,24 @@ def test_a_device_table_too_large_to_broadcast_gives_the_same_rows(spark, rows):
         assert rows(salted) == rows(lookup(fact, dim, "device_id", how))
 
 
+def test_bucketed_tables_are_joined_where_they_lie(spark, rows):
+    fact = spark.range(3000).select(F.concat(F.lit("d"), F.col("id") % 50).alias("device_id"), "id")
+    dim = spark.range(40).select(F.concat(F.lit("d"), "id").alias("device_id"), F.lit(15).alias("interval_seconds"))
+    names = ("bucketed_readings", "bucketed_devices")
+    try:
+        for name, df in zip(names, (fact, dim), strict=True):
+            write_bucketed(df, name, "device_id", 6)
+        sides = [read_bucketed(spark, name) for name in names]
+        for how in ("left", "inner", "left_anti"):
+            joined = lookup(*sides, "device_id", how, max_bytes=0)
+            assert rows(joined) == rows(lookup(fact, dim, "device_id", how))
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan and "_salt" not in plan
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_reconcile(spark):
     a = stored(spark, ("d", T0, 1), ("d", T1, 2))
     assert tuple(I.reconcile(a, a).first()) == (2, 3, 2, 3, True)

@@ -1,4 +1,6 @@
+import csv
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +105,39 @@ def test_table_profile(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).repartition(3).write.parquet(path)
     size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
-    row = S.table_profile(spark.read.parquet(path)).first()
+    profile = S.table_profile(spark, path)
+    row = profile.first()
     assert (row.rows_approx, row.index_mib) == (1000, None)
     assert row.total_mib == round(size / 2**20, 1)
+    # The counts of the footers, and no column.
+    plan = profile._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and "content" not in plan
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_quoted_csv_is_read_by_many_tasks(spark, tmp_path, seed):
+    """One file in splits of a few kilobytes: cells with quotes, separators, line breaks and blank lines inside."""
+    rng = random.Random(seed)
+    cells = ["", "7", "a,b", 'say "x"', "two\nlines", "\r\n", '"', "é\n\n\nü", " "]
+    table = [[rng.choice(cells) for _ in SAMPLE_COLUMNS] for _ in range(1500)]
+    for row in table:
+        row[0] = rng.choice(("t", "long " * 50 + "\n" + '"' * rng.randint(0, 5)))
+    path = tmp_path / "large.csv"
+    with path.open("w", newline="", encoding="utf-8") as out:
+        writer = csv.writer(out, lineterminator=rng.choice(("\n", "\r\n")))
+        writer.writerow(SAMPLE_COLUMNS)
+        for i, row in enumerate(table):
+            writer.writerow(row)
+            if i % 100 == 0:
+                out.write("\n")
+    small, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(small, "16k")
+    try:
+        read = sample_csv.read_samples(spark, str(path))
+        got = [tuple(c or "" for c in r) for r in read.collect()]
+        assert spark.read.text(str(path)).rdd.getNumPartitions() > 10
+        numbers = sample_csv.records(spark, str(path)).select("record").collect()
+    finally:
+        spark.conf.set(small, before)
+    assert sorted(got) == sorted(tuple(row) for row in table)
+    assert sorted(r.record for r in numbers) == list(range(1, len(numbers) + 1))

@@ -200,7 +200,11 @@ def test_a_new_checkpoint_keeps_the_totals_of_the_panel(spark, tmp_path):
     for part, counts in enumerate(([3, 4], [5], [1, 2, 6])):
         spark.createDataFrame([("a", later(T0, 15 * i), n) for i, n in enumerate(counts)], schema).write.parquet(f"{folder}/in{part}")
         stream = spark.readStream.schema(schema).parquet(f"{folder}/in{part}")
-        live.start_live_panel(live.live_windows(stream), f"{folder}/panel", f"{folder}/checkpoint{part}").awaitTermination()
+        start = [live.live_windows(stream), f"{folder}/panel", f"{folder}/checkpoint{part}"]
+        if part:
+            with pytest.raises(ValueError, match="another checkpoint"):
+                live.start_live_panel(*start)
+        live.start_live_panel(*start, continues=part > 0).awaitTermination()
     assert [r.vehicles for r in live.read_live_panel(spark, f"{folder}/panel").collect()] == [21]
 
 
