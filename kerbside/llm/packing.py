@@ -28,6 +28,8 @@ from ..session import saved
 from .common import sized, small_batches
 
 WINDOW, PACKET, END = 2048, 256, 1
+#: Ids in a batch that a task sends on.
+OUT_IDS = 1 << 24
 #: The ranks of the vocabulary byte_bpe_50k.json; both libraries give the same ids for it, this one sooner.
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -134,23 +136,39 @@ def streamed(queues: DataFrame, window: int, packet: int) -> DataFrame:
     return placed.select("key", "start", (F.col("base") + F.col("within")).alias("pos"))
 
 
-def pieces(starts: np.ndarray, pos: np.ndarray, n: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First token, length and stream position of a document's pieces.
+def pieces(doc: np.ndarray, starts: np.ndarray, pos: np.ndarray, n: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """Document, first token, length and stream position of the pieces of some documents, in the order of their tokens.
 
-    Packets that follow each other in the stream become one piece; a piece ends where its sequence does.
+    ``doc`` numbers the documents of ``n`` tokens each, ``starts`` and ``pos`` are their packets. Packets that follow each
+    other in the stream become one piece; a piece ends where its sequence does.
     """
-    order = np.argsort(starts)
-    starts, pos = starts[order], pos[order]
-    sizes = np.diff(starts, append=n)
-    begins = np.append(True, pos[1:] != pos[:-1] + sizes[:-1])
-    starts, pos = starts[begins], pos[begins]
-    sizes = np.diff(starts, append=n)
-    first, parts = pos // window, (pos + sizes - 1) // window - pos // window + 1
+
+    def sizes() -> np.ndarray:
+        last = np.append(doc[1:] != doc[:-1], True)
+        return np.where(last, n[doc], np.append(starts[1:], 0)) - starts
+
+    order = np.lexsort((starts, doc))
+    doc, starts, pos = doc[order], starts[order], pos[order]
+    size = sizes()
+    begins = np.append(True, (doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1] + size[:-1]))
+    doc, starts, pos = doc[begins], starts[begins], pos[begins]
+    size = sizes()
+    first, parts = pos // window, (pos + size - 1) // window - pos // window + 1
     of = np.repeat(np.arange(len(starts)), parts)
     nth = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
     at = np.maximum(pos[of], (first[of] + nth) * window)
-    stop = np.minimum(pos[of] + sizes[of], (first[of] + nth + 1) * window)
-    return starts[of] + at - pos[of], stop - at, at
+    stop = np.minimum(pos[of] + size[of], (first[of] + nth + 1) * window)
+    return doc[of], starts[of] + at - pos[of], stop - at, at
+
+
+def wide_ids(blobs: pa.BinaryArray, n: np.ndarray) -> np.ndarray:
+    """The ids of all documents of a batch, one after the other, as numbers of four bytes."""
+    bounds = np.frombuffer(blobs.buffers()[1], "<i4")[blobs.offset : blobs.offset + len(blobs) + 1]
+    data = memoryview(blobs.buffers()[2])
+    if bounds[-1] - bounds[0] == 2 * n.sum():
+        return np.frombuffer(data[bounds[0] : bounds[-1]], "<u2").astype("<u4")
+    parts = zip(bounds[:-1].tolist(), bounds[1:].tolist(), n.tolist(), strict=True)
+    return np.concatenate([np.frombuffer(data[a:b], "<u2" if b - a == 2 * k else "<u4").astype("<u4") for a, b, k in parts])
 
 
 def pack(
@@ -177,27 +195,27 @@ def pack(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, starts, lengths, at, blobs = [], [], [], [], []
-            for i in range(batch.num_rows):
-                n, blob = batch.column(1)[i].as_py(), batch.column(2)[i].as_buffer()
-                ids = np.frombuffer(blob, "<u2" if blob.size == 2 * n else "<u4").astype("<u4")
-                first, pos = (batch.column(c)[i].values.to_numpy() for c in (3, 4))
-                first, length, pos = pieces(first, pos, n, window)
-                doc += [i] * len(first)
-                starts.append(first)
-                lengths.append(length)
-                at.append(pos)
-                blobs += [ids[a : a + b].tobytes() for a, b in zip(first.tolist(), length.tolist(), strict=True)]
-            if doc:
-                pos = np.concatenate(at)
+            n, lists = batch.column(1).to_numpy(), batch.column(3)
+            doc = np.repeat(np.arange(len(n)), np.diff(lists.offsets.to_numpy()))
+            doc, starts, length, pos = pieces(doc, lists.flatten().to_numpy(), batch.column(4).flatten().to_numpy(), n, window)
+            ids = wide_ids(batch.column(2), n)
+            # In this order the pieces' ids are the documents' ids; a batch sent on has a bounded number of them.
+            ends = np.cumsum(length)
+            for part in np.split(np.arange(len(doc)), np.flatnonzero(np.diff(ends // OUT_IDS)) + 1):
+                if not len(part):
+                    continue
+                base = ends[part[0]] - length[part[0]]
+                bounds = np.append(0, ends[part] - base).astype("<i4") * 4
+                data = pa.py_buffer(ids[base : ends[part[-1]]])
+                of = pa.array(doc[part])
                 columns = [
-                    batch.column(0).take(pa.array(doc)),
-                    pa.array(np.concatenate(starts)),
-                    pa.array(np.concatenate(lengths)),
-                    batch.column(1).take(pa.array(doc)),
-                    pa.array(pos // window),
-                    pa.array(pos % window),
-                    pa.array(blobs, pa.binary()),
+                    batch.column(0).take(of),
+                    pa.array(starts[part]),
+                    pa.array(length[part]),
+                    batch.column(1).take(of),
+                    pa.array(pos[part] // window),
+                    pa.array(pos[part] % window),
+                    pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(bounds), data]),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, PIECE)
 

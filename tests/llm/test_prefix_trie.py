@@ -3,7 +3,6 @@ import random
 import zlib
 from collections import defaultdict
 
-import pytest
 from pyspark.sql import functions as F
 
 from kerbside.llm import prefix_trie
@@ -66,43 +65,35 @@ def brute(rows):
     return sorted(out, key=repr)
 
 
-def found(spark, rows):
-    got = prefix_trie.trie(spark.createDataFrame(rows, TURNS).repartition(3))
+def found(conversations):
+    got = prefix_trie.trie(conversations.repartition(3))
     assert [t for c, t in got.dtypes if c != "ends_sha256"] == ["bigint"] * 7
     return sorted(map(tuple, got.collect()), key=repr)
 
 
-@pytest.mark.parametrize("short", [prefix_trie.SHORT, 0])
-def test_equals_brute_force(spark, monkeypatch, short):
-    """With the prefix hashes in the strings' rows, and with look-ups by depth."""
-    monkeypatch.setattr(prefix_trie, "SHORT", short)
+def test_equals_brute_force(spark):
+    """Nulls, ties, repeated rows, a long text, copies with ids far apart, and columns named like those inside."""
     rows = conversations(1, 90)
     rows += [(None, 1, "user", "nobody's"), (777, 5, "user", "again"), (777, 5, "user", "again"), (778, None, None, "x" * 2_000_000)]
-    assert found(spark, rows) == brute(rows)
+    rows += [(10**6 + i * 10_000, turn, "user", f"hello {turn}") for i in range(40) for turn in range(2)]
+    docs = spark.createDataFrame(rows, TURNS).selectExpr("*", "'x' as rep", "1 as d", "2 as n", "3 as depth", "4 as e")
+    assert found(docs) == brute(rows)
 
 
-@pytest.mark.parametrize("short", [prefix_trie.SHORT, 0])
-def test_long_chains_and_far_ids(spark, monkeypatch, short):
-    monkeypatch.setattr(prefix_trie, "SHORT", short)
+def test_long_chains_by_look_ups(spark, monkeypatch):
+    """As for strings that are too long to carry their prefix hashes."""
+    monkeypatch.setattr(prefix_trie, "SHORT", 0)
     rng = random.Random(2)
     chain = [("user", sentence(rng, 2)) for _ in range(70)]
     rows = []
     for i in range(25):
         path = chain[: rng.randint(1, 70)] + [("assistant", sentence(rng, 1)) for _ in range(rng.randint(0, 3))]
         rows += [(i * 5 * 10**9, t, role, text) for t, (role, text) in enumerate(path)]
-    assert found(spark, rows) == brute(rows)
+    assert found(spark.createDataFrame(rows, TURNS)) == brute(rows)
 
 
-def test_copies_are_hashed_in_pieces(spark):
-    rows = [(i * 1000, 0, "user", "hello") for i in range(60)] + [(i * 1000, 1, "user", "there") for i in range(60)]
-    assert found(spark, rows) == brute(rows)
-
-
-def test_nothing_and_other_columns(spark):
-    assert found(spark, []) == []
-    rows = conversations(4, 12)
-    more = spark.createDataFrame(rows, TURNS).selectExpr("*", "'x' as rep", "1 as d", "2 as n", "3 as depth", "4 as e")
-    assert sorted(map(tuple, prefix_trie.trie(more).collect()), key=repr) == brute(rows)
+def test_an_empty_table_has_no_node(spark):
+    assert found(spark.createDataFrame([], TURNS)) == []
 
 
 def test_fattest_number(spark):
