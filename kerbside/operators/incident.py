@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import epoch_ms, from_ms, window_start_ms
 from ..session import saved
-from .scale import neighbours, running_sum, spread, time_chunk, upper_median, value_at_rank
+from .scale import broadcast_limit, neighbours, plan_bytes, running_sum, spread, time_chunk, upper_median, value_at_rank
 
 CYCLE_MS = 15_000
 MINUTE_MS = 60_000
@@ -40,13 +40,20 @@ def placed(windows: DataFrame, run: list[str]) -> DataFrame:
     All further questions read the result several times, so it is saved once.
     """
     base = saved(windows.withColumn("chunk", time_chunk("end")).withColumn("end_ms", epoch_ms("end")), "windows")
-    windows = base.select(*windows.columns)
-    lengths = window_length(windows, run)
-    sized = spread(base, lengths, run) if run else base.withColumn("len_ms", lengths.scalar())
-    at = sized.withColumn("start_ms", window_start_ms("end_ms", "len_ms")).withColumn("errors", errors())
+    lengths = saved(window_length(base.select(*windows.columns), run), "lengths")
+    at = attached(base, lengths, run).withColumn("start_ms", window_start_ms("end_ms", "len_ms")).withColumn("errors", errors())
     return saved(at, "placed-windows")
 
 
+def attached(at: DataFrame, facts: DataFrame, run: list[str]) -> DataFrame:
+    """Windows with the saved facts of their run: one row per run, broadcast if they are small."""
+    if not run:
+        return at.crossJoin(F.broadcast(facts))  # one row
+    if plan_bytes(facts) <= broadcast_limit(facts):
+        return at.join(F.broadcast(facts), run)
+    return spread(at, facts, run)
+
+
 def totals(windows: DataFrame, run: list[str]) -> DataFrame:
     return windows.groupBy(*run).agg(
         F.count("*").alias("windows"),
@@ -74,40 +81,42 @@ def error_span(at: DataFrame, run: list[str]) -> DataFrame:
     return span.withColumn("duration_ms", F.col("last_ms") - F.col("first_ms"))
 
 
+def run_facts(at: DataFrame, run: list[str]) -> DataFrame:
+    """``first_end_ms, last_end_ms, normal, median_p99`` per run, saved; see ``normal_backlog``.
+
+    Both medians come from one selection, over (run, column).
+    """
+    span = saved(error_span(at, run).select(*run, "first_end_ms", "last_end_ms"), "spans")
+    early = F.col("end_ms") < F.col("first_end_ms")
+    highest = attached(at, span, run).groupBy(*run).agg(
+        F.max("first_end_ms").alias("first_end_ms"),
+        F.max("last_end_ms").alias("last_end_ms"),
+        F.max(F.when(early, F.col("buffered"))).alias("_highest"),
+    )
+    both = F.explode(F.create_map(F.lit("buffered"), "buffered", F.lit("p99"), "p99")).alias("_column", "_value")
+    middle = value_at_rank(at.select(*run, both), [*run, "_column"], "_value", {"_middle": upper_median()})
+    of = {c: F.max(F.when(F.col("_column") == c, F.col("_middle"))) for c in ("buffered", "p99")}
+    middle = middle.groupBy(*run).agg(of["buffered"].alias("_calm"), of["p99"].alias("median_p99"))
+    facts = highest.join(middle, run, "left") if run else highest.crossJoin(F.broadcast(middle))  # one row each
+    normal = F.when(F.col("first_end_ms").isNull(), F.col("_calm")).otherwise(F.greatest(F.lit(0), "_highest"))
+    normal = F.coalesce(normal, F.lit(0)).cast("long").alias("normal")
+    return saved(facts.select(*run, "first_end_ms", "last_end_ms", normal, "median_p99"), "facts")
+
+
 def normal_backlog(at: DataFrame, run: list[str]) -> DataFrame:
     """``normal`` per run: the highest backlog before the first error, or the upper median of a run without errors."""
-    span = error_span(at, run).select(*run, F.col("first_end_ms"))
-    marked = spread(at, span, run) if run else at.withColumn("first_end_ms", span.scalar())
-    early = F.col("first_end_ms").isNotNull() & (F.col("end_ms") < F.col("first_end_ms"))
-    highest = marked.groupBy(*run).agg(
-        F.max("first_end_ms").alias("_first"), F.max(F.when(early, F.col("buffered"))).alias("_highest")
-    )
-    calm = value_at_rank(at, run, "buffered", {"_median": upper_median()}).drop("n")
-    both = highest.join(calm, run, "left") if run else highest.withColumn("_median", calm.scalar())
-    normal = F.when(F.col("_first").isNull(), F.col("_median")).otherwise(F.greatest(F.lit(0), "_highest"))
-    return both.select(*run, F.coalesce(normal, F.lit(0)).cast("long").alias("normal"))
+    return run_facts(at, run).select(*run, "normal")
 
 
 def recovery(at: DataFrame, run: list[str]) -> DataFrame:
     """When the backlog was back to normal after the last error; NULL when it never was or nothing failed."""
-    span = error_span(at, run)
-    normal = normal_backlog(at, run)
-    if run:
-        facts = span.join(normal, run, "inner")
-        marked = spread(at, facts.select(*run, "last_end_ms", "normal"), run)
-    else:
-        facts = span.withColumn("normal", normal.scalar())
-        marked = at.withColumn("last_end_ms", span.select("last_end_ms").scalar()).withColumn("normal", normal.scalar())
     back = (F.col("end_ms") > F.col("last_end_ms")) & (F.col("buffered") <= F.col("normal"))
-    cleared = marked.groupBy(*run).agg(F.min(F.when(back, F.col("end_ms"))).alias("cleared_ms"))
-    out = facts.join(cleared, run, "left") if run else facts.withColumn("cleared_ms", cleared.scalar())
-    return out.select(
-        *run,
-        "normal",
-        "last_end_ms",
-        "cleared_ms",
-        (F.col("cleared_ms") - F.col("last_end_ms")).alias("recovery_ms"),
+    cleared = attached(at, run_facts(at, run), run).groupBy(*run).agg(
+        F.max("normal").alias("normal"),
+        F.max("last_end_ms").alias("last_end_ms"),
+        F.min(F.when(back, F.col("end_ms"))).alias("cleared_ms"),
     )
+    return cleared.withColumn("recovery_ms", F.col("cleared_ms") - F.col("last_end_ms"))
 
 
 def post_restore(at: DataFrame, run: list[str], restored_at) -> DataFrame:
@@ -138,12 +147,8 @@ def phase_profile(at: DataFrame, run: list[str], cycle_ms: int = CYCLE_MS, perio
 
 def shown_windows(at: DataFrame, run: list[str]) -> DataFrame:
     """Adds ``shown``: the window or a direct neighbour has errors, a backlog or a p99 well above the median."""
-    normal = normal_backlog(at, run)
-    middle = value_at_rank(at, run, "p99", {"median_p99": upper_median()}).drop("n")
-    if run:
-        marked = spread(at, normal.join(middle, run, "inner"), run)
-    else:
-        marked = at.withColumn("normal", normal.scalar()).withColumn("median_p99", middle.scalar())
+    facts = run_facts(at, run).select(*run, "normal", "median_p99")
+    marked = attached(at, facts, run)
     loud = (
         (F.col("errors") > 0)
         | (F.col("buffered") > F.col("normal"))

@@ -1,5 +1,8 @@
 """Registered streaming queries. The topic is written from the tables, drained, extended and drained again."""
 
+import threading
+from collections import defaultdict
+
 from pyspark.sql import functions as F
 
 from ..functions.times import bin_start
@@ -65,14 +68,15 @@ def _cut(spark, sf):
     return root
 
 
-_runs = {}
+_runs, _locks = {}, defaultdict(threading.Lock)
 
 
 def _shared(spark, sf, run):
-    """The folder of a run that several queries look at; it runs once in a session."""
+    """The folder of a run that several queries look at; it runs once in a session, also when they start together."""
     key = (spark.sparkContext.applicationId, sf, run.__name__)
-    if key not in _runs:
-        _runs[key] = run(spark, sf)
+    with _locks[key]:
+        if key not in _runs:
+            _runs[key] = run(spark, sf)
     return _runs[key]
 
 
