@@ -52,7 +52,7 @@ def _late(spark, sf):
     return _in_parts(spark, sf, F.coalesce(received >= F.lit(X.HALF).cast("timestamp"), F.lit(False)))
 
 
-CUTS = 12
+CUTS = 10
 
 
 def _limit(spark, sf):
