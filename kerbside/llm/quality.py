@@ -4,6 +4,11 @@ A sketch is a histogram over log-linear buckets: whole numbers below 64 have a b
 leading bits, so a quantile is off by 1/32 of itself at most. Sketches merge by adding counts, give the same result in any
 order, and hold a few hundred rows whatever they have seen. A group of fewer than ``LEAST`` documents takes the merged
 sketch of its language, and below that, of all documents.
+
+All limits are quantiles of the sketch, none is a number of its own. Word lengths may lie ``RANGES`` quartile ranges outside
+the quartiles. Of the other metrics most documents have none, so both quartiles are 0; there a document goes if it is in the
+highest 1 of ``TAIL`` documents of its group and in the highest quarter of those that have any. Ties stand or fall together: a
+bucket that reaches below the limit stays.
 """
 
 from functools import reduce
@@ -16,10 +21,10 @@ from .common import SPACED, null_join
 
 #: Base rules: fewest words, most words in repeated windows (per 100), words of a window.
 LEAST_WORDS, MOST_REPEATED, WINDOW = 20, 30, 8
-#: Documents a group needs for thresholds of its own, and how many quartile ranges a document may lie outside.
-LEAST, RANGES = 100, 3
-#: The metrics, in thousandths, and the least distance from the quartiles that counts as outside.
-SPREAD = {"symbols": 200, "word_length": 2000, "dup_lines": 350, "repeated": 250, "shouted": 500}
+#: Documents a group needs for thresholds of its own, quartile ranges a document may lie outside, documents to one of the tail.
+LEAST, RANGES, TAIL = 100, 3, 20
+#: The metric that has limits on both sides.
+CENTRED = "word_length"
 LEADING_BITS = 6
 
 
@@ -86,10 +91,15 @@ def metrics() -> dict[str, Column]:
     }
 
 
+def _width(x: Column) -> Column:
+    """Numbers in the bucket of x >= 0."""
+    cut = F.length(F.bin(x)) - LEADING_BITS
+    return F.when(cut <= 0, F.lit(1).cast("long")).otherwise(F.pow(F.lit(2), cut).cast("long"))
+
+
 def bucket(x: Column) -> Column:
     """The lowest number of the bucket that holds x >= 0."""
-    cut = F.length(F.bin(x)) - LEADING_BITS
-    return F.when(cut <= 0, x).otherwise(F.expr("0").cast("long") + x - F.pmod(x, F.pow(F.lit(2), cut).cast("long")))
+    return x - F.pmod(x, _width(x))
 
 
 def sketches(rows: DataFrame) -> DataFrame:
@@ -100,31 +110,43 @@ def sketches(rows: DataFrame) -> DataFrame:
     return values.groupBy("lang", "source", "metric", "bucket").agg(F.count("*").alias("n"))
 
 
-def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """``(keys, metric, n, q1, q3)`` of the sketches merged by the keys."""
+def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, metric, n, q)`` of the sketches merged by the keys: the quartiles ``q.q1, q.q3``, ``q.tail``, the lowest bucket
+    that leaves at most 1 of ``TAIL`` above, and ``q.top``, the upper quartile of the values above 0, null if there are none."""
     merged = sketch.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "metric")
     merged = merged.withColumn("upto", F.sum("n").over(group.orderBy("bucket"))).withColumn("all", F.sum("n").over(group))
+    merged = merged.withColumn("some", F.sum(F.when(F.col("bucket") > 0, F.col("n")).otherwise(0)).over(group))
+    none = F.col("all") - F.col("some")
+    first = lambda condition: F.min(F.when(condition, F.col("bucket")))
     return merged.groupBy(*keys, "metric").agg(
         F.max("all").alias("n"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("all"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("all") * 3, F.col("bucket"))).alias("q3"),
+        F.struct(
+            first(F.col("upto") * 4 >= F.col("all")).alias("q1"),
+            first(F.col("upto") * 4 >= F.col("all") * 3).alias("q3"),
+            first(F.col("upto") * TAIL >= F.col("all") * (TAIL - 1)).alias("tail"),
+            first((F.col("bucket") > 0) & ((F.col("upto") - none) * 4 >= F.col("some") * 3)).alias("top"),
+        ).alias("q"),
     )
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
-    """One row per language and source with ``low_<metric>`` and ``high_<metric>``."""
-    own = quartiles(sketch, ["lang", "source"])
-    lang = quartiles(sketch, ["lang"]).selectExpr("lang as l", "metric as lm", "n as ln", "q1 as lq1", "q3 as lq3")
-    every = quartiles(sketch, []).selectExpr("metric as am", "q1 as aq1", "q3 as aq3")
+    """One row per language and source with ``low_<metric>`` and ``high_<metric>``; what is below low, or high or more, goes."""
+    own = quantiles(sketch, ["lang", "source"])
+    lang = quantiles(sketch, ["lang"]).selectExpr("lang as l", "metric as lm", "n as ln", "q as lq")
+    every = quantiles(sketch, []).selectExpr("metric as am", "q as aq")
     t = own.join(lang, own["lang"].eqNullSafe(lang["l"]) & (own["metric"] == lang["lm"]))
     t = t.join(every, t["metric"] == every["am"])
-    choose = lambda q: F.when(F.col("n") >= LEAST, F.col(q)).when(F.col("ln") >= LEAST, F.col("l" + q)).otherwise(F.col("a" + q))
-    t = t.select("lang", "source", "metric", choose("q1").alias("q1"), choose("q3").alias("q3"))
-    spread = F.create_map(*[F.lit(x) for m, s in SPREAD.items() for x in (m, s)])[F.col("metric")]
-    reach = RANGES * (F.col("q3") - F.col("q1")) + spread
-    t = t.select("lang", "source", "metric", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high"))
-    ends = [F.max(F.when(F.col("metric") == m, F.col(e))).alias(f"{e}_{m}") for m in SPREAD for e in ("low", "high")]
+    q = F.when(F.col("n") >= LEAST, F.col("q")).when(F.col("ln") >= LEAST, F.col("lq")).otherwise(F.col("aq"))
+    t = t.select("lang", "source", "metric", q.alias("q")).select("lang", "source", "metric", "q.*")
+    upper = F.col("q3") + _width(F.col("q3"))
+    reach = RANGES * (upper - F.col("q1"))
+    above = F.col("tail") + _width(F.col("tail"))
+    centred = F.col("metric") == CENTRED
+    low = F.when(centred, F.col("q1") - reach)
+    high = F.when(centred, upper + reach).otherwise(F.greatest(above, "top"))
+    t = t.select("lang", "source", "metric", low.alias("low"), high.alias("high"))
+    ends = [F.max(F.when(F.col("metric") == m, F.col(e))).alias(f"{e}_{m}") for m in metrics() for e in ("low", "high")]
     return t.groupBy("lang", "source").agg(*ends)
 
 
@@ -132,7 +154,8 @@ def judge(docs: DataFrame) -> DataFrame:
     """Per document: ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept``.
 
     Null and empty texts have no words and fail the base rules. Null languages and sources are groups of their own.
-    Repeated rows are judged alike. Only narrow features are written, read twice and joined with a row per group.
+    Repeated rows and ties are judged alike. Texts are worked on whole, one row at a time, however long; extra columns are left
+    out, whatever their names. Only narrow features are written, read twice and joined with a row per group.
     """
     rows = saved(features(docs), "features")
     limits = saved(thresholds(sketches(rows)), "thresholds")
@@ -140,7 +163,7 @@ def judge(docs: DataFrame) -> DataFrame:
     out = null_join(rows, limits, ["lang", "source"], "left")
     inside = reduce(
         lambda a, b: a & b,
-        [F.coalesce((x >= F.col(f"low_{m}")) & (x <= F.col(f"high_{m}")), F.lit(True)) for m, x in metrics().items()],
+        [F.coalesce(x >= F.col(f"low_{m}"), F.lit(True)) & F.coalesce(x < F.col(f"high_{m}"), F.lit(True)) for m, x in metrics().items()],
     )
     return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",

@@ -71,11 +71,11 @@ f AS (
 j AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f),
 m AS (
   SELECT r, base_failed, lang, source, unnest([
-    {'metric': 'symbols', 'x': 1000 * n_symbols // nullif(n_words, 0), 's': 200},
-    {'metric': 'word_length', 'x': 1000 * word_chars // nullif(n_words, 0), 's': 2000},
-    {'metric': 'dup_lines', 'x': 1000 * n_dup_lines // nullif(n_lines, 0), 's': 350},
-    {'metric': 'repeated', 'x': 1000 * n_repeat_words // nullif(n_words, 0), 's': 250},
-    {'metric': 'shouted', 'x': 1000 * n_shouts // nullif(n_words, 0), 's': 500}], recursive := true) FROM j),
+    {'metric': 'symbols', 'x': 1000 * n_symbols // nullif(n_words, 0)},
+    {'metric': 'word_length', 'x': 1000 * word_chars // nullif(n_words, 0)},
+    {'metric': 'dup_lines', 'x': 1000 * n_dup_lines // nullif(n_lines, 0)},
+    {'metric': 'repeated', 'x': 1000 * n_repeat_words // nullif(n_words, 0)},
+    {'metric': 'shouted', 'x': 1000 * n_shouts // nullif(n_words, 0)}], recursive := true) FROM j),
 h AS (
   SELECT lang, source, metric, CASE WHEN x < 64 THEN x ELSE (x >> (length(bin(x)) - 6)) << (length(bin(x)) - 6) END AS bucket, count(*) AS n
   FROM m WHERE NOT base_failed AND x IS NOT NULL GROUP BY ALL),
@@ -85,19 +85,21 @@ levels AS (
   UNION ALL SELECT 3, NULL, NULL, metric, bucket, sum(n) FROM h GROUP BY ALL),
 c AS (
   SELECT *, sum(n) OVER (PARTITION BY level, lang, source, metric ORDER BY bucket) AS upto,
-    sum(n) OVER (PARTITION BY level, lang, source, metric) AS total FROM levels),
+    sum(n) OVER (PARTITION BY level, lang, source, metric) AS total,
+    coalesce(sum(n) FILTER (bucket > 0) OVER (PARTITION BY level, lang, source, metric), 0) AS positives,
+    bucket + CASE WHEN bucket < 64 THEN 1 ELSE 1::BIGINT << (length(bin(bucket)) - 6) END AS upper FROM levels),
 q AS (
-  SELECT level, lang, source, metric, max(total) AS n, min(bucket) FILTER (upto * 4 >= total) AS q1,
-    min(bucket) FILTER (upto * 4 >= total * 3) AS q3 FROM c GROUP BY ALL),
+  SELECT level, lang, source, metric, max(total) AS n, {
+    'q1': min(bucket) FILTER (upto * 4 >= total), 'q3': min(upper) FILTER (upto * 4 >= total * 3),
+    'tail': min(upper) FILTER (upto * 20 >= total * 19),
+    'top': min(bucket) FILTER (bucket > 0 AND (upto - total + positives) * 4 >= positives * 3)} AS q FROM c GROUP BY ALL),
 t AS (
-  SELECT o.lang, o.source, o.metric,
-    CASE WHEN o.n >= 100 THEN o.q1 WHEN l.n >= 100 THEN l.q1 ELSE a.q1 END AS q1,
-    CASE WHEN o.n >= 100 THEN o.q3 WHEN l.n >= 100 THEN l.q3 ELSE a.q3 END AS q3
+  SELECT o.lang, o.source, o.metric, unnest(CASE WHEN o.n >= 100 THEN o.q WHEN l.n >= 100 THEN l.q ELSE a.q END)
   FROM q o JOIN q l ON l.level = 2 AND l.lang IS NOT DISTINCT FROM o.lang AND l.metric = o.metric
   JOIN q a ON a.level = 3 AND a.metric = o.metric WHERE o.level = 1),
 outside AS (
   SELECT DISTINCT r FROM m JOIN t ON t.lang IS NOT DISTINCT FROM m.lang AND t.source IS NOT DISTINCT FROM m.source AND t.metric = m.metric
-  WHERE x < q1 - 3 * (q3 - q1) - s OR x > q3 + 3 * (q3 - q1) + s)
+  WHERE CASE WHEN t.metric = 'word_length' THEN x < q1 - 3 * (q3 - q1) OR x >= q3 + 3 * (q3 - q1) ELSE x >= greatest(tail, top) END)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND r NOT IN (SELECT r FROM outside) AS kept FROM j
 """

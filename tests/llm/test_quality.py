@@ -1,11 +1,12 @@
+import random
+
 import duckdb
 import pandas as pd
 
 from kerbside.llm import quality, sql
+from kerbside.session import saved
 
-from .corpus import corpus, sentence, table
-
-import random
+from .corpus import corpus, sentence, table, word
 
 
 def case():
@@ -48,3 +49,41 @@ def test_buckets_keep_six_leading_bits(spark):
     for g in got:
         shift = max(g.id.bit_length() - 6, 0)
         assert g.b == g.id >> shift << shift
+
+
+def noisy(rng, level):
+    """A text whose metrics all grow with the level."""
+    words = [w + ("#" * rng.randint(0, 2) + "!" * rng.randint(0, 2)) * level for w in sentence(rng, 60).split()]
+    lines = [" ".join(words[i : i + 6]) for i in range(0, 60, 6)]
+    lines += [f"{word(rng)} {word(rng)}"] * rng.randint(0, 2 * level) + [" ".join(words[:10])] * rng.randint(0, level)
+    return "\n".join(lines)
+
+
+def test_every_limit_follows_its_source(spark):
+    rng = random.Random(12)
+    rows = [(i, noisy(rng, 1 + i % 2), "en", "ab"[i % 2]) for i in range(600)]
+    # The same texts under sources too small for limits of their own take those of the language.
+    rows += [(1000 + i, text, "en", f"s{i}") for i, text, *_ in rows[:6]]
+    features = saved(quality.features(table(spark, rows)), "features")
+    limits = {t.source: t.asDict() for t in quality.thresholds(quality.sketches(features)).collect()}
+    for metric in quality.metrics():
+        assert limits["a"][f"high_{metric}"] < limits["b"][f"high_{metric}"], metric
+        assert limits["a"][f"high_{metric}"] < limits["s0"][f"high_{metric}"], metric
+    assert all(limits["s0"][k] == limits["s5"][k] for k in limits["s0"] if k != "source")
+
+
+def test_at_most_the_tail_goes_by_a_limit_and_ties_stay_together(spark):
+    rng = random.Random(13)
+    texts = [f"{sentence(rng, 40)}{' ?' * (i % 40 == 0)}{' !' * 30 * (i % 80 == 0)}" for i in range(800)]
+    got = {g.doc_id: g.kept for g in quality.judge(table(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).collect()}
+    gone = {i for i, kept in got.items() if not kept}
+    assert gone >= {i for i in range(800) if i % 80 == 0} and len(gone) <= 800 // quality.TAIL
+    assert quality.judge(table(spark, [(i, texts[1], "en", "a") for i in range(200)])).filter("kept").count() == 200
+
+
+def test_texts_of_megabytes(spark):
+    rng = random.Random(14)
+    rows = [(i, sentence(rng, 40), "en", "a") for i in range(120)]
+    rows += [(200, sentence(rng, 100_000), "en", "a"), (201, "tu " * 300_000, "en", "a"), (202, "x" * 2_000_000, "en", "a")]
+    got = {g.doc_id: (g.n_words, g.n_repeat_words, g.base_failed) for g in quality.judge(table(spark, rows)).collect()}
+    assert got[200][0] == 100_000 and got[201] == (300_000, 300_000, True) and got[202] == (1, 0, True)
