@@ -6,8 +6,8 @@ candidates, exact Jaccard similarity of 0.8 or more makes a link, and of each co
 
 The numbers of bands and rows come from ``tune``: the fewest bands that find a pair at the threshold with the wanted
 probability. Members of a band's bucket are verified against its first member; only those that are not similar to it meet
-all other members. So a group of near-copies is linked by a star, and no link between other members is lost;
-in a large group of moderately similar paragraphs, those that meet all others are many.
+the other members, and only members that the stars do not connect with them already, and whose sketches allow the similarity.
+So a group of near-copies is linked by a star, and no connection between other members is lost.
 
 Passages that repeat inside longer paragraphs: every run of ``PASSAGE`` words that a document with a lower id has, too, goes,
 so of a longer shared passage all words go. Sampled runs are the candidate search only: runs of ``SAMPLED`` words that start
@@ -16,6 +16,8 @@ sampled runs that several documents have, all runs of ``PASSAGE`` words are hash
 """
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ SHINGLE, THRESHOLD, RECALL, ROWS = 5, 0.8, 0.999, 3
 PASSAGE = 26
 #: Words of a sampled run. It follows the anchor of the first ``PASSAGE - SAMPLED + 1`` words of a passage.
 SAMPLED = PASSAGE // 2
+#: Words of 64 bits in the sketch of a paragraph.
+SKETCH = 4
 #: Bytes of text that are worked on at once.
 PIECE = 2 << 20
 
@@ -85,53 +89,62 @@ def bands(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return keys
 
 
-def _pieces(batch: pa.RecordBatch, lines: bool) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
-    """Rows, line numbers and texts of a batch ``(doc_id, text_hash, text)``, some megabytes at a time."""
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """Rows, line numbers and lines of a batch ``(doc_id, text_hash, text)``, whole texts of some megabytes at a time."""
     row, line, texts, size = [], [], [], 0
     for i, text in enumerate(batch.column(2).cast(pa.binary()).to_pylist()):
-        for j, part in enumerate(text.split(b"\n") if lines else [text]):
-            row.append(i)
-            line.append(j)
-            texts.append(part)
-            size += len(part)
-            if size > PIECE:
-                yield row, line, texts
-                row, line, texts, size = [], [], [], 0
+        parts = text.split(b"\n")
+        row += [i] * len(parts)
+        line += range(len(parts))
+        texts += parts
+        size += len(text)
+        if size > PIECE:
+            yield row, line, texts
+            row, line, texts, size = [], [], [], 0
     if texts:
         yield row, line, texts
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text_hash, line, at, n, uid, bands)`` of the lines with a word: words before it, words, identity."""
+def parts(docs: DataFrame) -> DataFrame:
+    """Two kinds of rows, from one pass over the texts.
+
+    A row ``(doc_id, text_hash, line, at, n, uid, bands)`` for each line with a word: words before it, words, identity. A row
+    ``(doc_id, text_hash, at, h)`` for each anchored run of ``SAMPLED`` words, which may go on in the next line: place, hash.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, text_hash long, line int, at long, n long, uid long, bands array<long>, h long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            last, done = -1, 0  # the document that goes on from the piece before, and its words so far
-            for rows, line, texts in _pieces(batch, True):
+            for rows, line, texts in _pieces(batch):
                 h, counts = word_hashes(texts)
                 row, end = np.array(rows), np.cumsum(counts)
-                new = np.concatenate([[True], row[1:] != row[:-1]])
-                at = end - counts - np.repeat((end - counts)[new], np.diff(np.append(np.flatnonzero(new), len(row))))
-                at[row == last] += done
-                last, done = row[-1], int(at[-1] + counts[-1])
-                full = counts > 0
+                new = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+                begin = (end - counts)[new]
+                at = end - counts - np.repeat(begin, np.diff(np.append(new, len(row))))
+                own, full = row[new], counts > 0
                 row, n, end = row[full], counts[full], end[full]
                 uid = [xxhash.xxh64_intdigest(h[a:b].tobytes()) for a, b in zip((end - n).tolist(), end.tolist(), strict=True)]
-                keys = pa.array(bands(h, n).view(np.int64).ravel())
+                keys = pa.ListArray.from_arrays(
+                    pa.array(np.arange(len(n) + 1, dtype=np.int32) * BANDS), pa.array(bands(h, n).view(np.int64).ravel())
+                )
+                place = anchored(h, np.add.reduceat(counts, new))
+                text = np.searchsorted(begin, place, side="right") - 1
+                many, few = len(n), len(place)
+                both = pa.array(np.concatenate([row, own[text]]))
                 columns = [
-                    batch.column(0).take(pa.array(row)),
-                    batch.column(1).take(pa.array(row)),
-                    pa.array(np.array(line, np.int32)[full]),
-                    pa.array(at[full]),
-                    pa.array(n),
-                    pa.array(np.array(uid, np.uint64).view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * BANDS), keys),
+                    batch.column(0).take(both),
+                    batch.column(1).take(both),
+                    pa.concat_arrays([pa.array(np.array(line, np.int32)[full]), pa.nulls(few, pa.int32())]),
+                    pa.array(np.concatenate([at[full], place - begin[text]])),
+                    pa.concat_arrays([pa.array(n), pa.nulls(few, pa.int64())]),
+                    pa.concat_arrays([pa.array(np.array(uid, np.uint64).view(np.int64)), pa.nulls(few, pa.int64())]),
+                    pa.concat_arrays([keys, pa.nulls(few, keys.type)]),
+                    pa.concat_arrays([pa.nulls(many, pa.int64()), pa.array(runs(h, SAMPLED, place).view(np.int64))]),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "line", "at", "n", "uid", "bands"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "line", "at", "n", "uid", "bands", "h"])
 
     small_batches(docs.sparkSession)
-    schema = f"doc_id {kind}, text_hash long, line int, at long, n long, uid long, bands array<long>"
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, schema)
 
 
@@ -152,27 +165,6 @@ def anchored(h: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return at[(text[at] == text[at + SAMPLED - 1]) & (counts[text[at]] >= PASSAGE)]
 
 
-def samples(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text_hash, at, h)``: places and hashes of the anchored runs of ``SAMPLED`` words."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, _, texts in _pieces(batch, False):
-                h, counts = word_hashes(texts)
-                at = anchored(h, counts)
-                text = np.searchsorted(np.cumsum(counts), at, side="right")
-                row = pa.array(np.array(rows)[text])
-                key = runs(h, SAMPLED, at)
-                before = (np.cumsum(counts) - counts)[text]
-                columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(at - before), pa.array(key.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "at", "h"])
-
-    small_batches(docs.sparkSession)
-    schema = f"doc_id {kind}, text_hash long, at long, h long"
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, schema)
-
-
 def around(counts: np.ndarray, text: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Positions, in texts in a row, of the runs of ``PASSAGE`` words that hold the sampled run at word ``at`` of a ``text``."""
     begin = (np.cumsum(counts) - counts)[text]
@@ -189,14 +181,16 @@ def passages(docs: DataFrame, hits: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, _, texts in _pieces(batch, False):
+            for rows, _, texts in _pieces(batch):
                 h, counts = word_hashes(texts)
+                rows, new = np.unique(rows, return_index=True)
+                counts = np.add.reduceat(counts, new)
                 places = batch.column(3).take(pa.array(rows))
                 text = np.repeat(np.arange(len(rows)), places.value_lengths().to_numpy(zero_copy_only=False))
                 at = around(counts, text, places.flatten().to_numpy(zero_copy_only=False))
                 key = runs(h, PASSAGE)[at]
                 text = np.searchsorted(np.cumsum(counts), at, side="right")
-                row = pa.array(np.array(rows)[text])
+                row = pa.array(rows[text])
                 before = (np.cumsum(counts) - counts)[text]
                 columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(at - before), pa.array(key.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "at", "h"])
@@ -223,6 +217,25 @@ def shingles(words: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(words, i, F.lit(SHINGLE)))))
 
 
+def sketched(sets: DataFrame) -> DataFrame:
+    """``(uid, m, bits)``: shingles of a set, and the parity of each of ``SKETCH`` * 64 classes of its shingles."""
+    one = lambda s: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(s, F.lit(64)).cast("int"))
+    of = lambda i: F.filter("s", lambda s: F.pmod(F.shiftright(s, 6), F.lit(SKETCH)) == i)
+    bits = [F.aggregate(of(i), F.lit(0).cast("long"), lambda a, s: a.bitwiseXOR(one(s))) for i in range(SKETCH)]
+    return sets.select("uid", F.size("s").alias("m"), F.array(*bits).alias("bits"))
+
+
+def _alike() -> Column:
+    """True for all similar sets ``x`` and ``y``, and for few others.
+
+    At a similarity of 0.8, at most a ninth of the shingles of both are in one set only. Every bit that differs
+    between the sketches stands for at least one of these.
+    """
+    both = F.col("x.m") + F.col("y.m")
+    differ = reduce(add, [F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(SKETCH)])
+    return differ * (1 + THRESHOLD) <= both * (1 - THRESHOLD) + 1e-6
+
+
 def links(docs: DataFrame, units: DataFrame) -> DataFrame:
     """``(u, v)`` that connect all distinct paragraphs ``(uid, first, bands)`` which verified candidate pairs connect."""
     spark = docs.sparkSession
@@ -238,30 +251,36 @@ def links(docs: DataFrame, units: DataFrame) -> DataFrame:
     words = F.regexp_extract_all(lower_az(F.col("text")), F.lit(SPACED), F.lit(0))
     sets = texts.dropDuplicates(["uid"]).withColumn("w", words).select("uid", shingles(F.col("w")).alias("s"))
     sets = saved(sets, "shingles")
+    sketches = saved(sketched(sets), "sketches")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Pairs ``(u, v)`` that are similar."""
-        pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).filter("u < v").distinct()
+        pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         pairs = pairs.join(sets.select(F.col("uid").alias("u"), F.col("s").alias("a")), "u")
         pairs = pairs.join(sets.select(F.col("uid").alias("v"), F.col("s").alias("b")), "v")
         shared = F.size(F.array_intersect("a", "b"))
         return pairs.filter(shared >= THRESHOLD * (F.size("a") + F.size("b") - shared)).select("u", "v")
 
-    star = saved(verified(tables.select(F.col("uid").alias("u"), F.col("head").alias("v"))), "star")
+    heads = tables.filter("uid != head").select(F.col("uid").alias("u"), F.col("head").alias("v"))
+    star = saved(verified(heads), "star")
     both = star.unionByName(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    both = both.select(F.col("u").alias("uid"), F.col("v").alias("head"))
-    rest = tables.filter("uid != head").join(both, ["uid", "head"], "left_anti")
-    rest = saved(rest.select("band", "key", F.col("uid").alias("u")), "rest")
-    others = rest.join(tables.select("band", "key", F.col("uid").alias("v")), ["band", "key"]).select("u", "v")
-    others = saved(verified(others), "others")
-    discard(tables, places, sets, rest)
+    root = sketches.join(components(both), F.col("uid") == F.col("node"), "left")
+    known = saved(root.select("uid", "m", "bits", F.coalesce("root", "uid").alias("root")), "known")
+    members = saved(tables.join(known, "uid"), "members")
+    rest = members.filter("uid != head").join(both.select(F.col("u").alias("uid"), F.col("v").alias("head")), ["uid", "head"], "left_anti")
+    rest = saved(rest.select("band", "key", "uid", "m", "bits", "root"), "rest")
+    meet = (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root"))
+    others = rest.alias("x").join(members.alias("y"), meet & _alike())
+    others = saved(verified(others.select(F.col("x.uid").alias("u"), F.col("y.uid").alias("v"))), "others")
+    discard(tables, places, sets, sketches, known, members, rest)
     return star.unionByName(others)
 
 
 def removed_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All paragraphs with a flag ``gone``, and word ranges ``(doc_id, text_hash, at, n)`` of repeated passages."""
     docs = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
-    every = lines = saved(paragraphs(docs), "paragraphs")
+    every = saved(parts(docs), "parts")
+    lines = every.filter("uid is not null").drop("h")
     place = F.struct("doc_id", "text_hash", "line")
     units = lines.groupBy("uid").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     units = saved(units, "units")
@@ -273,7 +292,7 @@ def removed_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lowest = named.select("uid", "root").join(lowest, "root").select("uid", "first")
     lines = lines.join(lowest, "uid").withColumn("gone", place > F.col("first"))
     lines = saved(lines.select("doc_id", "text_hash", "line", "at", "n", "gone"), "judged")
-    discard(every, units, named)
+    discard(units, named)
     release(docs.sparkSession)
 
     def lowest_of(found: DataFrame) -> DataFrame:
@@ -281,10 +300,10 @@ def removed_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         low = found.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
         return low.filter("low < high").select("h", "low")
 
-    found = saved(samples(docs), "samples")
+    found = every.filter("h is not null").select("doc_id", "text_hash", "at", "h")
     hits = found.join(lowest_of(found), "h").groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("places"))
     hits = saved(hits, "hits")
-    discard(found)
+    discard(every)
     release(docs.sparkSession)
     found = saved(passages(docs, hits), "passages")
     again = found.join(lowest_of(found), "h").filter("doc_id > low").select("doc_id", "text_hash", "at")
