@@ -279,8 +279,19 @@ def links(docs: DataFrame, units: DataFrame) -> DataFrame:
 def removed_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All paragraphs with a flag ``gone``, and word ranges ``(doc_id, text_hash, at, n)`` of repeated passages."""
     docs = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
+
+    def lowest_of(found: DataFrame) -> DataFrame:
+        """``(h, low)`` of the runs that several documents have."""
+        low = found.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+        return low.filter("low < high").select("h", "low")
+
     every = saved(parts(docs), "parts")
-    lines = every.filter("uid is not null").drop("h")
+    found = every.filter("h is not null").select("doc_id", "text_hash", "at", "h")
+    hits = found.join(lowest_of(found), "h").groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("places"))
+    hits = saved(hits, "hits")
+    release(docs.sparkSession)
+    paragraphs = lines = saved(every.filter("uid is not null").drop("h"), "paragraphs")
+    discard(every)
     place = F.struct("doc_id", "text_hash", "line")
     units = lines.groupBy("uid").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     units = saved(units, "units")
@@ -292,19 +303,9 @@ def removed_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lowest = named.select("uid", "root").join(lowest, "root").select("uid", "first")
     lines = lines.join(lowest, "uid").withColumn("gone", place > F.col("first"))
     lines = saved(lines.select("doc_id", "text_hash", "line", "at", "n", "gone"), "judged")
-    discard(units, named)
+    discard(paragraphs, units, named)
     release(docs.sparkSession)
 
-    def lowest_of(found: DataFrame) -> DataFrame:
-        """``(h, low)`` of the runs that several documents have."""
-        low = found.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-        return low.filter("low < high").select("h", "low")
-
-    found = every.filter("h is not null").select("doc_id", "text_hash", "at", "h")
-    hits = found.join(lowest_of(found), "h").groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("places"))
-    hits = saved(hits, "hits")
-    discard(every)
-    release(docs.sparkSession)
     found = saved(passages(docs, hits), "passages")
     again = found.join(lowest_of(found), "h").filter("doc_id > low").select("doc_id", "text_hash", "at")
     repeated = saved(covered(again), "repeated")
