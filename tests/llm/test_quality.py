@@ -55,7 +55,7 @@ def noisy(rng, level):
     """A text whose metrics all grow with the level."""
     words = [w + ("#" * rng.randint(0, 2) + "!" * rng.randint(0, 2)) * level for w in sentence(rng, 60).split()]
     lines = [" ".join(words[i : i + 6]) for i in range(0, 60, 6)]
-    lines += [f"{word(rng)} {word(rng)}"] * rng.randint(0, 2 * level) + [" ".join(words[:10])] * rng.randint(0, level)
+    lines += [f"{word(rng)} {word(rng)}"] * rng.randint(0, 2 * level) + [" ".join(words[:10])] * rng.randint(0, level - 1)
     return "\n".join(lines)
 
 
