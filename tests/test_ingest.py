@@ -155,3 +155,12 @@ def test_batch_counters_match_a_sequential_fold(spark, rows):
                 inserted += 1
         expected.append((b, inserted, duplicates, skipped))
     assert rows(got) == expected
+
+
+def test_a_dimension_beyond_the_limit_is_never_broadcast(spark):
+    """Adaptive execution must not broadcast the salted copies either, however small they are when shuffled."""
+    fact = spark.range(3000).select(F.concat(F.lit("d"), F.col("id") % 50).alias("device_id"), "id")
+    dim = spark.range(40).select(F.concat(F.lit("d"), "id").alias("device_id"), F.lit(True).alias("is_known"))
+    joined = lookup(fact, dim, "device_id", "left", max_bytes=0)
+    assert sum(r.is_known is None for r in joined.collect()) == 600
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
