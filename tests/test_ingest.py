@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from kerbside.operators import ingest as I
-from kerbside.operators.scale import lookup
+from kerbside.operators.scale import absent_keys, lookup
 from kerbside.sources.bucketed import read_bucketed, write_bucketed
 
 from .helpers import devices, messages, naive, stored, ts
@@ -164,3 +164,31 @@ def test_a_dimension_beyond_the_limit_is_never_broadcast(spark):
     joined = lookup(fact, dim, "device_id", "left", max_bytes=0)
     assert sum(r.is_known is None for r in joined.collect()) == 600
     assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_messages_are_not_moved_to_find_the_unknown_devices(spark, rows, tmp_path):
+    batch = messages(spark, ("a", T0, 1), ("ghost", T0, 2), ("b", T0, 3), ("ghost", T0, 4))
+    batch = batch.unionByName(batch.limit(1).withColumn("device_id", F.lit(None).cast("string")))
+    batch.write.parquet(f"{tmp_path}/batch")
+    batch = spark.read.parquet(f"{tmp_path}/batch")
+    dim = devices(spark, ("a", 15), ("b", 60), ("c", 15))
+    absent_keys(batch, dim, "device_id").write.parquet(f"{tmp_path}/unknown")
+    unknown = spark.read.parquet(f"{tmp_path}/unknown")
+    assert rows(unknown) == [("ghost",), (None,)]
+    for ids in (unknown, None):
+        good, bad = I.split_by_constraints(batch, dim, ids)
+        assert rows(good, "device_id", "vehicles") == [("a", 1), ("b", 3)]
+        assert rows(bad, "device_id", "vehicles", "reason") == [
+            ("ghost", 2, "unknown device"),
+            ("ghost", 4, "unknown device"),
+            (None, 1, "unknown device"),
+        ]
+    good, _ = I.split_by_constraints(batch, dim, unknown)
+    assert "Exchange hash" not in good._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_disputed_keys_are_looked_at_for_conflicts(spark, rows):
+    batch = messages(spark, ("a", T0, 5), ("a", T0, 5), ("b", T0, 1), ("b", T0, 2), ("c", T0, 9))
+    probed = I.probe(I.first_writes(batch), stored(spark, ("a", T0, 5), ("b", T0, 1)))
+    assert rows(I.disputed(probed), "device_id", "stored_vehicles") == [("b", 1)]
+    assert rows(I.conflicts(batch, probed), "device_id", "incoming_vehicles", "messages") == [("b", 2, 1)]
