@@ -75,3 +75,12 @@ def test_empty_tables(spark):
     assert decontaminate.clean(docs, tests.limit(0)).count() == len(rows)
     assert decontaminate.report(docs.limit(0), tests).collect() == []
     assert not any(g.contaminated for g in decontaminate.report(docs, tests.limit(0)).collect())
+
+
+def test_words_are_those_of_the_expression_without_running_it(spark):
+    """All ASCII characters and many others next to letters of both cases; the words of a text are found character by character."""
+    texts = ["".join(f"{chr(c)}aB" if c % 3 else chr(c) for c in range(0x2100)), "", " \n", "\x00", "A\x00b", "x" * 3 + "\U0001F600 Y"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "id int, text string")
+    got = df.select("id", decontaminate.words(df.text).alias("w"))
+    assert {r.id: r.w for r in got.collect()} == {i: WORD.findall(lower_az(t)) for i, t in enumerate([*texts, ""])}
+    assert "regexp" not in got._jdf.queryExecution().executedPlan().toString()
