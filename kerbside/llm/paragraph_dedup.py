@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import discard, saved
-from .common import SPACED, components, lower_az, null_join, release, sized, small_batches
+from .common import SPACED, components, lower_az, null_join, release, sized, small_batches, spaced
 from .line_dedup import split_lines
 
 SHINGLE, THRESHOLD, RECALL, ROWS = 5, 0.8, 0.999, 3
@@ -248,7 +248,7 @@ def links(docs: DataFrame, units: DataFrame) -> DataFrame:
     places = units.join(involved, "uid").select("uid", "first.doc_id", "first.text_hash", "first.line")
     places = saved(places, "places")
     texts = null_join(split_lines(docs), sized(places), ["doc_id", "text_hash", "line"]).select("uid", "text")
-    words = F.regexp_extract_all(lower_az(F.col("text")), F.lit(SPACED), F.lit(0))
+    words = spaced(lower_az(F.col("text")))
     sets = texts.dropDuplicates(["uid"]).withColumn("w", words).select("uid", shingles(F.col("w")).alias("s"))
     sets = saved(sets, "shingles")
     sketches = saved(sketched(sets), "sketches")
@@ -333,7 +333,7 @@ def report(docs: DataFrame) -> DataFrame:
         "doc_id",
         F.xxhash64("text").alias("text_hash"),
         F.size(F.filter(F.split(text, "\n"), lambda line: line.rlike(SPACED))).cast("long").alias("n_paragraphs"),
-        F.regexp_count(text, F.lit(SPACED)).cast("long").alias("n_words"),
+        F.size(spaced(text)).cast("long").alias("n_words"),
     )
     out = null_join(null_join(rows, per_doc, ["doc_id", "text_hash"], "left"), words, ["doc_id", "text_hash"], "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)

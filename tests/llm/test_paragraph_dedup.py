@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from kerbside.llm import paragraph_dedup
+from kerbside.llm import common, paragraph_dedup
 
 from .corpus import corpus, lower_az, sentence, spaced, table
 
@@ -122,3 +122,11 @@ def test_empty_table_and_null_texts(spark):
     got = {str(g.doc_id): g.n_removed for g in paragraph_dedup.report(docs).collect()}
     assert got == {"1": 0, "2": 0, "None": 0, "3": 0}
     assert paragraph_dedup.report(docs.limit(0)).collect() == []
+
+
+def test_words_are_those_of_the_expression_without_running_it(spark):
+    texts = ["".join(f"{chr(c)}aB" if c % 3 else chr(c) for c in range(0x2100)), "", " \n", "\x00", "A\x00b\x85 c", "\U0001F600\t\vY "]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "id int, text string")
+    got = df.select("id", common.spaced(df.text).alias("w"))
+    assert {r.id: r.w for r in got.collect()} == {i: t if t is None else spaced(t) for i, t in enumerate([*texts, None])}
+    assert "regexp" not in got._jdf.queryExecution().executedPlan().toString()
