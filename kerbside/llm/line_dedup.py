@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import discard, saved
-from .common import SPACED, null_join, release, sized
+from .common import SPACED, null_join, release, sized, spaced
 
 #: Similarity as a fraction.
 TOP, BOTTOM = 4, 5
@@ -25,8 +25,6 @@ TOP, BOTTOM = 4, 5
 BUCKETS = 1 << 18
 #: Sets of fewer words are similar to equal sets only.
 LEAST = TOP
-#: White space at the ends of a text, and between its words.
-EDGES, BETWEEN = " \t\n\x0b\x0c\r", r"[\x20\x09-\x0D]+"
 _KEY = ["never", "doc_id", "text_hash", "line"]
 
 
@@ -37,7 +35,7 @@ def split_lines(docs: DataFrame) -> DataFrame:
 
 def _words(text: str) -> Column:
     """The lower-cased words of a text, in order."""
-    return F.split(F.btrim(F.lower(text), F.lit(EDGES)), BETWEEN)
+    return spaced(F.lower(text))
 
 
 def word_counts(docs: DataFrame) -> bytes:

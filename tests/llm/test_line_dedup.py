@@ -61,3 +61,10 @@ def test_empty_table(spark):
         [(1, 0, 0, ""), (None, 1, 0, "")],
         [(None, 1, 0, ""), (1, 0, 0, "")],
     )
+
+
+def test_words_are_split_at_single_characters(spark):
+    df = spark.createDataFrame([("\t Ab\x0bÄ  c\r",), ("x",)], "text string")
+    got = df.select(line_dedup._words("text").alias("w"))
+    assert [r.w for r in got.collect()] == [["ab", "ä", "c"], ["x"]]
+    assert "x09" not in got._jdf.queryExecution().executedPlan().toString()
