@@ -35,8 +35,10 @@ PASSAGE = 26
 SAMPLED = PASSAGE // 2
 #: Words of 64 bits in the sketch of a paragraph.
 SKETCH = 4
-#: Bytes of text that are worked on at once.
-PIECE = 2 << 20
+#: Bytes of text that are worked on at once; their arrays stay in the cache of a core.
+PIECE = 1 << 18
+#: Bytes of words that are hashed one by one.
+LONG = 32
 
 
 def tune(threshold: float, recall: float, rows: int) -> int:
@@ -47,6 +49,8 @@ def tune(threshold: float, recall: float, rows: int) -> int:
 BANDS = tune(THRESHOLD, RECALL, ROWS)
 _RNG = np.random.default_rng(17)
 _FACTORS = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+_XXH = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 
 
@@ -55,12 +59,48 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _rotated(h: np.ndarray, bits: int) -> np.ndarray:
+    return h << np.uint64(bits) | h >> np.uint64(64 - bits)
+
+
+def _xxh64(buffer: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """XXH64 of the words at ``start``; words of one length at once, except for long ones. Eight more bytes end the buffer."""
+    n = len(buffer) - 8
+    at8, at4, at1 = (np.ndarray((n,), kind, buffer, 0, (1,)) for kind in ("<u8", "<u4", "u1"))
+    p1, p2, p3, p4, p5 = _XXH
+    out = np.empty(len(start), np.uint64)
+    kind = np.minimum(size, LONG).astype(np.uint8)
+    order = np.argsort(kind, kind="stable")
+    edges = np.searchsorted(kind[order], np.arange(LONG + 1))
+    for length in range(1, LONG):
+        own = order[edges[length] : edges[length + 1]]
+        if not len(own):
+            continue
+        s, done = start[own], 0
+        h = np.full(len(own), p5 + np.uint64(length))
+        while length - done >= 8:
+            h = _rotated(h ^ _rotated(at8[s + done] * p2, 31) * p1, 27) * p1 + p4
+            done += 8
+        if length - done >= 4:
+            h = _rotated(h ^ at4[s + done] * p1, 23) * p2 + p3
+            done += 4
+        for i in range(done, length):
+            h = _rotated(h ^ at1[s + i] * p5, 11) * p1
+        h = (h ^ h >> np.uint64(33)) * p2
+        h = (h ^ h >> np.uint64(29)) * p3
+        out[own] = h ^ h >> np.uint64(32)
+    for i in order[edges[LONG] :]:
+        out[i] = xxhash.xxh64_intdigest(buffer[start[i] : start[i] + size[i]])
+    return out
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts in a row, and the number of words of each text."""
-    split = [t.lower().split() for t in texts]
-    known = {w: xxhash.xxh64_intdigest(w) for w in {w for words in split for w in words}}
-    flat = np.array([known[w] for words in split for w in words], np.uint64)
-    return flat, np.array([len(words) for words in split], np.int64)
+    buffer = b"\n".join(texts).lower()
+    edges = np.flatnonzero(np.diff(~_SPACE[np.frombuffer(buffer, np.uint8)], prepend=False, append=False))
+    start, size = edges[::2], edges[1::2] - edges[::2]
+    begin = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return _xxh64(buffer + bytes(8), start, size), np.diff(np.searchsorted(start, begin))
 
 
 def runs(h: np.ndarray, length: int, at: np.ndarray | None = None) -> np.ndarray:
@@ -322,22 +362,25 @@ def report(docs: DataFrame) -> DataFrame:
     """
     lines, repeated = removed_ranges(docs)
     lines = lines.distinct()
-    per_doc = lines.groupBy("doc_id", "text_hash").agg(F.sum(F.col("gone").cast("long")).alias("n_removed"))
+    gone = F.sum(F.col("gone").cast("long")).alias("n_removed")
+    per_doc = lines.groupBy("doc_id", "text_hash").agg(gone, F.count("*").alias("paragraphs"), F.sum("n").alias("words"))
     ranges = lines.filter("gone").select("doc_id", "text_hash", "at", "n").unionByName(repeated)
     order = Window.partitionBy("doc_id", "text_hash").orderBy("at")
     before = F.coalesce(F.max(F.col("at") + F.col("n")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     fresh = F.greatest(F.lit(0), F.col("at") + F.col("n") - F.greatest("at", before))
     words = ranges.withColumn("fresh", fresh).groupBy("doc_id", "text_hash").agg(F.sum("fresh").alias("n_removed_words"))
-    text = F.coalesce("text", F.lit(""))
+    # Texts with an id have been counted; only the others are split once more.
+    text, none = F.coalesce("text", F.lit("")), F.col("doc_id").isNull()
     rows = docs.select(
         "doc_id",
         F.xxhash64("text").alias("text_hash"),
-        F.size(F.filter(F.split(text, "\n"), lambda line: line.rlike(SPACED))).cast("long").alias("n_paragraphs"),
-        F.size(spaced(text)).cast("long").alias("n_words"),
+        F.when(none, F.size(F.filter(F.split(text, "\n"), lambda line: line.rlike(SPACED)))).alias("own_paragraphs"),
+        F.when(none, F.size(spaced(text))).alias("own_words"),
     )
     out = null_join(null_join(rows, per_doc, ["doc_id", "text_hash"], "left"), words, ["doc_id", "text_hash"], "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return out.select("doc_id", "n_paragraphs", zero("n_removed"), "n_words", zero("n_removed_words"))
+    counted = lambda name: F.coalesce(f"own_{name}", name, F.lit(0)).cast("long").alias(f"n_{name}")
+    return out.select("doc_id", counted("paragraphs"), zero("n_removed"), counted("words"), zero("n_removed_words"))
 
 
 def clean(docs: DataFrame) -> DataFrame:

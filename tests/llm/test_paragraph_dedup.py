@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import xxhash
 
 from kerbside.llm import common, paragraph_dedup
 
@@ -130,3 +131,28 @@ def test_words_are_those_of_the_expression_without_running_it(spark):
     got = df.select("id", common.spaced(df.text).alias("w"))
     assert {r.id: r.w for r in got.collect()} == {i: t if t is None else spaced(t) for i, t in enumerate([*texts, None])}
     assert "regexp" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_word_hashes_come_from_the_buffer_without_an_object_for_each_word(monkeypatch):
+    rng = random.Random(9)
+    texts = [b" Ab\tcd\x0b\n", b"", b"ab CD ba", "Ä\x85 ä\u00a0b".encode(), b"\r\x0c", b"cd", b"\x00 \xff"]
+    texts += [b" ".join(rng.randbytes(n).translate(None, b" \t\n\x0b\x0c\r") for n in range(i, 60, 3)) for i in (1, 2, 3)]
+    words = [w for t in texts for w in t.lower().split()]
+    want = [xxhash.xxh64_intdigest(w) for w in words]
+    called = []
+    monkeypatch.setattr(paragraph_dedup.xxhash, "xxh64_intdigest", lambda w: called.append(w) or xxhash.xxh64(w).intdigest())
+    h, counts = paragraph_dedup.word_hashes(texts)
+    assert h.tolist() == want and counts.tolist() == [len(t.split()) for t in texts]
+    assert called and all(len(w) >= 32 for w in called)
+    assert [x.tolist() for x in paragraph_dedup.word_hashes([])] == [[], []]
+
+
+def test_only_texts_without_an_id_are_split_again_for_the_report(spark):
+    docs = table(spark, [(1, "a b\n \nc"), (1, "a b\n \nc"), (None, "a b\n\n c\nd"), (2, " \t"), (None, None), (None, ""), (3, None)])
+    got = paragraph_dedup.report(docs)
+    assert sorted((str(g.doc_id), g.n_paragraphs, g.n_words) for g in got.collect()) == [
+        ("1", 2, 3), ("1", 2, 3), ("2", 0, 0), ("3", 0, 0), ("None", 0, 0), ("None", 0, 0), ("None", 3, 4)
+    ]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    splits = [part for part in plan.split("split(")[:-1]]
+    assert splits and all("isnull(doc_id" in part.lower() for part in splits)
