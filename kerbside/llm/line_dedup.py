@@ -5,7 +5,7 @@ similarity of 0.8 or more, equality included. Only DataFrame functions are used.
 
 Words of a line are ordered from rare to frequent; rarity comes from word counts in 2^18 hash buckets, a table of fixed size.
 Two similar sets share one of their first n - ceil(0.8 n) + 1 words, so a set is listed under these. Lists are joined with
-themselves under the length filter, the positional filter, and a filter on 64-bit parity bitmaps, whose differing bits are
+themselves under the length filter, the positional filter, and a filter on 128-bit parity bitmaps, whose differing bits are
 never more than the differing words. Equal sets count once.
 
 Large groups of similar lines share all their lists. So that no group's pairs are ever written out, a semi-join first finds
@@ -17,14 +17,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import discard, saved
-from .common import SPACED, null_join, release, sized, spaced
+from .common import SPACED, null_join, release, sized
 
 #: Similarity as a fraction.
 TOP, BOTTOM = 4, 5
 #: Hash buckets of the word counts.
 BUCKETS = 1 << 18
+#: 64-bit words of the sketches that pairs are compared by before their words are.
+WIDE = 8
 #: Sets of fewer words are similar to equal sets only.
 LEAST = TOP
+#: Halves of the parity bitmap of a set.
+_BITS = ["bits", "more"]
 _KEY = ["never", "doc_id", "text_hash", "line"]
 
 
@@ -33,14 +37,30 @@ def split_lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line", "text"))
 
 
+def _split(text: str) -> Column:
+    """The lower-cased words of a line, in order, with empty ones where white space meets other white space or an end."""
+    line = F.lower(text)
+    for space in "\t\x0b\x0c\r":  # found in few lines; the others are not copied
+        line = F.replace(line, F.lit(space), F.lit(" "))
+    return F.split(line, " ")
+
+
 def _words(text: str) -> Column:
-    """The lower-cased words of a text, in order."""
-    return spaced(F.lower(text))
+    """The lower-cased words of a line, in order."""
+    return F.array_remove(_split(text), "")
+
+
+def hashed(lines: DataFrame) -> DataFrame:
+    """Lines with the hashes ``h`` of their words in place of ``text``, each once."""
+    empty = F.xxhash64(F.lit(""))
+    # In steps, as an array that is used twice is only kept between projections.
+    rows = lines.withColumn("h", F.array_distinct(F.transform(_split("text"), lambda w: F.xxhash64(w)))).drop("text")
+    return rows.withColumn("h", F.when(F.array_contains("h", empty), F.array_remove("h", empty)).otherwise(F.col("h")))
 
 
 def word_counts(docs: DataFrame) -> bytes:
     """A byte for each hash bucket: the number of its words on a log scale, below 128."""
-    seen = docs.select(F.explode(_words("text")).alias("word")).select(F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("id"))
+    seen = split_lines(docs).select(F.explode(_split("text")).alias("word")).select(F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1)).alias("id"))
     seen = seen.groupBy("id").agg(F.count("*").alias("n"))
     dense = docs.sparkSession.range(BUCKETS).join(seen, "id", "left")
     level = F.least(F.floor(F.log2(F.coalesce("n", F.lit(0)) + 1) * 3) + 1, F.lit(127))
@@ -51,19 +71,20 @@ def word_counts(docs: DataFrame) -> bytes:
 def prepared(docs: DataFrame) -> DataFrame:
     """Every line with a word: its place, set identity ``s1, s2``, size, parity bitmap and prefix, rare words first."""
     counts = F.lit(word_counts(docs))
-    rows = split_lines(docs).filter(F.col("text").rlike(SPACED))
-    rows = rows.withColumn("h", F.array_distinct(F.transform(_words("text"), lambda w: F.xxhash64(w)))).drop("text")
+    rows = hashed(split_lines(docs).filter(F.col("text").rlike(SPACED)))
     # Rarity in the upper 8 bits, 55 bits of the hash below.
     rank = lambda h: F.ascii(F.substring(counts, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1, F.lit(1)).cast("string"))
     key = lambda h: F.shiftleft(rank(h).cast("long"), 55).bitwiseOR(h.bitwiseAND(F.lit((1 << 55) - 1)))
     bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 58).cast("int"))
+    half = lambda h: F.shiftrightunsigned(h, 57).bitwiseAND(F.lit(1))
+    parity = lambda i: lambda a, h: F.when(half(h) == i, a.bitwiseXOR(bit(h))).otherwise(a)
     rows = rows.select(
         F.col("doc_id").isNull().alias("never"),
         "doc_id",
         "text_hash",
         "line",
         F.size("h").alias("n"),
-        F.aggregate("h", F.lit(0).cast("long"), lambda a, h: a.bitwiseXOR(bit(h))).alias("bits"),
+        *[F.aggregate("h", F.lit(0).cast("long"), parity(i)).alias(b) for i, b in enumerate(_BITS)],
         F.sort_array(F.transform("h", key)).alias("k"),
     )
     # Lists need no more than 32 bits of a word; equal bits of other words only make a candidate more.
@@ -73,7 +94,7 @@ def prepared(docs: DataFrame) -> DataFrame:
         F.xxhash64("k").alias("s1"),
         F.xxhash64(F.lit(1), "k").alias("s2"),
         "n",
-        "bits",
+        *_BITS,
         F.when(F.col("n") >= LEAST, prefix).alias("prefix"),
     )
     return saved(rows, "lines")
@@ -83,6 +104,11 @@ def _prefix(n: Column) -> Column:
     return n - F.floor((n * TOP + (BOTTOM - 1)) / BOTTOM).cast("int") + 1
 
 
+def _differ(x: str, y: str, bitmaps: list[str]) -> Column:
+    """Bits that differ, at most as many as words do; columns of the sets begin with ``x`` and ``y``."""
+    return sum(F.bit_count(F.col(x + b).bitwiseXOR(F.col(y + b))) for b in bitmaps)
+
+
 def _candidates() -> Column:
     """Conditions on two different sets ``x`` and ``y`` that stand in one list."""
     both = F.col("x.n") + F.col("y.n")
@@ -94,43 +120,61 @@ def _candidates() -> Column:
         & (F.col("x.n") * BOTTOM >= F.col("y.n") * TOP)
         & (F.col("y.n") * BOTTOM >= F.col("x.n") * TOP)
         & (reach >= need)
-        & (F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))) <= both - 2 * need)
+        & (_differ("x.", "y.", _BITS) <= both - 2 * need)
     )
 
 
 def similar(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """``(s1, s2)`` of the sets whose first line has a similar one before it that is not equal."""
-    lists = sets.filter("prefix is not null").select("s1", "n", "bits", F.posexplode("prefix").alias("at", "t"))
-    lists = lists.select("t", "s1", "n", "bits", (F.col("at") + 1).alias("at"))
+    lists = sets.filter("prefix is not null").select("s1", "n", *_BITS, F.posexplode("prefix").alias("at", "t"))
+    lists = lists.select("t", "s1", "n", *_BITS, (F.col("at") + 1).alias("at"))
     some = lists.alias("x").join(lists.alias("y"), _candidates(), "left_semi").select("s1").distinct()
     some = saved(some, "candidates")
     release(docs.sparkSession)
 
     # From here on, only sets that have a candidate.
-    involved = saved(sets.join(sized(some), "s1", "left_semi").select("s1", "s2", "n", "bits", "prefix", "first"), "involved")
-    lists = involved.select("s1", "s2", "n", "bits", "first", F.posexplode("prefix").alias("at", "t")).withColumn("at", F.col("at") + 1)
+    involved = saved(sets.join(sized(some), "s1", "left_semi").select("s1", "s2", "n", *_BITS, "prefix", "first"), "involved")
+    lists = involved.select("s1", "s2", "n", *_BITS, "first", F.posexplode("prefix").alias("at", "t")).withColumn("at", F.col("at") + 1)
     lists = saved(lists, "lists")
     # Their words as 64-bit hashes, read from the texts at their first lines.
     places = saved(involved.select("s1", "s2", *[F.col(f"first.{k}").alias(k) for k in _KEY[1:]]), "places")
     texts = null_join(split_lines(docs), sized(places), ["doc_id", "text_hash", "line"])
-    hashed = F.array_distinct(F.transform(_words("text"), lambda w: F.xxhash64(w)))
-    words = saved(texts.select("s1", "s2", hashed.alias("words")).dropDuplicates(["s1", "s2"]), "words")
+    words = saved(hashed(texts).select("s1", "s2", F.col("h").alias("words")).dropDuplicates(["s1", "s2"]), "words")
+    wide = saved(sketches(words), "sketches")
     release(docs.sparkSession)
 
     heads = lists.groupBy("t").agg(F.min("first").alias("first"))
-    heads = heads.join(lists, ["t", "first"]).select("t", "s1", "s2", "n", "bits", "first", "at")
-    settled = _verified(lists, heads, words)
+    heads = heads.join(lists, ["t", "first"]).select("t", "s1", "s2", "n", *_BITS, "first", "at")
+    settled = _verified(lists, heads, words, wide)
     left = saved(lists.join(settled, ["s1", "s2"], "left_anti"), "left")
     release(docs.sparkSession)
-    settled = settled.unionByName(_verified(left, lists, words))
-    discard(some, involved, lists, places, words, left)
+    settled = settled.unionByName(_verified(left, lists, words, wide))
+    discard(some, involved, lists, places, words, wide, left)
     return settled
 
 
-def _verified(later: DataFrame, earlier: DataFrame, words: DataFrame) -> DataFrame:
-    """``(s1, s2)`` of the sets in ``later`` with a similar one in ``earlier`` that comes before."""
+def sketches(words: DataFrame) -> DataFrame:
+    """``(s1, s2, b0, b1, ...)``: parity bitmaps of ``64 * WIDE`` bits, which tell long sets apart, too."""
+    each = words.select("s1", "s2", F.explode("words").alias("h"))
+    part = F.shiftrightunsigned("h", 48).bitwiseAND(F.lit(WIDE - 1))
+    bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(h, 58) as int))")
+    parts = [F.bit_xor(F.when(part == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"b{i}") for i in range(WIDE)]
+    return each.groupBy("s1", "s2").agg(*parts)
+
+
+def _verified(later: DataFrame, earlier: DataFrame, words: DataFrame, wide: DataFrame) -> DataFrame:
+    """``(s1, s2)`` of the sets in ``later`` with a similar one in ``earlier`` that comes before.
+
+    Pairs meet the narrow sketches before the words, as most candidates end there.
+    """
     pairs = later.alias("x").join(earlier.alias("y"), _candidates() & (F.col("y.first") < F.col("x.first")))
     pairs = pairs.select(*[F.col(f"{side}.{c}").alias(f"{side}{c}") for side in "xy" for c in ("s1", "s2", "n")]).distinct()
+    for side in "xy":
+        own = sized(wide).withColumnsRenamed({c: f"{side}{c}" for c in wide.columns})
+        pairs = pairs.join(own, [f"{side}s1", f"{side}s2"])
+    both = F.col("xn") + F.col("yn")
+    need = F.floor((both * TOP + (TOP + BOTTOM - 1)) / (TOP + BOTTOM))
+    pairs = pairs.filter(_differ("x", "y", [f"b{i}" for i in range(WIDE)]) <= both - 2 * need).select("xs1", "xs2", "xn", "ys1", "ys2", "yn")
     for side in "xy":
         own = words.select(F.col("s1").alias(f"{side}s1"), F.col("s2").alias(f"{side}s2"), F.col("words").alias(f"{side}w"))
         pairs = pairs.join(own, [f"{side}s1", f"{side}s2"])
@@ -147,7 +191,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """
     lines = prepared(docs)
     sets = lines.groupBy("s1", "s2").agg(
-        F.min(F.struct(*_KEY)).alias("first"), *[F.first(c).alias(c) for c in ("n", "bits", "prefix")]
+        F.min(F.struct(*_KEY)).alias("first"), *[F.first(c).alias(c) for c in ("n", *_BITS, "prefix")]
     )
     sets = saved(sets, "sets")
     release(docs.sparkSession)

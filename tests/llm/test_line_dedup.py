@@ -68,3 +68,35 @@ def test_words_are_split_at_single_characters(spark):
     got = df.select(line_dedup._words("text").alias("w"))
     assert [r.w for r in got.collect()] == [["ab", "ä", "c"], ["x"]]
     assert "x09" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_long_lines_of_common_words_are_no_candidates(spark, monkeypatch):
+    counts = {}
+
+    def saved(df, name):
+        out = real(df, name)
+        counts[name] = out.count()
+        return out
+
+    real = line_dedup.saved
+    monkeypatch.setattr(line_dedup, "saved", saved)
+    rng = random.Random(5)
+    shared = [f"s{i}" for i in range(400)]
+    lines = [[f"w{i}x{j}" for j in range(15)] + rng.sample(shared, 185) for i in range(30)]
+    lines.append(lines[0][5:] + [f"n{i}" for i in range(5)])
+    got = line_dedup.report(table(spark, [(i, " ".join(words)) for i, words in enumerate(lines)])).collect()
+    assert {g.doc_id: g.n_removed for g in got} == {i: int(i == 30) for i in range(31)}
+    assert 2 <= counts["candidates"] < 12
+
+
+def test_sketches_differ_by_no_more_bits_than_words(spark):
+    rng = random.Random(6)
+    base = [f"a{i}" for i in range(300)]
+    texts = [" ".join(base), " ".join(base[:-7] + [f"b{i}" for i in range(4)]), " ".join(f"c{i}" for i in range(300))]
+    lines = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "s1 long, s2 long, text string")
+    words = line_dedup.hashed(lines).withColumnRenamed("h", "words")
+    a, b, c = line_dedup.sketches(words).orderBy("s1").collect()
+    differ = lambda x, y: sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(x[2:], y[2:], strict=True))
+    assert differ(a, b) <= 11 and differ(a, b) % 2 == 1
+    # A bitmap of 64 bits would pass these, of 300 words each: 66 may differ.
+    assert differ(a, c) > 66
