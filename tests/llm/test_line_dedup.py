@@ -1,4 +1,6 @@
 import random
+import re
+from collections import defaultdict
 
 from kerbside.llm import line_dedup
 
@@ -100,3 +102,52 @@ def test_sketches_differ_by_no_more_bits_than_words(spark):
     assert differ(a, b) <= 11 and differ(a, b) % 2 == 1
     # A bitmap of 64 bits would pass these, of 300 words each: 66 may differ.
     assert differ(a, c) > 66
+
+
+def test_lists_hold_sets_of_about_one_size_and_lose_no_pair(spark):
+    most, need = 60, lambda both: -(-4 * both // 9)
+    prefix = lambda n: n - -(-4 * n // 5) + 1
+    sets = spark.createDataFrame([(n, n, list(range(1, prefix(n) + 1))) for n in range(4, most)], "s1 long, n int, prefix array<int>")
+    entries = line_dedup._lists(sets, "s1").collect()
+    # Word i is at place i of every set: two sets can share each place of theirs that leaves enough words behind it.
+    places = defaultdict(set)
+    for e in entries:
+        places[e.n, e.at].add(e.t)
+    for x in range(4, most):
+        for y in range(x, min(most - 1, x * 5 // 4) + 1):
+            for at in range(1, x + 1 - need(x + y) + 1):
+                assert places[x, at] & places[y, at], (x, y, at)
+    lists = defaultdict(list)
+    for e in entries:
+        lists[e.t].append(e.n)
+    assert max(max(ns) / min(ns) for ns in lists.values()) < 2.5
+    # Few sets are listed twice by a word.
+    assert len(entries) < 1.2 * sum(prefix(n) for n in range(4, most))
+
+
+def test_lines_do_not_carry_their_text(spark):
+    docs = table(spark, [(1, "a\nb")])
+    got = line_dedup.split_lines(docs)
+    assert [(r.line, r.text) for r in got.collect()] == [(0, "a"), (1, "b")]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Generate posexplode\(lines#\d+\), \[doc_id#\w+, text_hash#\w+\]", plan), plan
+
+
+def test_all_texts_are_split_into_words_once(spark, monkeypatch):
+    names, real = [], line_dedup.saved
+    monkeypatch.setattr(line_dedup, "saved", lambda df, name: names.append(name) or real(df, name))
+    docs = table(spark, [(1, "one two two three"), (2, "\n \t\nTwo"), (3, None)])
+    counted, counts = [], line_dedup.word_counts
+    monkeypatch.setattr(line_dedup, "word_counts", lambda rows: counted.append(rows) or counts(rows))
+    lines = line_dedup.prepared(docs)
+    assert names == ["hashes", "lines"] and lines.count() == 2
+    assert counted[0].columns == ["doc_id", "text_hash", "line", "h"]
+
+
+def test_word_counts_by_bucket(spark):
+    hashes = [[5, 7], [5, -1], [5 + line_dedup.BUCKETS, 70000]]
+    rows = spark.createDataFrame([(h,) for h in hashes], "h array<long>")
+    got = line_dedup.word_counts(rows)
+    at = {i: b for i, b in enumerate(got) if b > 1}
+    assert len(got) == line_dedup.BUCKETS
+    assert at == {5: 7, 7: 4, 70000: 4, line_dedup.BUCKETS - 1: 4}
